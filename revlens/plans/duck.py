@@ -175,3 +175,22 @@ def char_wb_ngrams(w: str, lo: int, hi: int) -> str:
             f"list_transform(range(1, greatest(length(z) + 3 - {n}, 1) + 1), "
             f"lambda i: substring(' ' || z || ' ', i, {n}))))")
     return parts[0] if len(parts) == 1 else "list_concat(" + ", ".join(parts) + ")"
+
+
+def treebank(w: str) -> str:
+    cases = " ".join(f"WHEN x = {q(f)} THEN [{', '.join(q(p) for p in ps)}]" for f, ps in W.TREEBANK_SPLITS)
+    return f"flatten(list_transform({w}, lambda x: CASE {cases} ELSE [x] END))"
+
+
+def vec_tokens(w: str) -> str:
+    return f"list_filter(list_transform({w}, lambda x: lower(x)), lambda x: length(x) > 1)"
+
+
+def sentences(col: str, mode: str) -> str:
+    """LIST<LIST<VARCHAR>> of a review's non-empty sentences."""
+    if mode == "clean_first":
+        return f"list_filter([{treebank(profile_tokens('letters', col))}], lambda s: len(s) > 0)"
+    pieces = (f"list_filter(regexp_split_to_array({html_text(text(col))}, '[.!?\\n]+'), "
+              f"lambda p: trim(p) <> '')")
+    return (f"list_filter(list_transform({pieces}, lambda p: "
+            f"{treebank(split(lower(letters('p'))))}), lambda s: len(s) > 0)")
