@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from revlens.functions.wordlists import TREEBANK_SPLITS
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    Spark does not share sub-expressions inside higher-order functions: an array expression
+    referenced in a lambda is recomputed per element. Binding it through a one-element
+    transform keeps every reference a variable lookup."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def vectorizer_tokens(words: Column) -> Column:
     """What a default word analyzer keeps of a cleaned a-z token list: lowercase,
     two or more word characters (one-letter tokens vanish before n-grams)."""
@@ -27,21 +36,34 @@ def word_ngrams(words: Column, lo: int = 1, hi: int = 1) -> Column:
     """Contiguous n-grams lo..hi joined by one space, as one array (explode once)."""
     if lo < 1 or hi < lo:
         raise ValueError("need 1 <= lo <= hi")
-    parts = [_ngrams_of(words, n) for n in range(lo, hi + 1)]
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+    def body(w):
+        parts = [_ngrams_of(w, n) for n in range(lo, hi + 1)]
+        return parts[0] if len(parts) == 1 else F.concat(*parts)
+    return let(words, body)
 
 
 def char_wb_ngrams(words: Column, lo: int = 3, hi: int = 6) -> Column:
     """Character n-grams inside space-padded words. A padded word no longer than n
     contributes itself once and no longer grams."""
-    parts = []
-    for n in range(lo, hi + 1):
-        keep = (lambda z: F.lit(True)) if n == lo else (lambda z, n=n: F.length(z) + 2 >= n)
-        parts.append(F.flatten(F.transform(
-            F.filter(words, keep),
-            lambda z, n=n: F.transform(
-                F.sequence(F.lit(1), F.greatest(F.length(z) + (3 - n), F.lit(1))),
-                lambda i: F.substring(F.concat(F.lit(" "), z, F.lit(" ")), i, n)))))
+    def body(ws):
+        return _char_wb(ws, lo, hi)
+    return let(words, body)
+
+
+def _char_wb_one(words: Column, n: int, first: bool) -> Column:
+    # plain one-argument lambdas: a defaulted second parameter would be read as the index
+    def keep(z):
+        return F.lit(True) if first else F.length(z) + 2 >= n
+
+    def grams(z):
+        padded = F.concat(F.lit(" "), z, F.lit(" "))
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(z) + (3 - n), F.lit(1))),
+                           lambda i: F.substring(padded, i, F.lit(n)))
+    return F.flatten(F.transform(F.filter(words, keep), grams))
+
+
+def _char_wb(words: Column, lo: int, hi: int) -> Column:
+    parts = [_char_wb_one(words, n, n == lo) for n in range(lo, hi + 1)]
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 

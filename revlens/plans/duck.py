@@ -194,3 +194,35 @@ def sentences(col: str, mode: str) -> str:
               f"lambda p: trim(p) <> '')")
     return (f"list_filter(list_transform({pieces}, lambda p: "
             f"{treebank(split(lower(letters('p'))))}), lambda s: len(s) > 0)")
+
+
+LABELED_DOCS = "SELECT d.doc_id AS id, d.text, l.quality AS label FROM documents d JOIN labels l ON d.doc_id = l.doc_id"
+
+
+def fit_ctes(profile: str, lo: int, hi: int, max_features, min_df=1, max_df=1.0,
+             analyzer: str = "word", binary: bool = False, docs_sql: str = LABELED_DOCS,
+             prefix: str = "", carry: tuple[str, ...] = ("label",)) -> str:
+    """CTE list (no leading WITH) defining {p}docs(id, label, words), {p}tf(id, label, term, tf),
+    {p}nd(n), {p}vocab(term, idx, df, cf, idf)."""
+    p = prefix
+    toks = vec_tokens("words") if analyzer == "word" else "list_transform(words, lambda x: lower(x))"
+    grams = word_ngrams("g", lo, hi) if analyzer == "word" else char_wb_ngrams("g", lo, hi)
+    lo_b = str(min_df) if isinstance(min_df, int) else f"CAST({min_df!r} AS DOUBLE) * (SELECT n FROM {p}nd)"
+    hi_b = str(max_df) if isinstance(max_df, int) else f"CAST({max_df!r} AS DOUBLE) * (SELECT n FROM {p}nd)"
+    rank = "df" if binary else "cf"
+    limit = f"ORDER BY {rank} DESC, term LIMIT {max_features}" if max_features else ""
+    c = ", ".join(("id",) + tuple(carry))
+    return f"""{p}docs AS (SELECT {c}, {profile_tokens(profile, 'text')} AS words FROM ({docs_sql}) s),
+{p}gtok AS (SELECT {c}, {toks} AS g FROM {p}docs),
+{p}grams AS (SELECT {c}, unnest({grams}) AS term FROM {p}gtok),
+{p}tf AS (SELECT {c}, term, count(*) AS tf FROM {p}grams GROUP BY {c}, term),
+{p}nd AS (SELECT count(*) AS n FROM {p}docs),
+{p}stats AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM {p}tf GROUP BY term),
+{p}top AS (SELECT * FROM {p}stats WHERE df >= {lo_b} AND df <= {hi_b} {limit}),
+{p}vocab AS (SELECT term, df, cf, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx,
+        ln((1.0 + (SELECT n FROM {p}nd)) / (1.0 + df)) + 1.0 AS idf FROM {p}top)"""
+
+
+def tfidf_cte(tf: str, vocab: str, name: str) -> str:
+    return f"""{name}_w AS (SELECT t.id, t.term, v.idx, (1.0 + ln(t.tf)) * v.idf AS w FROM {tf} t JOIN {vocab} v ON t.term = v.term),
+{name} AS (SELECT id, term, idx, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS value FROM {name}_w)"""
