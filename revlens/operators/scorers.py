@@ -99,3 +99,21 @@ def linear_scorer(feat: DataFrame, coef: DataFrame, docs: DataFrame, bias: float
     s = feat.join(c, "idx").groupBy(id_col).agg(F.sum(F.col("value") * F.col("w")).alias("s"))
     z = F.lit(float(bias or 0.0)) + F.coalesce(F.col("s"), F.lit(0.0))
     return docs.select(id_col).join(s, id_col, "left").select(id_col, z.alias("logodds"), sigmoid(z).alias("p"))
+
+
+def mnb_model(class_sums: DataFrame, alpha: float = 0.5) -> DataFrame:
+    """(idx, w = ln P(t|1) - ln P(t|0)) of a multinomial NB fitted on all rows; ``class_sums``
+    (term, idx, pos, neg) holds raw counts. Vocabulary-sized windows."""
+    every = Window.partitionBy()
+    v = F.count(F.lit(1)).over(every)
+    lp1 = F.log((F.col("pos") + alpha) / (F.sum("pos").over(every) + alpha * v))
+    lp0 = F.log((F.col("neg") + alpha) / (F.sum("neg").over(every) + alpha * v))
+    return class_sums.select("term", "idx", (lp1 - lp0).alias("w"))
+
+
+def prior_log_odds(docs: DataFrame, label_col: str = "label") -> float:
+    """ln(n_pos / n_neg) — one scalar reaches the driver."""
+    r = docs.agg(F.sum(F.when(F.col(label_col) == 1, 1).otherwise(0)).alias("p"),
+                 F.sum(F.when(F.col(label_col) == 0, 1).otherwise(0)).alias("n")).first()
+    import math
+    return math.log(r["p"] / r["n"]) if r["p"] and r["n"] else 0.0
