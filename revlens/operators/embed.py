@@ -71,7 +71,7 @@ def mean_word_vector(tokens: DataFrame, vectors: DataFrame, dim: int, id_col: st
     zero = F.array_repeat(F.lit(0.0), dim)
     return (tokens.select(id_col).join(means, id_col, "left")
             .select(id_col, F.coalesce(F.col("n_known"), F.lit(0)).cast("long").alias("n_known"),
-                    F.coalesce(vector_to_array("m"), zero).alias("vector")))
+                    F.when(F.col("m").isNull(), zero).otherwise(vector_to_array("m")).alias("vector")))
 
 
 def nearest_centroid(vec: Column, centers: list[list[float]]) -> Column:
