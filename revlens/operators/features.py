@@ -25,6 +25,10 @@ from revlens.operators.ranking import row_number0
 # Largest vocabulary shipped to every task as a broadcast hash table (rows).
 BROADCAST_VOCAB_ROWS = 2_000_000
 
+# Top-k by TakeOrderedAndProject funnels (partitions x k) candidate rows into one task;
+# above this many rows the vocabulary is cut with the distributed exact ranking instead.
+TOPK_MERGE_ROWS = 20_000_000
+
 
 def bounded_broadcast(df: DataFrame, row_bound: int | None) -> DataFrame:
     """Broadcast only a side whose row count is bounded by a parameter below the limit."""
@@ -63,7 +67,13 @@ def vocabulary(tf: DataFrame, n_docs: int, max_features: int | None = None,
     kept = stats.filter((F.col("df") >= F.lit(lo)) & (F.col("df") <= F.lit(hi)))
     if max_features is not None:
         rank_col = "df" if binary else "cf"
-        top = kept.orderBy(F.col(rank_col).desc(), F.col("term")).limit(int(max_features))
+        k = int(max_features)
+        parts = int(tf.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        if k * parts <= TOPK_MERGE_ROWS:
+            top = kept.orderBy(F.col(rank_col).desc(), F.col("term")).limit(k)
+        else:
+            top = (row_number0(kept, [F.col(rank_col).desc(), F.col("term")], out="_rk")
+                   .filter(F.col("_rk") < k).drop("_rk"))
         # at most max_features rows: one small sorted window is fine here
         return top.withColumn("idx", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
     return row_number0(kept, ["term"], out="idx").withColumn("idx", F.col("idx").cast("int"))
@@ -123,11 +133,12 @@ def nb_class_sums(tf_labeled: DataFrame, vocab: DataFrame, max_features: int | N
 
 def nb_log_ratio(class_sums: DataFrame, alpha: float = 1.0) -> DataFrame:
     """r = ln((p/|p|_1) / (q/|q|_1)), p = alpha + positive sums, q = alpha + negative sums.
-    The two totals are one window over the vocabulary (bounded by max_features)."""
-    allv = Window.partitionBy()
+    The two totals are one scalar aggregate (two numbers reach the driver)."""
     p = F.col("pos") + F.lit(alpha)
     q = F.col("neg") + F.lit(alpha)
-    return class_sums.select("term", "idx", F.log((p / F.sum(p).over(allv)) / (q / F.sum(q).over(allv))).alias("r"))
+    tot = class_sums.agg(F.sum(p).alias("sp"), F.sum(q).alias("sq")).first()
+    sp, sq = float(tot["sp"] or 1.0), float(tot["sq"] or 1.0)
+    return class_sums.select("term", "idx", F.log((p / F.lit(sp)) / (q / F.lit(sq))).alias("r"))
 
 
 def nb_log_ratio_clipped(class_sums: DataFrame, bound: float = 5.0) -> DataFrame:

@@ -48,19 +48,23 @@ def fold_class_sizes(docs: DataFrame) -> DataFrame:
     """(fold, n_pos, n_neg) of the training part of every fold; docs carry (fold, label)."""
     per = docs.groupBy("fold").agg(F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("p_in"),
                                    F.sum(F.when(F.col("label") == 0, 1).otherwise(0)).alias("n_in"))
-    every = Window.partitionBy()  # k rows
+    every = Window.partitionBy()  # over the per-fold table: k rows
     return per.select("fold", (F.sum("p_in").over(every) - F.col("p_in")).alias("n_pos"),
                       (F.sum("n_in").over(every) - F.col("n_in")).alias("n_neg"))
 
 
+def _per_fold_totals(counts: DataFrame, cols: dict) -> DataFrame:
+    """Per-fold sums over the vocabulary: k rows, joined back by fold (broadcast)."""
+    return F.broadcast(counts.groupBy("fold").agg(*[e.alias(n) for n, e in cols.items()]))
+
+
 def mnb_fold_models(counts: DataFrame, sizes: DataFrame, alpha: float = 0.5) -> DataFrame:
     """(fold, term, w) with w = ln P(t|1) - ln P(t|0) (smoothed), plus per-fold bias in
     ``mnb_fold_bias``. Sums over the vocabulary are windows per fold (vocabulary sized)."""
-    per_fold = Window.partitionBy("fold")
-    v = F.count(F.lit(1)).over(per_fold)
-    lp1 = F.log((F.col("pos") + alpha) / (F.sum("pos").over(per_fold) + alpha * v))
-    lp0 = F.log((F.col("neg") + alpha) / (F.sum("neg").over(per_fold) + alpha * v))
-    return counts.select("fold", "term", "idx", (lp1 - lp0).alias("w"))
+    t = _per_fold_totals(counts, {"_v": F.count(F.lit(1)), "_sp": F.sum("pos"), "_sn": F.sum("neg")})
+    lp1 = F.log((F.col("pos") + alpha) / (F.col("_sp") + alpha * F.col("_v")))
+    lp0 = F.log((F.col("neg") + alpha) / (F.col("_sn") + alpha * F.col("_v")))
+    return counts.join(t, "fold").select("fold", "term", "idx", (lp1 - lp0).alias("w"))
 
 
 def fold_bias(sizes: DataFrame) -> DataFrame:
@@ -70,11 +74,11 @@ def fold_bias(sizes: DataFrame) -> DataFrame:
 
 def nbr_fold_models(counts: DataFrame, alpha: float = 1.0) -> DataFrame:
     """(fold, term, w = r): NB log-count ratio of every fold's training part."""
-    per_fold = Window.partitionBy("fold")
     p = F.col("pos") + alpha
     q = F.col("neg") + alpha
-    return counts.select("fold", "term", "idx",
-                         F.log((p / F.sum(p).over(per_fold)) / (q / F.sum(q).over(per_fold))).alias("w"))
+    t = _per_fold_totals(counts, {"_sp": F.sum(p), "_sq": F.sum(q)})
+    return counts.join(t, "fold").select("fold", "term", "idx",
+                                         F.log((p / F.col("_sp")) / (q / F.col("_sq"))).alias("w"))
 
 
 def score_folds(tf: DataFrame, docs: DataFrame, models: DataFrame, bias: DataFrame, k: int,
@@ -104,10 +108,10 @@ def linear_scorer(feat: DataFrame, coef: DataFrame, docs: DataFrame, bias: float
 def mnb_model(class_sums: DataFrame, alpha: float = 0.5) -> DataFrame:
     """(idx, w = ln P(t|1) - ln P(t|0)) of a multinomial NB fitted on all rows; ``class_sums``
     (term, idx, pos, neg) holds raw counts. Vocabulary-sized windows."""
-    every = Window.partitionBy()
-    v = F.count(F.lit(1)).over(every)
-    lp1 = F.log((F.col("pos") + alpha) / (F.sum("pos").over(every) + alpha * v))
-    lp0 = F.log((F.col("neg") + alpha) / (F.sum("neg").over(every) + alpha * v))
+    t = class_sums.agg(F.count(F.lit(1)).alias("v"), F.sum("pos").alias("sp"), F.sum("neg").alias("sn")).first()
+    v, sp, sn = float(t["v"]), float(t["sp"] or 0), float(t["sn"] or 0)
+    lp1 = F.log((F.col("pos") + alpha) / F.lit(sp + alpha * v))
+    lp0 = F.log((F.col("neg") + alpha) / F.lit(sn + alpha * v))
     return class_sums.select("term", "idx", (lp1 - lp0).alias("w"))
 
 

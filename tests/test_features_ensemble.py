@@ -95,3 +95,13 @@ def test_rank_average_invariant_to_monotone_maps(spark):
     a = {r.id: r.ens_rank for r in G.rank_average(df).collect()}
     b = {r.id: r.ens_rank for r in G.rank_average(df.withColumn("p", F.col("p") ** 3)).collect()}
     assert a == b
+
+
+def test_vocabulary_distributed_topk_equals_take_ordered(spark, monkeypatch):
+    rows = [(i % 17, f"t{(i * 7) % 53}", 1 + (i % 3)) for i in range(400)]
+    tf = (spark.createDataFrame(rows, "id long, term string, tf long")
+          .groupBy("id", "term").agg(F.sum("tf").alias("tf")))
+    a = [(r.term, r.idx, r.cf) for r in FT.vocabulary(tf, 17, 20).collect()]
+    monkeypatch.setattr(FT, "TOPK_MERGE_ROWS", 1)
+    b = [(r.term, r.idx, r.cf) for r in FT.vocabulary(tf, 17, 20).collect()]
+    assert sorted(a) == sorted(b) and len(a) == 20
