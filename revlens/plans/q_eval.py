@@ -23,6 +23,7 @@ from revlens.operators import scorers as S
 from revlens.operators import split as SP
 from revlens.plans import duck as D
 from revlens.plans.registry import query
+from revlens.session import ensure_checkpoint_dir
 from revlens.sources import tables
 
 K = 5
@@ -67,7 +68,9 @@ def oof_predictions(spark, sf):
         ((F.col("pos") + 1.0) / (F.col("pos") + F.col("neg") + 2.0)).alias("p"))
     out = mnb.select("id", "model", "fold", "label", "p").unionByName(
         nbr.select("id", "model", "fold", "label", "p")).unionByName(lex)
-    return out.withColumn("p", F.round("p", 9))
+    # several metrics read this table: materialise it once in the shared checkpoint folder
+    ensure_checkpoint_dir(spark)
+    return out.withColumn("p", F.round("p", 9)).checkpoint(eager=True)
 
 
 def _r6(c):
