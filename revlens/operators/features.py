@@ -147,9 +147,11 @@ def nb_log_ratio_clipped(class_sums: DataFrame, bound: float = 5.0) -> DataFrame
     return class_sums.select("term", "idx", F.greatest(F.least(r, F.lit(bound)), F.lit(-bound)).alias("r"))
 
 
-def nb_weighted(binary_feat: DataFrame, ratios: DataFrame, id_col: str = "id") -> DataFrame:
-    """0/1 presence times r, per (review, term). ``ratios`` is vocabulary sized."""
-    return (binary_feat.join(F.broadcast(ratios.select("idx", "r")), "idx")
+def nb_weighted(binary_feat: DataFrame, ratios: DataFrame, id_col: str = "id",
+                max_features: int | None = None) -> DataFrame:
+    """0/1 presence times r, per (review, term). ``ratios`` is vocabulary sized; it is
+    broadcast only when ``max_features`` bounds it."""
+    return (binary_feat.join(bounded_broadcast(ratios.select("idx", "r"), max_features), "idx")
             .select(id_col, "term", "idx", (F.col("value") * F.col("r")).alias("value")))
 
 

@@ -27,12 +27,13 @@ def _maybe_broadcast(df, rows):
     return F.broadcast(df) if rows is not None and rows <= BROADCAST_VOCAB_ROWS else df
 
 
-def fold_class_counts(tf: DataFrame, vocab: DataFrame, k: int, binary: bool) -> DataFrame:
+def fold_class_counts(tf: DataFrame, vocab: DataFrame, k: int, binary: bool,
+                      max_features: int | None = None) -> DataFrame:
     """(fold, term, idx, pos, neg): class sums of the *training* part of every fold.
     ``tf`` carries (id, label, fold, term, tf). A fold x vocabulary grid is generated with
     an explode (k rows per term), never a join without keys."""
     x = F.lit(1).cast("long") if binary else F.col("tf").cast("long")
-    j = tf.join(F.broadcast(vocab.select("term", "idx")), "term")
+    j = tf.join(_maybe_broadcast(vocab.select("term", "idx"), max_features), "term")
     inside = j.groupBy("fold", "idx").agg(
         F.sum(F.when(F.col("label") == 1, x).otherwise(0)).alias("pos_in"),
         F.sum(F.when(F.col("label") == 0, x).otherwise(0)).alias("neg_in"))

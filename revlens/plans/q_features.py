@@ -170,7 +170,7 @@ def nb_weighted_features_q(spark, sf):
     """0/1 presence times the log-count ratio."""
     _, tf, _, v = fit(spark, sf, "len2", 1, 4, 80000, 1, binary=True)
     r = FT.nb_log_ratio(FT.nb_class_sums(tf, v, 80000))
-    x = FT.nb_weighted(FT.count_matrix(tf, v, 80000, binary=True), r)
+    x = FT.nb_weighted(FT.count_matrix(tf, v, 80000, binary=True), r, max_features=80000)
     return x.select(F.col("id").alias("doc_id"), "term", "idx", F.round("value", 6).alias("value"))
 
 

@@ -100,7 +100,7 @@ def _nb_blocks(spark, sf, profile, lo, hi, mf, clipped):
     tr, te, width, tf, vocab = L.binary_train_test(lab, test, lo, hi, mf)
     sums = FT.nb_class_sums(tf, vocab, mf)
     r = FT.nb_log_ratio_clipped(sums) if clipped else FT.nb_log_ratio(sums)
-    return lab, test, FT.nb_weighted(tr, r), FT.nb_weighted(te, r), width
+    return lab, test, FT.nb_weighted(tr, r, max_features=mf), FT.nb_weighted(te, r, max_features=mf), width
 
 
 @query("nbsvm")
