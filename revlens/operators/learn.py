@@ -7,6 +7,7 @@ with standardization off and no elastic net.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
@@ -30,7 +31,8 @@ def tfidf_train_test(train_docs: DataFrame, test_docs: DataFrame | None, lo: int
     """Fit vocabulary + idf on ``train_docs`` (id, label, words); return long features for
     both sides plus the vocabulary width."""
     n = train_docs.count()
-    tf = FT.term_frequencies(train_docs, "id", "words", lo, hi, analyzer, keep_cols=("label",))
+    tf = FT.term_frequencies(train_docs, "id", "words", lo, hi, analyzer, keep_cols=("label",)).persist(
+        StorageLevel.MEMORY_AND_DISK)
     vocab = FT.with_smooth_idf(FT.vocabulary(tf, n, max_features, min_df, max_df), n).cache()
     width = vocab.count()
     train = FT.tfidf_matrix(tf, vocab, max_features).select("id", "idx", "value")
@@ -43,7 +45,8 @@ def tfidf_train_test(train_docs: DataFrame, test_docs: DataFrame | None, lo: int
 
 def binary_train_test(train_docs, test_docs, lo, hi, max_features, min_df=1):
     n = train_docs.count()
-    tf = FT.term_frequencies(train_docs, "id", "words", lo, hi, keep_cols=("label",))
+    tf = FT.term_frequencies(train_docs, "id", "words", lo, hi, keep_cols=("label",)).persist(
+        StorageLevel.MEMORY_AND_DISK)
     vocab = FT.vocabulary(tf, n, max_features, min_df, 1.0, binary=True).cache()
     width = vocab.count()
     train = FT.count_matrix(tf, vocab, max_features, binary=True)

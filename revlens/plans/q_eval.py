@@ -12,6 +12,7 @@ Probabilities are rounded to 9 decimals before ranking so that both engines see
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from revlens.functions import profiles as P
@@ -47,7 +48,8 @@ def folds(spark, sf):
 
 def _fold_scorer(docs, n, profile, lo, hi, max_features, min_df, binary, name, sizes):
     d = docs.select("id", "label", "fold", P.profile_tokens(profile, "text").alias("words"))
-    tf = FT.term_frequencies(d, "id", "words", lo, hi, keep_cols=("label", "fold"))
+    tf = FT.term_frequencies(d, "id", "words", lo, hi, keep_cols=("label", "fold")).persist(
+        StorageLevel.MEMORY_AND_DISK)
     vocab = FT.vocabulary(tf, n, max_features, min_df, 1.0, binary)
     counts = S.fold_class_counts(tf, vocab, K, binary, max_features)
     models = S.nbr_fold_models(counts) if binary else S.mnb_fold_models(counts, sizes, 0.5)

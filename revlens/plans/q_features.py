@@ -6,6 +6,7 @@ max_features, min_df / max_df, cleaner), fitted on the labeled reviews.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from revlens.functions import profiles as P
@@ -25,7 +26,9 @@ def fit(spark, sf, profile, lo, hi, max_features, min_df=1, max_df=1.0, analyzer
     """(docs, tf, n_docs, vocab_with_idf) for one vectorizer instance on the labeled reviews."""
     docs = labeled_docs(spark, sf, profile)
     n = docs.count()
-    tf = FT.term_frequencies(docs, "id", "words", lo, hi, analyzer, keep_cols=("label",))
+    # read twice (term statistics, then weights): keep it instead of re-cleaning the text
+    tf = FT.term_frequencies(docs, "id", "words", lo, hi, analyzer, keep_cols=("label",)).persist(
+        StorageLevel.MEMORY_AND_DISK)
     vocab = FT.with_smooth_idf(FT.vocabulary(tf, n, max_features, min_df, max_df, binary), n)
     return docs, tf, n, vocab
 
