@@ -47,13 +47,24 @@ def doc_grams(words: Column, lo: int = 1, hi: int = 1, analyzer: str = "word") -
 
 def term_frequencies(docs: DataFrame, id_col: str = "id", words_col: str = "words",
                      lo: int = 1, hi: int = 1, analyzer: str = "word",
-                     keep_cols: tuple[str, ...] = ()) -> DataFrame:
-    """(id, *keep_cols, term, tf). ``keep_cols`` must be functionally dependent on id (label)."""
-    exploded = (docs.repartition(id_col)
+                     keep_cols: tuple[str, ...] = (), partitioned: bool = False) -> DataFrame:
+    """(id, *keep_cols, term, tf). ``keep_cols`` must be functionally dependent on id (label).
+
+    ``partitioned=True``: the caller already hash-partitioned the raw reviews on id (see
+    ``by_review``), so cleaning runs after that shuffle, in parallel, and no second
+    exchange is planned here."""
+    base = docs if partitioned else docs.repartition(id_col)
+    exploded = (base
                 .select(id_col, *keep_cols, F.explode(doc_grams(F.col(words_col), lo, hi, analyzer)).alias("term")))
     return exploded.groupBy(id_col, *keep_cols, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def by_review(reviews: DataFrame, id_col: str) -> DataFrame:
+    """Hash-partition raw reviews on their id before any cleaning: the one shuffle of the
+    vectorizer moves raw text, and the per-review aggregate / norm window reuse it."""
+    return reviews.repartition(id_col)
+
+
 def _doc_count_bound(x, n_docs):
     return x if isinstance(x, int) and not isinstance(x, bool) else float(x) * n_docs
 

@@ -31,28 +31,29 @@ def tfidf_train_test(train_docs: DataFrame, test_docs: DataFrame | None, lo: int
     """Fit vocabulary + idf on ``train_docs`` (id, label, words); return long features for
     both sides plus the vocabulary width."""
     n = train_docs.count()
-    tf = FT.term_frequencies(train_docs, "id", "words", lo, hi, analyzer, keep_cols=("label",)).persist(
+    tf = FT.term_frequencies(train_docs, "id", "words", lo, hi, analyzer, keep_cols=("label",),
+                             partitioned=True).persist(
         StorageLevel.MEMORY_AND_DISK)
     vocab = FT.with_smooth_idf(FT.vocabulary(tf, n, max_features, min_df, max_df), n).cache()
     width = vocab.count()
     train = FT.tfidf_matrix(tf, vocab, max_features).select("id", "idx", "value")
     test = None
     if test_docs is not None:
-        ttf = FT.term_frequencies(test_docs, "id", "words", lo, hi, analyzer)
+        ttf = FT.term_frequencies(test_docs, "id", "words", lo, hi, analyzer, partitioned=True)
         test = FT.tfidf_matrix(ttf, vocab, max_features).select("id", "idx", "value")
     return train, test, width, vocab
 
 
 def binary_train_test(train_docs, test_docs, lo, hi, max_features, min_df=1):
     n = train_docs.count()
-    tf = FT.term_frequencies(train_docs, "id", "words", lo, hi, keep_cols=("label",)).persist(
+    tf = FT.term_frequencies(train_docs, "id", "words", lo, hi, keep_cols=("label",), partitioned=True).persist(
         StorageLevel.MEMORY_AND_DISK)
     vocab = FT.vocabulary(tf, n, max_features, min_df, 1.0, binary=True).cache()
     width = vocab.count()
     train = FT.count_matrix(tf, vocab, max_features, binary=True)
     test = None
     if test_docs is not None:
-        ttf = FT.term_frequencies(test_docs, "id", "words", lo, hi)
+        ttf = FT.term_frequencies(test_docs, "id", "words", lo, hi, partitioned=True)
         test = FT.count_matrix(ttf, vocab, max_features, binary=True)
     return train, test, width, tf, vocab
 

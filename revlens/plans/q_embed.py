@@ -38,7 +38,8 @@ def centers(spark, sf):
 
 
 def labeled_tokens(spark, sf):
-    return tables.labeled(spark, sf).select(F.col("doc_id").alias("id"),
+    from revlens.operators.features import by_review
+    return by_review(tables.labeled(spark, sf), "doc_id").select(F.col("doc_id").alias("id"),
                                             P.profile_tokens("letters", "text").alias("words"))
 
 

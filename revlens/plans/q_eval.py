@@ -43,12 +43,13 @@ def folds(spark, sf):
     """(id, label, fold) — fold assignment from (id, label) only, joined back to the text."""
     lab = labeled_ids(spark, sf)
     f = SP.stratified_kfold(lab.select("id", "label"), K, "label", "id", SEED)
-    return lab.join(f.select("id", "fold"), "id")
+    # the join shuffles raw text on id: cleaning and the per-review aggregates run after it
+    return lab.join(f.select("id", "fold"), "id").repartition("id")
 
 
 def _fold_scorer(docs, n, profile, lo, hi, max_features, min_df, binary, name, sizes):
     d = docs.select("id", "label", "fold", P.profile_tokens(profile, "text").alias("words"))
-    tf = FT.term_frequencies(d, "id", "words", lo, hi, keep_cols=("label", "fold")).persist(
+    tf = FT.term_frequencies(d, "id", "words", lo, hi, keep_cols=("label", "fold"), partitioned=True).persist(
         StorageLevel.MEMORY_AND_DISK)
     vocab = FT.vocabulary(tf, n, max_features, min_df, 1.0, binary)
     counts = S.fold_class_counts(tf, vocab, K, binary, max_features)

@@ -18,7 +18,7 @@ from revlens.sources import tables
 
 
 def labeled_docs(spark, sf, profile):
-    return tables.labeled(spark, sf).select(F.col("doc_id").alias("id"), "label",
+    return FT.by_review(tables.labeled(spark, sf), "doc_id").select(F.col("doc_id").alias("id"), "label",
                                             P.profile_tokens(profile, "text").alias("words"))
 
 
@@ -27,7 +27,8 @@ def fit(spark, sf, profile, lo, hi, max_features, min_df=1, max_df=1.0, analyzer
     docs = labeled_docs(spark, sf, profile)
     n = docs.count()
     # read twice (term statistics, then weights): keep it instead of re-cleaning the text
-    tf = FT.term_frequencies(docs, "id", "words", lo, hi, analyzer, keep_cols=("label",)).persist(
+    tf = FT.term_frequencies(docs, "id", "words", lo, hi, analyzer, keep_cols=("label",),
+                             partitioned=True).persist(
         StorageLevel.MEMORY_AND_DISK)
     vocab = FT.with_smooth_idf(FT.vocabulary(tf, n, max_features, min_df, max_df, binary), n)
     return docs, tf, n, vocab
@@ -131,9 +132,9 @@ def transform_unseen_q(spark, sf):
     """Vocabulary + idf fitted on the labeled reviews applied to unseen documents
     (benchmark); unknown terms are ignored."""
     _, _, _, v = fit(spark, sf, "contract_stop", 1, 2, 10000, 2, 0.85)
-    unseen = tables.benchmark(spark, sf).select(F.col("doc_id").alias("id"),
-                                                P.profile_tokens("contract_stop", "text").alias("words"))
-    utf = FT.term_frequencies(unseen, "id", "words", 1, 2)
+    unseen = FT.by_review(tables.benchmark(spark, sf), "doc_id").select(
+        F.col("doc_id").alias("id"), P.profile_tokens("contract_stop", "text").alias("words"))
+    utf = FT.term_frequencies(unseen, "id", "words", 1, 2, partitioned=True)
     m = FT.tfidf_matrix(utf, v, 10000)
     return m.select(F.col("id").alias("doc_id"), "term", F.round("value", 6).alias("weight"))
 

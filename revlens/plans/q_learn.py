@@ -22,10 +22,10 @@ from revlens.sources import tables
 
 
 def train_test(spark, sf, profile):
-    lab = tables.labeled(spark, sf).select(F.col("doc_id").alias("id"), "label",
-                                           P.profile_tokens(profile, "text").alias("words"))
-    test = tables.test_reviews(spark, sf).select(F.col("doc_id").alias("id"),
-                                                 P.profile_tokens(profile, "text").alias("words"))
+    lab = FT.by_review(tables.labeled(spark, sf), "doc_id").select(
+        F.col("doc_id").alias("id"), "label", P.profile_tokens(profile, "text").alias("words"))
+    test = FT.by_review(tables.test_reviews(spark, sf), "doc_id").select(
+        F.col("doc_id").alias("id"), P.profile_tokens(profile, "text").alias("words"))
     return lab, test
 
 
@@ -126,10 +126,10 @@ def nbsvm_tfidf_q(spark, sf):
 def _bow_vectors(spark, sf, mf=5000):
     lab, test = train_test(spark, sf, "letters")
     n = lab.count()
-    tf = FT.term_frequencies(lab, "id", "words", 1, 1, keep_cols=("label",))
+    tf = FT.term_frequencies(lab, "id", "words", 1, 1, keep_cols=("label",), partitioned=True)
     vocab = FT.vocabulary(tf, n, mf, 2).cache()
     width = vocab.count()
-    ttf = FT.term_frequencies(test, "id", "words", 1, 1)
+    ttf = FT.term_frequencies(test, "id", "words", 1, 1, partitioned=True)
     tr = L.vectors_for(FT.count_matrix(tf, vocab, mf), width, lab)
     te = L.vectors_for(FT.count_matrix(ttf, vocab, mf), width, test, keep=())
     return tr, te, vocab
@@ -183,7 +183,7 @@ def fused_pipeline_q(spark, sf):
     from revlens.plans.q_embed import dim_of, word_centroid, word_vectors
     lab, test = train_test(spark, sf, "letters")
     n = lab.count()
-    tf = FT.term_frequencies(lab, "id", "words", 1, 2, keep_cols=("label",))
+    tf = FT.term_frequencies(lab, "id", "words", 1, 2, keep_cols=("label",), partitioned=True)
     vocab = FT.vocabulary(tf, n, 8000, 2, 0.8).cache()
     w1 = vocab.count()
     dim = dim_of(spark, sf)
@@ -198,7 +198,7 @@ def fused_pipeline_q(spark, sf):
         hist = EM.centroid_histogram(d, w2c).select("id", F.col("centroid").alias("idx"), F.col("share").alias("value"))
         return FT.hstack([(bow, w1), (mv, dim), (hist, k)])
 
-    ttf = FT.term_frequencies(test, "id", "words", 1, 2)
+    ttf = FT.term_frequencies(test, "id", "words", 1, 2, partitioned=True)
     tr = L.vectors_for(blocks(lab, tf), w1 + dim + k, lab)
     te = L.vectors_for(blocks(test, ttf), w1 + dim + k, test, keep=())
     m = L.boosted_trees(tr, 300, 6, 0.05, 0.8, "0.8")
@@ -311,11 +311,11 @@ def ens_of_groups_q(spark, sf):
                  .select("id", F.lit("nbsvm_c1").alias("model"), "p"))
     # multinomial NB (alpha 0.5): one aggregate to fit, one join to score
     n = lab.count()
-    tf = FT.term_frequencies(lab, "id", "words", 1, 5, keep_cols=("label",))
+    tf = FT.term_frequencies(lab, "id", "words", 1, 5, keep_cols=("label",), partitioned=True)
     vocab = FT.vocabulary(tf, n, 70000)
     model = S.mnb_model(FT.nb_class_sums(tf, vocab, 70000, binary=False), 0.5)
     bias = S.prior_log_odds(lab)
-    ttf = FT.term_frequencies(test, "id", "words", 1, 5)
+    ttf = FT.term_frequencies(test, "id", "words", 1, 5, partitioned=True)
     sc = S.linear_scorer(FT.count_matrix(ttf, vocab, 70000), model, test, bias, "id", 70000)
     preds.append(sc.select("id", F.lit("mnb_a05").alias("model"), "p"))
     tr6, te6, _ = tfidf_vectors(spark, sf, "minstop", 1, 4, 50000)
