@@ -60,8 +60,8 @@ def _per_fold_totals(counts: DataFrame, cols: dict) -> DataFrame:
 
 
 def mnb_fold_models(counts: DataFrame, sizes: DataFrame, alpha: float = 0.5) -> DataFrame:
-    """(fold, term, w) with w = ln P(t|1) - ln P(t|0) (smoothed), plus per-fold bias in
-    ``mnb_fold_bias``. Sums over the vocabulary are windows per fold (vocabulary sized)."""
+    """(fold, term, w) with w = ln P(t|1) - ln P(t|0) (smoothed); the class prior goes into
+    ``fold_bias``. Sums over the vocabulary are one per-fold aggregate (k rows), joined back."""
     t = _per_fold_totals(counts, {"_v": F.count(F.lit(1)), "_sp": F.sum("pos"), "_sn": F.sum("neg")})
     lp1 = F.log((F.col("pos") + alpha) / (F.col("_sp") + alpha * F.col("_v")))
     lp0 = F.log((F.col("neg") + alpha) / (F.col("_sn") + alpha * F.col("_v")))

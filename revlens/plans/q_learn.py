@@ -1,4 +1,4 @@
-"""Catalog: learners and learner pipelines.
+"""Catalog: learners and learner compositions.
 
 These are iterative fits, checked rows-only by the driver and by invariant tests here.
 Training reviews = labeled; scored reviews = the documents without a label.
@@ -174,8 +174,8 @@ def boosted_trees_q(spark, sf):
     return _out(L.p_positive(m.transform(te)))
 
 
-@query("fused_pipeline")
-def fused_pipeline_q(spark, sf):
+@query("fused_boosted_trees")
+def fused_boosted_trees_q(spark, sf):
     """1-2-gram counts (8,000, min_df 2, max_df 0.8) + mean word vector + centroid
     histogram -> boosted trees (300 rounds, depth 6, step 0.05, row / column sampling 0.8);
     hard label and probability for every test review."""
@@ -207,8 +207,8 @@ def fused_pipeline_q(spark, sf):
                       F.round("p", 6).alias("sentiment_proba"))
 
 
-@query("lexicon_pipeline")
-def lexicon_pipeline_q(spark, sf):
+@query("lexicon_tfidf_sweep")
+def lexicon_tfidf_sweep_q(spark, sf):
     """1-5-gram TF-IDF (80,000) + five lexicon columns -> LR C in {10, 30, 50} -> mean and TJflexic."""
     lab, test = train_test(spark, sf, "len2")
     tr_t, te_t, w, _ = L.tfidf_train_test(lab, test, 1, 5, 80000)
@@ -225,8 +225,8 @@ def lexicon_pipeline_q(spark, sf):
                       F.round("ens_tjflexic", 6).alias("ens_tjflexic"))
 
 
-@query("word_char_pipeline")
-def word_char_pipeline_q(spark, sf):
+@query("word_char_sweep")
+def word_char_sweep_q(spark, sf):
     """word 1-5-gram TF-IDF (80,000, min_df 2) + char_wb 3-6 TF-IDF (50,000, min_df 2) -> LR sweep."""
     lab, test = train_test(spark, sf, "articles")
     tr_w, te_w, w1, _ = L.tfidf_train_test(lab, test, 1, 5, 80000, 2)
