@@ -51,7 +51,8 @@ def _fold_scorer(docs, n, profile, lo, hi, max_features, min_df, binary, name, s
     d = docs.select("id", "label", "fold", P.profile_tokens(profile, "text").alias("words"))
     tf = FT.term_frequencies(d, "id", "words", lo, hi, keep_cols=("label", "fold"), partitioned=True).persist(
         StorageLevel.MEMORY_AND_DISK)
-    vocab = FT.vocabulary(tf, n, max_features, min_df, 1.0, binary)
+    # bounded by max_features and read by several branches: materialise it once
+    vocab = FT.vocabulary(tf, n, max_features, min_df, 1.0, binary).cache()
     counts = S.fold_class_counts(tf, vocab, K, binary, max_features)
     models = S.nbr_fold_models(counts) if binary else S.mnb_fold_models(counts, sizes, 0.5)
     return S.score_folds(tf, d, models, S.fold_bias(sizes), K, max_features, binary, name)

@@ -31,6 +31,8 @@ def fit(spark, sf, profile, lo, hi, max_features, min_df=1, max_df=1.0, analyzer
                              partitioned=True).persist(
         StorageLevel.MEMORY_AND_DISK)
     vocab = FT.with_smooth_idf(FT.vocabulary(tf, n, max_features, min_df, max_df, binary), n)
+    if max_features is not None:
+        vocab = vocab.cache()  # bounded; read by several branches
     return docs, tf, n, vocab
 
 
