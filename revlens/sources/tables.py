@@ -16,12 +16,25 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Key of each text table: a scan with fewer splits than task slots is spread on it.
+_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "benchmark": "item_id",
+         "labels": "doc_id", "embeddings": "vec_id"}
 
 
-def documents(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Scan one driver table. A file set too small to give every task slot a split (a single
+    parquet row group gives one task) is hash-spread on its key so the per-row text work runs
+    in parallel; a large table already has enough splits and is left as scanned."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = _KEYS.get(name)
+    slots = spark.sparkContext.defaultParallelism
+    if spread and key is not None and name != "labels" and df.rdd.getNumPartitions() < slots:
+        df = df.repartition(slots, key)
+    return df
+
+
+def documents(spark, sf_dir, spread: bool = True) -> DataFrame:
+    return table(spark, sf_dir, "documents", spread).select("doc_id", "text")
 
 
 def labels(spark, sf_dir) -> DataFrame:
@@ -29,13 +42,14 @@ def labels(spark, sf_dir) -> DataFrame:
 
 
 def labeled(spark, sf_dir) -> DataFrame:
-    """(doc_id, text, label). labels holds one row per doc, so the join keeps doc_id unique."""
-    return documents(spark, sf_dir).join(labels(spark, sf_dir), "doc_id")
+    """(doc_id, text, label). labels holds one row per doc, so the join keeps doc_id unique.
+    Not spread on read: feature paths hash-partition the raw reviews on id themselves."""
+    return documents(spark, sf_dir, spread=False).join(labels(spark, sf_dir), "doc_id")
 
 
 def test_reviews(spark, sf_dir) -> DataFrame:
     """(doc_id, text) of every document without a label."""
-    return documents(spark, sf_dir).join(labels(spark, sf_dir), "doc_id", "left_anti")
+    return documents(spark, sf_dir, spread=False).join(labels(spark, sf_dir), "doc_id", "left_anti")
 
 
 def unlabeled(spark, sf_dir) -> DataFrame:
