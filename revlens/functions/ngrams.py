@@ -33,12 +33,25 @@ def _ngrams_of(words: Column, n: int) -> Column:
 
 
 def word_ngrams(words: Column, lo: int = 1, hi: int = 1) -> Column:
-    """Contiguous n-grams lo..hi joined by one space, as one array (explode once)."""
+    """Contiguous n-grams lo..hi joined by one space, as one array (explode once).
+
+    Built incrementally: the n-gram at position i is the (n-1)-gram at i plus one space and
+    word i+n-1, so each gram costs one concatenation instead of re-joining n words. Every
+    intermediate array is bound once (``let``)."""
     if lo < 1 or hi < lo:
         raise ValueError("need 1 <= lo <= hi")
+
     def body(w):
-        parts = [_ngrams_of(w, n) for n in range(lo, hi + 1)]
-        return parts[0] if len(parts) == 1 else F.concat(*parts)
+        size = F.size(w)
+
+        def step(prev, n, acc):
+            if n > hi:
+                return acc[0] if len(acc) == 1 else F.concat(*acc)
+            cur = F.transform(F.slice(prev, 1, F.greatest(size - (n - 1), F.lit(0))),
+                              lambda g, i: F.concat(g, F.lit(" "), F.element_at(w, i + n)))
+            return let(cur, lambda c: step(c, n + 1, acc + ([c] if n >= lo else [])))
+
+        return step(w, 2, [w] if lo == 1 else [])
     return let(words, body)
 
 
