@@ -27,10 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
     in parallel; a large table already has enough splits and is left as scanned."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     key = _KEYS.get(name)
-    slots = spark.sparkContext.defaultParallelism
-    if spread and key is not None and name != "labels" and df.rdd.getNumPartitions() < slots:
-        df = df.repartition(slots, key)
-    return df
+    if not spread or key is None or name == "labels":
+        return df
+    try:
+        slots = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()  # planning only, no job
+    except Exception:  # noqa: BLE001 — sessions without RDD access keep the scan as is
+        return df
+    return df.repartition(slots, key) if splits < slots else df
 
 
 def documents(spark, sf_dir, spread: bool = True) -> DataFrame:
