@@ -61,7 +61,7 @@ def _fold_scorer(docs, n, profile, lo, hi, max_features, min_df, binary, name, s
 def oof_predictions(spark, sf):
     """(id, model, fold, label, p) for the three scorers."""
     docs = folds(spark, sf)
-    n = docs.count()
+    n = tables.labeled(spark, sf).count()  # same rows, counted before the joins
     sizes = S.fold_class_sizes(docs)
     mnb = _fold_scorer(docs, n, "letters", 1, 1, 5000, 2, False, "mnb", sizes)
     nbr = _fold_scorer(docs, n, "len2", 1, 2, 10000, 2, True, "nbr", sizes)

@@ -25,7 +25,7 @@ def labeled_docs(spark, sf, profile):
 def fit(spark, sf, profile, lo, hi, max_features, min_df=1, max_df=1.0, analyzer="word", binary=False):
     """(docs, tf, n_docs, vocab_with_idf) for one vectorizer instance on the labeled reviews."""
     docs = labeled_docs(spark, sf, profile)
-    n = docs.count()
+    n = tables.labeled(spark, sf).count()  # same rows, counted before the id shuffle
     # read twice (term statistics, then weights): keep it instead of re-cleaning the text
     tf = FT.term_frequencies(docs, "id", "words", lo, hi, analyzer, keep_cols=("label",),
                              partitioned=True).persist(
