@@ -22,12 +22,14 @@ def labeled_docs(spark, sf, profile):
                                             P.profile_tokens(profile, "text").alias("words"))
 
 
-def fit(spark, sf, profile, lo, hi, max_features, min_df=1, max_df=1.0, analyzer="word", binary=False):
-    """(docs, tf, n_docs, vocab_with_idf) for one vectorizer instance on the labeled reviews."""
+def fit(spark, sf, profile, lo, hi, max_features, min_df=1, max_df=1.0, analyzer="word", binary=False,
+        with_label=True):
+    """(docs, tf, n_docs, vocab_with_idf) for one vectorizer instance on the labeled reviews.
+    ``with_label`` carries the label in the term table (needed by the NB statistics only)."""
     docs = labeled_docs(spark, sf, profile)
     n = tables.labeled(spark, sf).count()  # same rows, counted before the id shuffle
     # read twice (term statistics, then weights): keep it instead of re-cleaning the text
-    tf = FT.term_frequencies(docs, "id", "words", lo, hi, analyzer, keep_cols=("label",),
+    tf = FT.term_frequencies(docs, "id", "words", lo, hi, analyzer, keep_cols=("label",) if with_label else (),
                              partitioned=True).persist(
         StorageLevel.MEMORY_AND_DISK)
     vocab = FT.with_smooth_idf(FT.vocabulary(tf, n, max_features, min_df, max_df, binary), n)
@@ -73,7 +75,7 @@ def char_wb_ngrams_q(spark, sf):
 SELECT term, idx, CAST(df AS BIGINT) AS df, CAST(cf AS BIGINT) AS cf FROM vocab""")
 def vocabulary_q(spark, sf):
     """D3: 1-2-grams, 8,000 terms, min_df 2, max_df 0.8 (letters cleaner)."""
-    _, _, _, v = fit(spark, sf, "letters", 1, 2, 8000, 2, 0.8)
+    _, _, _, v = fit(spark, sf, "letters", 1, 2, 8000, 2, 0.8, with_label=False)
     return v.select("term", "idx", F.col("df").cast("long").alias("df"), F.col("cf").cast("long").alias("cf"))
 
 
@@ -81,7 +83,7 @@ def vocabulary_q(spark, sf):
 SELECT t.id AS doc_id, t.term, v.idx, CAST(t.tf AS BIGINT) AS value FROM tf t JOIN vocab v ON t.term = v.term""")
 def count_bow_q(spark, sf):
     """Raw counts, unigrams, 5,000 terms, min_df 2, max_df 0.8."""
-    _, tf, _, v = fit(spark, sf, "letters", 1, 1, 5000, 2, 0.8)
+    _, tf, _, v = fit(spark, sf, "letters", 1, 1, 5000, 2, 0.8, with_label=False)
     return FT.count_matrix(tf, v, 5000).withColumnRenamed("id", "doc_id")
 
 
@@ -97,7 +99,7 @@ def binary_bow_q(spark, sf):
 SELECT term, CAST(df AS BIGINT) AS df, round(idf, 6) AS idf FROM vocab""")
 def document_frequency_q(spark, sf):
     """Document frequency and smooth idf, 1-2-grams, 10,000 terms, min_df 2, max_df 0.85."""
-    _, _, _, v = fit(spark, sf, "contract_stop", 1, 2, 10000, 2, 0.85)
+    _, _, _, v = fit(spark, sf, "contract_stop", 1, 2, 10000, 2, 0.85, with_label=False)
     return v.select("term", F.col("df").cast("long").alias("df"), F.round("idf", 6).alias("idf"))
 
 
@@ -108,7 +110,7 @@ SELECT id AS doc_id, term, round(value, 6) AS weight FROM x"""
 @query("tfidf", TFIDF_SQL)
 def tfidf_q(spark, sf):
     """D7, the flagship: default cleaner, 1-5-grams, 80,000 terms, sublinear tf, smooth idf, l2."""
-    _, tf, _, v = fit(spark, sf, "minstop_url", 1, 5, 80000, 1)
+    _, tf, _, v = fit(spark, sf, "minstop_url", 1, 5, 80000, 1, with_label=False)
     m = FT.tfidf_matrix(tf, v, 80000)
     return m.select(F.col("id").alias("doc_id"), "term", F.round("value", 6).alias("weight"))
 
@@ -118,7 +120,7 @@ def tfidf_q(spark, sf):
 SELECT id AS doc_id, term, round(value, 6) AS weight FROM x""")
 def char_tfidf_q(spark, sf):
     """char_wb 3-6-grams, 50,000 terms, min_df 2."""
-    _, tf, _, v = fit(spark, sf, "articles", 3, 6, 50000, 2, analyzer="char_wb")
+    _, tf, _, v = fit(spark, sf, "articles", 3, 6, 50000, 2, analyzer="char_wb", with_label=False)
     m = FT.tfidf_matrix(tf, v, 50000)
     return m.select(F.col("id").alias("doc_id"), "term", F.round("value", 6).alias("weight"))
 
@@ -133,7 +135,7 @@ SELECT id AS doc_id, term, round(value, 6) AS weight FROM x""")
 def transform_unseen_q(spark, sf):
     """Vocabulary + idf fitted on the labeled reviews applied to unseen documents
     (benchmark); unknown terms are ignored."""
-    _, _, _, v = fit(spark, sf, "contract_stop", 1, 2, 10000, 2, 0.85)
+    _, _, _, v = fit(spark, sf, "contract_stop", 1, 2, 10000, 2, 0.85, with_label=False)
     unseen = FT.by_review(tables.benchmark(spark, sf), "doc_id").select(
         F.col("doc_id").alias("id"), P.profile_tokens("contract_stop", "text").alias("words"))
     utf = FT.term_frequencies(unseen, "id", "words", 1, 2, partitioned=True)
@@ -206,7 +208,7 @@ SELECT id AS doc_id, idx, round(value, 6) AS value FROM x
 UNION ALL SELECT id AS doc_id, idx, round(value, 6) AS value FROM lexl""")
 def hstack_features_q(spark, sf):
     """TF-IDF block (1-5-grams, 80,000 terms) followed by the five lexicon columns."""
-    docs, tf, _, v = fit(spark, sf, "len2", 1, 5, 80000, 1)
+    docs, tf, _, v = fit(spark, sf, "len2", 1, 5, 80000, 1, with_label=False)
     width = v.count()
     lex = docs.select("id", *FT.lexicon_counts(F.col("words"), W.LEXICON_POSITIVE, W.LEXICON_NEGATIVE,
                                                W.LEXICON_NEGATION))
@@ -224,7 +226,7 @@ SELECT 'contains_not' AS part, CAST((SELECT count(*) FROM vocab) AS BIGINT) AS n
 FROM (SELECT * FROM vocab WHERE contains(term, 'not') ORDER BY term LIMIT 15) b""")
 def feature_listing_q(spark, sf):
     """Vocabulary size, the first 20 feature names and the first 15 containing 'not'."""
-    _, _, _, v = fit(spark, sf, "contract_stop", 1, 2, 10000, 2, 0.85)
+    _, _, _, v = fit(spark, sf, "contract_stop", 1, 2, 10000, 2, 0.85, with_label=False)
     n = v.count()
     first = v.orderBy("idx").limit(20).select(F.lit("first").alias("part"), "idx", "term")
     nots = (v.filter(F.col("term").contains("not")).orderBy("term").limit(15)
