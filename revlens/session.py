@@ -1,8 +1,8 @@
 """Session helpers.
 
 Cluster settings are never overridden: the checkpoint directory is read from the running
-session (``spark.checkpoint.dir``) and only filled in when it is unset, which is the case
-for local tests.
+session (``spark.checkpoint.dir``) and only filled in for a local master; elsewhere an unset
+folder is an error, because executors do not share the driver's disk.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -38,6 +38,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def _local_scratch(master: str) -> str:
+    """A private folder for a single-process session; executors elsewhere would not see it."""
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder when the master is {master}")
+    return tempfile.mkdtemp(prefix="revlens-ckpt-")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory; set a scratch one only when none is configured."""
     sc = spark.sparkContext
@@ -46,8 +53,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        # Only reached when nothing is configured (local tests): a private scratch folder.
-        d = tempfile.mkdtemp(prefix="revlens-ckpt-")
+        d = _local_scratch(sc.master)
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
@@ -56,3 +62,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint directory for materialised intermediates."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` under the shared folder and read it back: cuts lineage, survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
