@@ -164,6 +164,8 @@ class Scanner:
         grams = flat[:-2] << 16 | flat[1:-1] << 8 | flat[2:]
         at = np.flatnonzero(self.wanted[grams])
         pairs = np.unique(grams[at].astype(np.int64) << 32 | np.searchsorted(ends, at, side="right"))
+        if not len(pairs):
+            return {}
         held, starts = np.unique(pairs >> 32, return_index=True)
         return {int(g): p & 0xFFFFFFFF for g, p in zip(held, np.split(pairs, starts[1:]), strict=True)}
 

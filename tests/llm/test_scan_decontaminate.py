@@ -17,9 +17,8 @@ def test_trigram_queries():
 
 
 def plain_spans(text, rules):
-    return [(r.kind, m.start(), m.end()) for m in () for r in ()] or sorted(
-        ((m.start(), k, m.end()) for k, r in enumerate(rules) for m in re.finditer(r.pattern, text, r.flags)
-         if len(m.group(r.group)) >= r.least))
+    return sorted((m.start(), k, m.end()) for k, r in enumerate(rules)
+                  for m in re.finditer(r.pattern, text, r.flags) if len(m.group(r.group)) >= r.least)
 
 
 def test_scanner_equals_plain_scan_on_random_texts():
