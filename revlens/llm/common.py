@@ -80,3 +80,14 @@ def shared_uri(spark: SparkSession, name: str) -> str:
     uri = path if "://" in path else f"file://{path.removeprefix('file:')}"
     make_folder(uri)
     return uri
+
+
+def code_points(many: list[str]):
+    """All texts as one array of code points, each followed by a line break, and where each begins
+    (one entry more than texts)."""
+    import numpy as np
+
+    flat = np.frombuffer("\n".join([*many, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    starts = np.zeros(len(many) + 1, np.int64)
+    np.cumsum([len(t) + 1 for t in many], out=starts[1:])
+    return flat, starts
