@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from revlens.llm.decontaminate import op6_decontaminate
+from revlens.llm.langid import op1_langid
 from revlens.llm.piece_bpe import op4_sentencepiece
 from revlens.llm.quality import op9_quality
 from revlens.llm.secret_scan import op5_secret_scan
 
 QUERIES = {
+    "op1_langid": op1_langid,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_secret_scan": op5_secret_scan,
     "op6_decontaminate": op6_decontaminate,
