@@ -7,9 +7,11 @@ from revlens.llm.langid import op1_langid
 from revlens.llm.piece_bpe import op4_sentencepiece
 from revlens.llm.quality import op9_quality
 from revlens.llm.secret_scan import op5_secret_scan
+from revlens.llm.token_shards import op3_token_shards
 
 QUERIES = {
     "op1_langid": op1_langid,
+    "op3_token_shards": op3_token_shards,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_secret_scan": op5_secret_scan,
     "op6_decontaminate": op6_decontaminate,
