@@ -8,6 +8,7 @@ from revlens.llm.piece_bpe import op4_sentencepiece
 from revlens.llm.quality import op9_quality
 from revlens.llm.secret_scan import op5_secret_scan
 from revlens.llm.token_shards import op3_token_shards
+from revlens.llm.warc_bundles import OP8_SQL, op8_warc
 
 QUERIES = {
     "op1_langid": op1_langid,
@@ -15,6 +16,9 @@ QUERIES = {
     "op4_sentencepiece": op4_sentencepiece,
     "op5_secret_scan": op5_secret_scan,
     "op6_decontaminate": op6_decontaminate,
+    "op8_warc": op8_warc,
     "op9_quality": op9_quality,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_warc": OP8_SQL,
+}
