@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from revlens.llm.decontaminate import op6_decontaminate
+from revlens.llm.exact_dedup import OP10_SQL, op10_exact_dedup
 from revlens.llm.langid import op1_langid
+from revlens.llm.line_dedup import OP7_SQL, op7_line_dedup
 from revlens.llm.piece_bpe import op4_sentencepiece
 from revlens.llm.quality import op9_quality
 from revlens.llm.secret_scan import op5_secret_scan
@@ -16,9 +18,13 @@ QUERIES = {
     "op4_sentencepiece": op4_sentencepiece,
     "op5_secret_scan": op5_secret_scan,
     "op6_decontaminate": op6_decontaminate,
+    "op7_line_dedup": op7_line_dedup,
     "op8_warc": op8_warc,
     "op9_quality": op9_quality,
+    "op10_exact_dedup": op10_exact_dedup,
 }
 ORACLES: dict[str, str] = {
+    "op7_line_dedup": OP7_SQL,
     "op8_warc": OP8_SQL,
+    "op10_exact_dedup": OP10_SQL,
 }
