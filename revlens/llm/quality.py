@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from revlens.llm.common import code_points, documents, slices, table, texts
 
-BITS, FIT_ROWS, EPOCHS = 18, 20_000, 3
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
+BITS, FIT_ROWS, EPOCHS = 18, 20_000, 5
+ALPHA, BETA, L1, L2 = 4.0, 1.0, 0.02, 0.02
 THRESHOLD = 0.3
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _REPEATED = np.uint64(0x5851F42D4C957F2D)

@@ -6,6 +6,7 @@ from revlens.llm.decontaminate import op6_decontaminate
 from revlens.llm.exact_dedup import OP10_SQL, op10_exact_dedup
 from revlens.llm.langid import op1_langid
 from revlens.llm.line_dedup import OP7_SQL, op7_line_dedup
+from revlens.llm.near_dedup import op2_near_dedup
 from revlens.llm.piece_bpe import op4_sentencepiece
 from revlens.llm.quality import op9_quality
 from revlens.llm.secret_scan import op5_secret_scan
@@ -14,6 +15,7 @@ from revlens.llm.warc_bundles import OP8_SQL, op8_warc
 
 QUERIES = {
     "op1_langid": op1_langid,
+    "op2_near_dedup": op2_near_dedup,
     "op3_token_shards": op3_token_shards,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_secret_scan": op5_secret_scan,
