@@ -8,6 +8,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows of one Arrow batch are worked on in slices of about this many text bytes.
 SLICE_BYTES = 4 << 20
@@ -46,6 +47,11 @@ def pieces(total: int, each: int) -> int:
     return max(1, -(-int(total or 0) // each))
 
 
+def extended(df: DataFrame, more: str) -> T.StructType:
+    """The schema of ``df`` and the columns of a schema string after it."""
+    return T.StructType([*df.schema.fields, *T._parse_datatype_string(more).fields])
+
+
 def text_bytes(df: DataFrame, column: str = "text") -> int:
     """UTF-8 bytes of a text column."""
     return df.agg(F.sum(F.octet_length(column))).first()[0] or 0

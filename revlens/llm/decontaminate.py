@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import documents, pieces, slices, table, text_bytes, texts
+from revlens.llm.common import documents, extended, pieces, slices, table, text_bytes, texts
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
@@ -97,7 +97,8 @@ def _hits(machine, who, length, text: str) -> tuple[int, list[tuple[int, int]],
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                        block_bytes: int = BLOCK_BYTES, with_offsets: bool = True) -> DataFrame:
     """``docs`` (doc_id, text, any others) plus n_words, hit_words (merged word ranges, end exclusive),
-    hit_items (sorted ids) and, if asked for, hit_offsets (the ranges in code points of the original)."""
+    hit_items (sorted ids) and, if asked for, hit_offsets (the ranges in code points of the original).
+    Columns of ``docs`` with these names are replaced."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
                              F.coalesce("text", F.lit("")).alias("text"))
     blocks = pieces(text_bytes(items), block_bytes)
@@ -109,7 +110,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         held = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in block.collect()])
         out = _pass(out, held, window)
     if with_offsets:
-        out = out.mapInArrow(_offsets, _schema(out, f"hit_offsets {_RANGES}"))
+        out = out.drop("hit_offsets")
+        out = out.mapInArrow(_offsets, extended(out, f"hit_offsets {_RANGES}"))
     return out
 
 
@@ -118,10 +120,6 @@ T_WORDS, T_RANGES, T_ITEMS = ("n_words", "bigint"), ("hit_words", _RANGES), ("hi
 _PA_RANGES = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _schema(df: DataFrame, *more: str) -> str:
-    return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), *more])
-
-
 def _replace(batch: pa.RecordBatch, new: dict[str, pa.Array]) -> pa.RecordBatch:
     names = [*batch.schema.names, *(n for n in new if n not in batch.schema.names)]
     return pa.RecordBatch.from_arrays([new[n] if n in new else batch.column(n) for n in names], names)
@@ -153,7 +151,7 @@ def _pass(df: DataFrame, held, window: int) -> DataFrame:
                 "hit_items": pa.array([sorted({*(a or []), *s}) for a, (_, _, s) in zip(items, found, strict=True)],
                                       pa.list_(pa.string()))})
 
-    return df.mapInArrow(run, _schema(df))
+    return df.mapInArrow(run, df.schema)
 
 
 def _offsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import code_points, documents, slices, table, texts
+from revlens.llm.common import code_points, documents, extended, slices, table, texts
 
 BITS, FIT_ROWS, EPOCHS = 18, 20_000, 5
 ALPHA, BETA, L1, L2 = 4.0, 1.0, 0.02, 0.02
@@ -151,7 +151,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int
 
 
 def score_quality(df: DataFrame, weights: np.ndarray, bits: int = BITS) -> DataFrame:
-    """``df`` (with a text column and any others) plus score, 0 to 1."""
+    """``df`` (with a text column and any others; an own score is replaced) plus score, 0 to 1."""
+    df = df.drop("score")
     held = df.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,8 +163,7 @@ def score_quality(df: DataFrame, weights: np.ndarray, bits: int = BITS) -> DataF
             yield pa.RecordBatch.from_arrays(
                 [*part.columns, pa.array(1 / (1 + np.exp(-np.clip(raw, -35, 35))))], [*part.schema.names, "score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInArrow(run, f"{schema}, score double")
+    return df.mapInArrow(run, extended(df, "score double"))
 
 
 def held_out() -> Column:
