@@ -23,15 +23,6 @@ def vectorizer_tokens(words: Column) -> Column:
     return F.filter(F.transform(words, lambda w: F.lower(w)), lambda w: F.length(w) > 1)
 
 
-def _ngrams_of(words: Column, n: int) -> Column:
-    if n == 1:
-        return words
-    # positions 1..size-n+1; sequence(1, 0) would count down, hence the filter guard
-    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1))),
-                      lambda i: i + (n - 1) <= F.size(words))
-    return F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
-
-
 def word_ngrams(words: Column, lo: int = 1, hi: int = 1) -> Column:
     """Contiguous n-grams lo..hi joined by one space, as one array (explode once).
 

@@ -25,10 +25,6 @@ from revlens.operators.ranking import row_number0
 # Largest vocabulary shipped to every task as a broadcast hash table (rows).
 BROADCAST_VOCAB_ROWS = 2_000_000
 
-# Top-k by TakeOrderedAndProject funnels (partitions x k) candidate rows into one task;
-# above this many rows the vocabulary is cut with the distributed exact ranking instead.
-TOPK_MERGE_ROWS = 20_000_000
-
 
 def bounded_broadcast(df: DataFrame, row_bound: int | None) -> DataFrame:
     """Broadcast only a side whose row count is bounded by a parameter below the limit."""
@@ -79,15 +75,11 @@ def vocabulary(tf: DataFrame, n_docs: int, max_features: int | None = None,
     if max_features is not None:
         rank_col = "df" if binary else "cf"
         k = int(max_features)
-        parts = int(tf.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        if k * parts <= TOPK_MERGE_ROWS:
-            top = kept.orderBy(F.col(rank_col).desc(), F.col("term")).limit(k)
-        else:
-            top = (row_number0(kept, [F.col(rank_col).desc(), F.col("term")], out="_rk")
-                   .filter(F.col("_rk") < k).drop("_rk"))
+        top = (row_number0(kept, [F.col(rank_col).desc(), F.col("term")], out="_rk")
+               .filter(F.col("_rk") < k).drop("_rk"))
         # at most max_features rows: one small sorted window is fine here
         return top.withColumn("idx", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
-    return row_number0(kept, ["term"], out="idx").withColumn("idx", F.col("idx").cast("int"))
+    return row_number0(kept, ["term"], out="idx")  # bigint: the number of terms is not bounded
 
 
 def with_smooth_idf(vocab: DataFrame, n_docs: int) -> DataFrame:

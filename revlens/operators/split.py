@@ -54,8 +54,10 @@ def stratified_kfold(df: DataFrame, k: int = 5, label_col: str = "label", id_col
 
 
 def first_n_subset(df: DataFrame, n: int, id_col: str = "id") -> DataFrame:
-    """The first n rows by id (the order is made explicit)."""
-    return df.orderBy(id_col).limit(n)
+    """The first n rows by id (the order is made explicit). The ids are cut alone and joined
+    back, so the rows themselves keep their partitions."""
+    ids = df.select(F.col(id_col).alias("_first")).orderBy("_first").limit(n)
+    return df.join(ids, df[id_col] == ids["_first"], "left_semi")
 
 
 def class_weights_balanced(df: DataFrame, label_col: str = "label") -> DataFrame:

@@ -48,8 +48,8 @@ _DOCS_SQL = "SELECT CAST(doc_id AS VARCHAR) AS review_id, text FROM documents"
 
 @query("sentence_corpus", _sent_sql(_LABELED_SQL, "clean_first"))
 def sentence_corpus_q(spark, sf):
-    """C2 in the reviewed scripts' order (clean, then split): max 100 sentences per review."""
-    return _sent_out(C.sentence_rows(tables.labeled(spark, sf), "doc_id", mode="clean_first", max_sentences=100))
+    """C2 in the reviewed scripts' order (clean, then split), no cap."""
+    return _sent_out(C.sentence_rows(tables.labeled(spark, sf), "doc_id", mode="clean_first"))
 
 
 @query("review_to_sentences", _sent_sql(_DOCS_SQL, "split_first"))

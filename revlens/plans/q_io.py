@@ -99,7 +99,7 @@ def read_prediction_set_q(spark, sf):
 @query("sentence_corpus_store", _sent_sql(_LABELED_SQL, "clean_first"))
 def sentence_corpus_store_q(spark, sf):
     """The sentence corpus persisted as parquet (ARRAY<STRING>) and reloaded."""
-    rows = C.sentence_rows(tables.labeled(spark, sf), "doc_id", mode="clean_first", max_sentences=100)
+    rows = C.sentence_rows(tables.labeled(spark, sf), "doc_id", mode="clean_first")
     back = IO.store_sentences(rows, scratch_path(spark, "sentences"))
     return _sent_out(back)
 

@@ -32,6 +32,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.driver.memory", driver_memory))
     for k, v in _LOCAL_DEFAULTS.items():
         b = b.config(k, v)
+    if str(cores).isdigit():
+        b = b.config("spark.revlens.scanPartitions", str(cores))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

@@ -16,25 +16,22 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-# Key of each text table: a scan with fewer splits than task slots is spread on it.
+# Key that a text table is spread on where the session asks for it.
 _KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "benchmark": "item_id",
-         "labels": "doc_id", "embeddings": "vec_id"}
+         "embeddings": "vec_id"}
+
+#: Session setting: number of partitions that text scans are dealt to before per-row work. Unset (the
+#: default), a scan keeps its splits; tests and bench set it, because their files have one split.
+SPREAD_CONF = "spark.revlens.scanPartitions"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Scan one driver table. A file set too small to give every task slot a split (a single
-    parquet row group gives one task) is hash-spread on its key so the per-row text work runs
-    in parallel; a large table already has enough splits and is left as scanned."""
+    """Scan one driver table, dealt by its key to as many partitions as the session names, if it does."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = _KEYS.get(name)
-    if not spread or key is None or name == "labels":
-        return df
-    try:
-        slots = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()  # planning only, no job
-    except Exception:  # noqa: BLE001 — sessions without RDD access keep the scan as is
+    parts = spark.conf.get(SPREAD_CONF, None)
+    if not spread or not parts or name not in _KEYS:
         return df
-    return df.repartition(slots, key) if splits < slots else df
+    return df.repartition(int(parts), _KEYS[name])
 
 
 def documents(spark, sf_dir, spread: bool = True) -> DataFrame:

@@ -97,11 +97,18 @@ def test_rank_average_invariant_to_monotone_maps(spark):
     assert a == b
 
 
-def test_vocabulary_distributed_topk_equals_take_ordered(spark, monkeypatch):
+def test_vocabulary_top_k_equals_a_plain_sort(spark):
     rows = [(i % 17, f"t{(i * 7) % 53}", 1 + (i % 3)) for i in range(400)]
     tf = (spark.createDataFrame(rows, "id long, term string, tf long")
           .groupBy("id", "term").agg(F.sum("tf").alias("tf")))
-    a = [(r.term, r.idx, r.cf) for r in FT.vocabulary(tf, 17, 20).collect()]
-    monkeypatch.setattr(FT, "TOPK_MERGE_ROWS", 1)
-    b = [(r.term, r.idx, r.cf) for r in FT.vocabulary(tf, 17, 20).collect()]
-    assert sorted(a) == sorted(b) and len(a) == 20
+    cf = {}
+    for _, t, n in rows:
+        cf[t] = cf.get(t, 0) + n
+    top = sorted(sorted(cf, key=lambda t: (-cf[t], t))[:20])
+    got = sorted((r.idx, r.term, r.cf) for r in FT.vocabulary(tf, 17, 20).collect())
+    assert got == [(i, t, cf[t]) for i, t in enumerate(top)]
+
+
+def test_vocabulary_index_is_wide_without_a_bound(spark):
+    tf = spark.createDataFrame([(1, "b", 1), (1, "a", 1)], "id long, term string, tf long")
+    assert dict(FT.vocabulary(tf, 2).dtypes)["idx"] == "bigint"
