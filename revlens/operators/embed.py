@@ -1,8 +1,7 @@
 """Word vectors, document vectors and centroid features.
 
-Word-vector tables are (word, vector ARRAY<DOUBLE>). Lookups are equi-joins on word; the
-vector side is at most the vocabulary (bounded by min_count / the embedding table), and
-adaptive execution turns the join into a broadcast only after measuring that side.
+Word-vector tables are (word, vector ARRAY<DOUBLE>). Lookups are equi-joins on word over words
+counted per review; the table is measured and broadcast if small, else frequent words are salted.
 """
 
 from __future__ import annotations
@@ -60,43 +59,72 @@ def most_similar(vectors: DataFrame, word: str, topn: int = 10) -> DataFrame:
             .orderBy(F.col("similarity").desc(), F.col("word")).limit(topn))
 
 
+#: A word table is broadcast below this many bytes, measured before the join.
+BROADCAST_BYTES = 64 << 20
+#: Parts that a word's rows are dealt to where the table is too large to broadcast.
+SALTS = 16
+
+
+def _met(words: DataFrame, table: DataFrame, id_col: str, row_bytes: Column) -> DataFrame:
+    """``words`` (id, word, n) with the columns of ``table`` (word, ...), which is measured first: a
+    small one is broadcast; else the rows of a word are dealt to SALTS parts, so that no frequent
+    word lands in one task. Both ways give the same rows."""
+    if (table.agg(F.sum(row_bytes)).first()[0] or 0) <= BROADCAST_BYTES:
+        return words.join(F.broadcast(table), "word")
+    salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    own = words.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int"))
+    return own.join(salted, ["word", "_salt"]).drop("_salt")
+
+
+def _counted(tokens: DataFrame, id_col: str, words_col: str) -> DataFrame:
+    """(id, word, n): a review's words once each, summed before anything is joined."""
+    return tokens.select(id_col, F.explode(words_col).alias("word")).groupBy(id_col, "word").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 def mean_word_vector(tokens: DataFrame, vectors: DataFrame, dim: int, id_col: str = "id",
                      words_col: str = "words") -> DataFrame:
     """Mean of the in-vocabulary word vectors of each review (repeats count); a review
-    with no known word gets the zero vector. Element-wise mean via MLlib's Summarizer."""
-    hits = (tokens.select(id_col, F.explode(words_col).alias("word"))
-            .join(vectors.select("word", array_to_vector("vector").alias("v")), "word"))
-    means = hits.groupBy(id_col).agg(Summarizer.mean(F.col("v")).alias("m"),
-                                     F.count(F.lit(1)).alias("n_known"))
+    with no known word gets the zero vector. Element-wise weighted mean via MLlib's Summarizer."""
+    table = vectors.select("word", array_to_vector("vector").alias("v"))
+    hits = _met(_counted(tokens, id_col, words_col), table, id_col, F.octet_length("word") + 8 * dim + 16)
+    means = hits.groupBy(id_col).agg(Summarizer.mean(F.col("v"), F.col("n").cast("double")).alias("m"),
+                                     F.sum("n").alias("n_known"))
     zero = F.array_repeat(F.lit(0.0), dim)
     return (tokens.select(id_col).join(means, id_col, "left")
             .select(id_col, F.coalesce(F.col("n_known"), F.lit(0)).cast("long").alias("n_known"),
                     F.when(F.col("m").isNull(), zero).otherwise(vector_to_array("m")).alias("vector")))
 
 
-def nearest_centroid(vec: Column, centers: list[list[float]]) -> Column:
-    """Index of the closest centre (squared Euclidean, ties -> lowest index). ``centers`` is a
-    k x dim literal; for large k use the KMeans model's own transform."""
-    lits = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centers])
-    d = F.transform(lits, lambda c: F.aggregate(F.zip_with(vec, c, lambda a, b: (a - b) * (a - b)),
-                                                F.lit(0.0), lambda acc, x: acc + x))
-    return (F.array_position(d, F.array_min(d)) - 1).cast("int")
+def label_centroids(vectors: DataFrame) -> DataFrame:
+    """(centroid, center): mean vector per label, numbered in label order; a table of k rows."""
+    from pyspark.sql import Window
+    means = vectors.groupBy("label").agg(vector_to_array(Summarizer.mean(array_to_vector("vector"))).alias("center"))
+    return means.select((F.row_number().over(Window.orderBy("label")) - 1).cast("int").alias("centroid"), "center")
+
+
+def nearest_centroid(vectors: DataFrame, centers: DataFrame) -> DataFrame:
+    """``vectors`` (word, vector, ...) plus the closest of ``centers`` (centroid, center): squared
+    Euclidean distance, ties to the lowest number. The centres are one value of a subquery, so the
+    plan does not grow with their number."""
+    one = centers.agg(F.sort_array(F.collect_list(F.struct("centroid", "center"))))  # k rows in one value
 
+    def far(c: Column) -> Column:
+        d = F.aggregate(F.zip_with(F.col("vector"), c["center"], lambda a, b: (a - b) * (a - b)),
+                        F.lit(0.0), lambda acc, x: acc + x)
+        return F.struct(d.alias("d"), c["centroid"].alias("centroid"))
 
-def label_centroids(vectors: DataFrame, dim: int) -> list[list[float]]:
-    """Centres = mean vector per label (k rows, reaches the driver as coefficients)."""
-    rows = (vectors.groupBy("label").agg(Summarizer.mean(array_to_vector("vector")).alias("c"))
-            .orderBy("label").collect())
-    return [list(map(float, r["c"].toArray())) for r in rows]
+    held = vectors.withColumn("_all", one.scalar())
+    return held.withColumn("centroid", F.array_min(F.transform("_all", far))["centroid"]).drop("_all")
 
 
 def centroid_histogram(tokens: DataFrame, word_centroid: DataFrame, id_col: str = "id",
                        words_col: str = "words") -> DataFrame:
     """(id, centroid, share) — share of a review's in-vocabulary words per centroid;
     shares of a review sum to 1; a review with no known word has no rows (the zero row)."""
-    hits = (tokens.select(id_col, F.explode(words_col).alias("word"))
-            .join(word_centroid.select("word", "centroid"), "word"))
-    per = hits.groupBy(id_col, "centroid").agg(F.count(F.lit(1)).alias("c"))
+    hits = _met(_counted(tokens, id_col, words_col), word_centroid.select("word", "centroid"), id_col,
+                F.octet_length("word") + 16)
+    per = hits.groupBy(id_col, "centroid").agg(F.sum("n").alias("c"))
     from pyspark.sql import Window
     tot = F.sum("c").over(Window.partitionBy(id_col))  # rows per review <= number of centroids
     return per.select(id_col, "centroid", (F.col("c") / tot).alias("share"))
@@ -105,11 +133,10 @@ def centroid_histogram(tokens: DataFrame, word_centroid: DataFrame, id_col: str
 def kmeans_centroids(vectors: DataFrame, k: int, n_init: int = 5, max_iter: int = 20, seed: int = 42):
     """K-means on the word vectors; n_init seeds, the fit with the lowest cost is kept."""
     from pyspark.ml.clustering import KMeans
-    data = vectors.select("word", array_to_vector("vector").alias("features")).cache()
+    data = vectors.select("word", array_to_vector("vector").alias("features"))
     best = None
     for i in range(n_init):
         m = KMeans(k=k, maxIter=max_iter, seed=seed + i, featuresCol="features").fit(data)
         if best is None or m.summary.trainingCost < best.summary.trainingCost:
             best = m
-    data.unpersist()
     return best

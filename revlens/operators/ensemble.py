@@ -56,12 +56,12 @@ def combiners(pred: DataFrame, weights: DataFrame | None = None, normalise: bool
         "ens_geometric", "ens_harmonic", "ens_power", "ens_median")
 
 
-def rank_average(pred: DataFrame, id_col: str = "id") -> DataFrame:
-    """Each model's average-tie rank of p, mean over models, divided by the row count of a
-    model. Ranks are computed per distinct (model, p) and joined back on (model, p)."""
-    ranks = average_rank_table(pred, "p", ["model"])
+def rank_average(pred: DataFrame, id_col: str = "id", rank_col: str = "p") -> DataFrame:
+    """Each model's average-tie rank of ``rank_col``, mean over models, divided by the row count of
+    a model. Ranks are computed per distinct (model, value) and joined back on both."""
+    ranks = average_rank_table(pred, rank_col, ["model"])
     n_rows = pred.groupBy("model").agg(F.count(F.lit(1)).alias("_n"))  # one row per model
-    r = (pred.join(ranks.select("model", "p", "avg_rank"), ["model", "p"])
+    r = (pred.join(ranks.select("model", rank_col, "avg_rank"), ["model", rank_col])
          .join(F.broadcast(n_rows), "model"))
     return r.groupBy(id_col).agg(F.avg(F.col("avg_rank") / F.col("_n")).alias("ens_rank"))
 

@@ -7,7 +7,6 @@ with standardization off and no elastic net.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 from revlens.operators import features as FT
 from revlens.operators.split import stratified_kfold, with_class_weight
 from revlens.operators.vectors import assemble_sparse
+from revlens.session import written
 
 
 def p_positive(df: DataFrame, out: str = "p") -> DataFrame:
@@ -31,10 +31,9 @@ def tfidf_train_test(train_docs: DataFrame, test_docs: DataFrame | None, lo: int
     """Fit vocabulary + idf on ``train_docs`` (id, label, words); return long features for
     both sides plus the vocabulary width."""
     n = train_docs.count()
-    tf = FT.term_frequencies(train_docs, "id", "words", lo, hi, analyzer, keep_cols=("label",),
-                             partitioned=True).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    vocab = FT.with_smooth_idf(FT.vocabulary(tf, n, max_features, min_df, max_df), n).cache()
+    tf = written(FT.term_frequencies(train_docs, "id", "words", lo, hi, analyzer, keep_cols=("label",),
+                                     partitioned=True), "terms")
+    vocab = written(FT.with_smooth_idf(FT.vocabulary(tf, n, max_features, min_df, max_df), n), "vocabulary")
     width = vocab.count()
     train = FT.tfidf_matrix(tf, vocab, max_features).select("id", "idx", "value")
     test = None
@@ -46,9 +45,8 @@ def tfidf_train_test(train_docs: DataFrame, test_docs: DataFrame | None, lo: int
 
 def binary_train_test(train_docs, test_docs, lo, hi, max_features, min_df=1):
     n = train_docs.count()
-    tf = FT.term_frequencies(train_docs, "id", "words", lo, hi, keep_cols=("label",), partitioned=True).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    vocab = FT.vocabulary(tf, n, max_features, min_df, 1.0, binary=True).cache()
+    tf = written(FT.term_frequencies(train_docs, "id", "words", lo, hi, keep_cols=("label",), partitioned=True), "terms")
+    vocab = written(FT.vocabulary(tf, n, max_features, min_df, 1.0, binary=True), "vocabulary")
     width = vocab.count()
     train = FT.count_matrix(tf, vocab, max_features, binary=True)
     test = None
@@ -87,8 +85,7 @@ def fit_lr(train: DataFrame, C: float, max_iter: int = 100, balanced: bool = Fal
 
 
 def c_sweep(train: DataFrame, test: DataFrame, Cs, prefix: str = "lr_c", max_iter: int = 100) -> DataFrame:
-    """one model per C over one cached training table -> long (id, model, p)."""
-    train = train.cache()
+    """one model per C over one written training table -> long (id, model, p)."""
     n = train.count()
     out = None
     for C in Cs:
@@ -117,6 +114,12 @@ def sgd_log_loss(train: DataFrame, alpha: float = 1e-4, max_iter: int = 100):
                               standardization=False, maxIter=max_iter).fit(train)
 
 
+def with_folds(vectors: DataFrame, k: int) -> DataFrame:
+    """Vectors with their fold: folds are ranked on (id, label) alone, then joined back once."""
+    folds = stratified_kfold(vectors.select("id", "label"), k, "label", "id").select("id", "fold")
+    return written(vectors.join(folds, "id"), "folded")
+
+
 def _platt_fit(scores: DataFrame):
     """1-d logistic fit of (score, label) with Platt's soft targets: every example becomes two
     weighted rows (label 1 weight t, label 0 weight 1 - t)."""
@@ -137,14 +140,16 @@ def calibrated(train: DataFrame, test: DataFrame, base: str = "svc", C: float =
                name: str = "svc") -> DataFrame:
     """Base classifier per fold, sigmoid calibration on the held-out fold, mean of the
     calibrated classifiers' probabilities on ``test``."""
-    folded = stratified_kfold(train, cv, "label", "id").cache()
+    folded = with_folds(train, cv)
     out = None
     for f in range(cv):
         tr = folded.filter(F.col("fold") != f)
         ho = folded.filter(F.col("fold") == f)
         n = tr.count()
         if base == "svc":
-            m = LinearSVC(featuresCol="features", labelCol="label", regParam=1.0 / (C * n), maxIter=100).fit(tr)
+            # hinge loss; the C-mapping holds for features as they are
+            m = LinearSVC(featuresCol="features", labelCol="label", regParam=1.0 / (C * n), maxIter=100,
+                          standardization=False).fit(tr)
         else:
             m = logistic_regression(C, n).fit(tr)
         raw = lambda df: m.transform(df).withColumn("score", vector_to_array("rawPrediction")[1])

@@ -40,9 +40,11 @@ def roc_auc(pred: DataFrame, group_cols: Sequence[str] = ("model",), p_col: str
     return g.select(*group_cols, auc.alias("auc"))
 
 
-def cross_validate(pred: DataFrame, model_col: str = "model", fold_col: str = "fold") -> DataFrame:
-    """Per-fold AUC and accuracy, then mean and population std over folds."""
-    per = roc_auc(pred, (model_col, fold_col)).join(accuracy(pred, (model_col, fold_col)), [model_col, fold_col])
+def cross_validate(pred: DataFrame, model_col: str = "model", fold_col: str = "fold",
+                   rank_col: str = "p") -> DataFrame:
+    """Per-fold AUC (of ``rank_col``: a probability or a raw score) and accuracy, then mean and
+    population std over folds."""
+    per = roc_auc(pred, (model_col, fold_col), rank_col).join(accuracy(pred, (model_col, fold_col)), [model_col, fold_col])
     return per.groupBy(model_col).agg(
         F.avg("auc").alias("mean_auc"), F.stddev_pop("auc").alias("std_auc"),
         F.avg("accuracy").alias("mean_accuracy"), F.stddev_pop("accuracy").alias("std_accuracy"),

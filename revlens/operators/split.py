@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from revlens.operators.ranking import row_number0
 
 
+#: Labelled rows of the quick searches (E4, E8): their documented bound.
+QUICK_ROWS = 5000
+
+
 def shuffle_key(id_col: str, seed: int = 42):
     return F.md5(F.concat(F.lit(f"{seed}|"), F.col(id_col).cast("string")))
 

@@ -15,6 +15,7 @@ from revlens.operators import corpus as C
 from revlens.operators import embed as EM
 from revlens.plans import duck as D
 from revlens.plans.registry import query
+from revlens.session import written
 from revlens.sources import tables
 
 
@@ -25,7 +26,7 @@ def word_freq(spark, sf):
 
 
 def word_vectors(spark, sf):
-    return EM.attach_vectors(word_freq(spark, sf), tables.embeddings(spark, sf))
+    return written(EM.attach_vectors(word_freq(spark, sf), tables.embeddings(spark, sf)), "word-vectors")
 
 
 def dim_of(spark, sf):
@@ -34,7 +35,7 @@ def dim_of(spark, sf):
 
 def centers(spark, sf):
     e = tables.embeddings(spark, sf).select("label", F.transform("embedding", lambda x: x.cast("double")).alias("vector"))
-    return EM.label_centroids(e, dim_of(spark, sf))
+    return EM.label_centroids(e)
 
 
 def labeled_tokens(spark, sf):
@@ -76,7 +77,7 @@ FROM vec v CROSS JOIN q WHERE v.word <> q.word
 ORDER BY list_cosine_similarity(v.vector, q.vector) DESC, v.word LIMIT 10""")
 def most_similar_q(spark, sf):
     """Ten nearest words (cosine) to the most frequent word."""
-    v = word_vectors(spark, sf).cache()
+    v = word_vectors(spark, sf)
     top = v.filter(F.col("vec_id") == 0).select("word").first()
     out = EM.most_similar(v, top[0] if top else "", 10)
     return out.select("word", F.round("similarity", 6).alias("similarity"))
@@ -98,8 +99,7 @@ def mean_word_vector_q(spark, sf):
 
 
 def word_centroid(spark, sf):
-    v = word_vectors(spark, sf)
-    return v.select("word", EM.nearest_centroid(F.col("vector"), centers(spark, sf)).alias("centroid"))
+    return EM.nearest_centroid(word_vectors(spark, sf), centers(spark, sf)).select("word", "centroid")
 
 
 @query("word_to_centroid", "WITH " + VEC_CTES + "\nSELECT word, CAST(centroid AS INTEGER) AS centroid FROM w2c")

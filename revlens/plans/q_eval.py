@@ -7,12 +7,12 @@ scorers:
   mnb  multinomial naive Bayes, alpha 0.5, counts of letters-cleaner unigrams (5,000, min_df 2)
   nbr  NB log-count-ratio linear scorer, 0/1 presence of 1-2-grams (10,000, min_df 2)
   lex  lexicon share (pos + 1) / (pos + neg + 2)
-Probabilities are rounded to 9 decimals before ranking so that both engines see the same ties.
+Metrics rank by log-odds rounded to six decimals, so that both engines see the same ties and long
+reviews whose probabilities are all but 0 or 1 keep their order; only output columns are rounded.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from revlens.functions import profiles as P
@@ -24,7 +24,7 @@ from revlens.operators import scorers as S
 from revlens.operators import split as SP
 from revlens.plans import duck as D
 from revlens.plans.registry import query
-from revlens.session import ensure_checkpoint_dir
+from revlens.session import scratch_path, scratch_paths, written
 from revlens.sources import tables
 
 K = 5
@@ -47,34 +47,67 @@ def folds(spark, sf):
     return lab.join(f.select("id", "fold"), "id").repartition("id")
 
 
-def _fold_scorer(docs, n, profile, lo, hi, max_features, min_df, binary, name, sizes):
-    d = docs.select("id", "label", "fold", P.profile_tokens(profile, "text").alias("words"))
-    tf = FT.term_frequencies(d, "id", "words", lo, hi, keep_cols=("label", "fold"), partitioned=True).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    # bounded by max_features and read by several branches: materialise it once
-    vocab = FT.vocabulary(tf, n, max_features, min_df, 1.0, binary).cache()
+def _fold_scorer(d, n, lo, hi, max_features, min_df, binary, name, sizes):
+    tf = written(FT.term_frequencies(d, "id", "words", lo, hi, keep_cols=("label", "fold"), partitioned=True), "terms")
+    vocab = written(FT.vocabulary(tf, n, max_features, min_df, 1.0, binary), "vocabulary")
     counts = S.fold_class_counts(tf, vocab, K, binary, max_features)
     models = S.nbr_fold_models(counts) if binary else S.mnb_fold_models(counts, sizes, 0.5)
     return S.score_folds(tf, d, models, S.fold_bias(sizes), K, max_features, binary, name)
 
 
-def oof_predictions(spark, sf):
-    """(id, model, fold, label, p) for the three scorers."""
+SCORERS = ("mnb", "nbr", "lex")
+#: Prediction tables written by this process: (application, input, scorer) -> path.
+_WRITTEN: dict[tuple, str] = {}
+
+
+def _stamp(spark, sf):
+    """What tells one state of the input from another: rows and newest file of both tables."""
+    return tuple(tuple(spark.read.parquet(f"{sf.rstrip('/')}/{t}.parquet").agg(
+        F.count(F.lit(1)), F.max("_metadata.file_modification_time").cast("string")).first())
+        for t in ("documents", "labels"))
+
+
+def _score_all(spark, sf, wanted):
+    """The wanted scorers' rows; len2 words are cleaned once for the two scorers that take them."""
     docs = folds(spark, sf)
-    n = tables.labeled(spark, sf).count()  # same rows, counted before the joins
-    sizes = S.fold_class_sizes(docs)
-    mnb = _fold_scorer(docs, n, "letters", 1, 1, 5000, 2, False, "mnb", sizes)
-    nbr = _fold_scorer(docs, n, "len2", 1, 2, 10000, 2, True, "nbr", sizes)
-    lexc = FT.lexicon_counts(P.profile_tokens("len2", "text"), W.LEXICON_POSITIVE, W.LEXICON_NEGATIVE,
-                             W.LEXICON_NEGATION)
-    lex = docs.select("id", "fold", "label", lexc[0], lexc[1]).select(
-        "id", F.lit("lex").alias("model"), "fold", "label",
-        ((F.col("pos") + 1.0) / (F.col("pos") + F.col("neg") + 2.0)).alias("p"))
-    out = mnb.select("id", "model", "fold", "label", "p").unionByName(
-        nbr.select("id", "model", "fold", "label", "p")).unionByName(lex)
-    # several metrics read this table: materialise it once in the shared checkpoint folder
-    ensure_checkpoint_dir(spark)
-    return out.withColumn("p", F.round("p", 9)).checkpoint(eager=True)
+    n = tables.labels(spark, sf).count()
+    out = {}
+    if {"mnb", "nbr"} & set(wanted):
+        sizes = written(S.fold_class_sizes(docs.select("fold", "label")), "fold-sizes")
+    if "mnb" in wanted:
+        d = docs.select("id", "label", "fold", P.profile_tokens("letters", "text").alias("words"))
+        out["mnb"] = _fold_scorer(d, n, 1, 1, 5000, 2, False, "mnb", sizes)
+    if {"nbr", "lex"} & set(wanted):
+        d = docs.select("id", "label", "fold", P.profile_tokens("len2", "text").alias("words"))
+        if {"nbr", "lex"} <= set(wanted):
+            d = written(d, "len2-words").repartition("id")
+        if "nbr" in wanted:
+            out["nbr"] = _fold_scorer(d, n, 1, 2, 10000, 2, True, "nbr", sizes)
+        if "lex" in wanted:
+            hits = FT.lexicon_counts(F.col("words"), W.LEXICON_POSITIVE, W.LEXICON_NEGATIVE, W.LEXICON_NEGATION)
+            lex = d.select("id", "fold", "label", hits[0], hits[1])
+            out["lex"] = lex.select("id", F.lit("lex").alias("model"), "fold", "label",
+                                    F.log((F.col("pos") + 1.0) / (F.col("neg") + 1.0)).alias("logodds"),
+                                    ((F.col("pos") + 1.0) / (F.col("pos") + F.col("neg") + 2.0)).alias("p"))
+    return out
+
+
+def oof_predictions(spark, sf, wanted=SCORERS):
+    """(id, model, fold, label, z, p) of the wanted scorers. ``z`` is the log-odds rounded to six
+    decimals, which absorbs the engines' noise and is what ranks; ``p`` is not rounded. A scorer's
+    table is written once per application and state of the input, and read by every metric."""
+    key = (spark.sparkContext.applicationId, sf, _stamp(spark, sf))
+    missing = [m for m in wanted if (*key, m) not in _WRITTEN or _WRITTEN[(*key, m)] not in scratch_paths(spark)]
+    if missing:
+        for m, rows in _score_all(spark, sf, missing).items():
+            path = scratch_path(spark, f"oof-{m}")
+            rows.select("id", "model", "fold", "label", F.round("logodds", 6).alias("z"), "p").write.parquet(path)
+            _WRITTEN[(*key, m)] = path
+    out = None
+    for m in wanted:
+        one = spark.read.parquet(_WRITTEN[(*key, m)])
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def _r6(c):
@@ -128,17 +161,18 @@ PRED_CTES = "WITH " + _FOLDS_SQL + ",\n" + _scorer_sql("a_", "letters", 1, 1, 50
     + _scorer_sql("b_", "len2", 1, 2, 10000, 2, True, "nbr") + f""",
 c_w AS (SELECT id, fold, label, {D.profile_tokens('len2', 'text')} AS w FROM folds),
 c_pred AS (SELECT id, 'lex' AS model, fold, label,
+                  ln(({_lex_hits('w', W.LEXICON_POSITIVE)} + 1.0) / ({_lex_hits('w', W.LEXICON_NEGATIVE)} + 1.0)) AS logodds,
                   ({_lex_hits('w', W.LEXICON_POSITIVE)} + 1.0) / ({_lex_hits('w', W.LEXICON_POSITIVE)} + {_lex_hits('w', W.LEXICON_NEGATIVE)} + 2.0) AS p
            FROM c_w),
 pred AS (
-  SELECT id, model, fold, label, round(1.0 / (1.0 + exp(-greatest(least(logodds, 700.0), -700.0))), 9) AS p FROM a_pred
+  SELECT id, model, fold, label, round(logodds, 6) AS z, 1.0 / (1.0 + exp(-greatest(least(logodds, 700.0), -700.0))) AS p FROM a_pred
   UNION ALL
-  SELECT id, model, fold, label, round(1.0 / (1.0 + exp(-greatest(least(logodds, 700.0), -700.0))), 9) AS p FROM b_pred
+  SELECT id, model, fold, label, round(logodds, 6) AS z, 1.0 / (1.0 + exp(-greatest(least(logodds, 700.0), -700.0))) AS p FROM b_pred
   UNION ALL
-  SELECT id, model, fold, label, round(p, 9) AS p FROM c_pred)"""
+  SELECT id, model, fold, label, round(logodds, 6) AS z, p FROM c_pred)"""
 
-_AUC_CTE = """r AS (SELECT {g}, p, count(*) AS cnt, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS npos FROM pred GROUP BY {g}, p),
-r2 AS (SELECT *, coalesce(sum(cnt) OVER (PARTITION BY {g} ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+_AUC_CTE = """r AS (SELECT {g}, z, count(*) AS cnt, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS npos FROM pred GROUP BY {g}, z),
+r2 AS (SELECT *, coalesce(sum(cnt) OVER (PARTITION BY {g} ORDER BY z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
                  + (cnt + 1) / 2.0 AS avg_rank FROM r),
 auc AS (SELECT {g}, (sum(npos * avg_rank) - sum(npos) * (sum(npos) + 1) / 2.0)
                     / (CAST(sum(npos) AS DOUBLE) * (sum(cnt) - sum(npos))) AS auc FROM r2 GROUP BY {g}),
@@ -187,11 +221,11 @@ def stratified_kfold_q(spark, sf):
     return SP.stratified_kfold(lab, K, "label", "id", SEED).select(F.col("id").alias("doc_id"), "label", "fold")
 
 
-@query("first_n_subset", f"SELECT id AS doc_id, label FROM ({_LAB}) lab ORDER BY id LIMIT 5000")
-def first_n_subset_q(spark, sf):
-    """The leading 5,000 labeled reviews by id (the quick-search subset)."""
+@query("first_n_subset", f"SELECT id AS doc_id, label FROM ({_LAB}) lab ORDER BY id LIMIT {SP.QUICK_ROWS}")
+def first_n_subset_q(spark, sf, fit_rows=SP.QUICK_ROWS):
+    """The leading ``fit_rows`` labeled reviews by id (the quick-search subset)."""
     lab = labeled_ids(spark, sf).select("id", "label")
-    return SP.first_n_subset(lab, 5000, "id").select(F.col("id").alias("doc_id"), "label")
+    return SP.first_n_subset(lab, fit_rows, "id").select(F.col("id").alias("doc_id"), "label")
 
 
 @query("class_weights_balanced", f"""
@@ -208,17 +242,18 @@ def class_weights_q(spark, sf):
 
 
 @query("multinomial_nb", PRED_CTES + """
-SELECT id AS doc_id, fold, label, p FROM pred WHERE model = 'mnb'""")
+SELECT id AS doc_id, fold, label, round(p, 9) AS p FROM pred WHERE model = 'mnb'""")
 def multinomial_nb_q(spark, sf):
     """F8: out-of-fold multinomial NB posteriors (class log prior + smoothed likelihood)."""
-    return oof_predictions(spark, sf).filter(F.col("model") == "mnb").select(
-        F.col("id").alias("doc_id"), "fold", "label", "p")
+    return oof_predictions(spark, sf, ("mnb",)).select(
+        F.col("id").alias("doc_id"), "fold", "label", F.round("p", 9).alias("p"))
 
 
-@query("oof_predictions", PRED_CTES + "\nSELECT id AS doc_id, model, fold, label, p FROM pred")
+@query("oof_predictions", PRED_CTES + "\nSELECT id AS doc_id, model, fold, label, round(p, 9) AS p FROM pred")
 def oof_predictions_q(spark, sf):
     """The shared prediction table: three scorers, out of fold."""
-    return oof_predictions(spark, sf).select(F.col("id").alias("doc_id"), "model", "fold", "label", "p")
+    return oof_predictions(spark, sf).select(F.col("id").alias("doc_id"), "model", "fold", "label",
+                                              F.round("p", 9).alias("p"))
 
 
 @query("linear_scorer", "WITH " + D.fit_ctes("len2", 1, 4, 80000, 1, binary=True) + """,
@@ -236,7 +271,7 @@ def linear_scorer_q(spark, sf):
     from revlens.plans.q_features import fit
     docs, tf, _, v = fit(spark, sf, "len2", 1, 4, 80000, 1, binary=True)
     r = FT.nb_log_ratio(FT.nb_class_sums(tf, v, 80000)).select("idx", F.col("r").alias("w"))
-    cnt = {row[0]: row[1] for row in docs.groupBy("label").count().collect()}
+    cnt = {row[0]: row[1] for row in tables.labeled(spark, sf).groupBy("label").count().collect()}
     import math
     b = math.log(cnt.get(1, 0) / cnt.get(0, 1)) if cnt.get(1) and cnt.get(0) else 0.0
     feat = FT.count_matrix(tf, v, 80000, binary=True)
@@ -253,7 +288,7 @@ def accuracy_q(spark, sf):
 @query("roc_auc", PRED_CTES + ",\n" + auc_ctes("model") + "\nSELECT model, round(auc, 6) AS auc FROM auc")
 def roc_auc_q(spark, sf):
     """Exact AUC with average ranks for ties, per scorer."""
-    return M.roc_auc(oof_predictions(spark, sf)).select("model", _r6("auc"))
+    return M.roc_auc(oof_predictions(spark, sf), p_col="z").select("model", _r6("auc"))
 
 
 _CV_SQL = PRED_CTES + ",\n" + auc_ctes("model, fold") + """,
@@ -267,7 +302,7 @@ SELECT model, round(mean_auc, 6) AS mean_auc, round(std_auc, 6) AS std_auc, roun
        round(std_accuracy, 6) AS std_accuracy, CAST(n_folds AS BIGINT) AS n_folds FROM cv""")
 def cross_validate_q(spark, sf):
     """Per-fold AUC / accuracy, mean and population std."""
-    cv = M.cross_validate(oof_predictions(spark, sf))
+    cv = M.cross_validate(oof_predictions(spark, sf), rank_col="z")
     return cv.select("model", _r6("mean_auc"), _r6("std_auc"), _r6("mean_accuracy"), _r6("std_accuracy"),
                      F.col("n_folds").cast("long").alias("n_folds"))
 
@@ -276,7 +311,7 @@ def cross_validate_q(spark, sf):
 SELECT model AS best, round(mean_auc, 6) AS best_mean_auc FROM cv ORDER BY mean_auc DESC, model LIMIT 1""")
 def select_best_q(spark, sf):
     """Argmax of the CV metric."""
-    best = M.select_best(M.cross_validate(oof_predictions(spark, sf)))
+    best = M.select_best(M.cross_validate(oof_predictions(spark, sf), rank_col="z"))
     return best.select("best", _r6("best_mean_auc"))
 
 
@@ -285,7 +320,7 @@ SELECT model, round(auc, 6) AS auc,
        CASE WHEN auc >= 0.94 THEN 'excellent' WHEN auc >= 0.90 THEN 'good' ELSE 'below' END AS band FROM auc""")
 def score_gate_q(spark, sf):
     """Band each scorer's AUC at 0.94 / 0.90."""
-    a = M.roc_auc(oof_predictions(spark, sf))
+    a = M.roc_auc(oof_predictions(spark, sf), p_col="z")
     return a.select("model", _r6("auc"), M.score_gate("auc").alias("band"))
 
 
@@ -301,7 +336,7 @@ def threshold_label_q(spark, sf):
 SELECT model, round(auc, 6) AS auc, round(auc - (SELECT auc FROM auc WHERE model = 'lex'), 6) AS delta_auc FROM auc""")
 def model_comparison_q(spark, sf):
     """AUC per scorer and its gain over the lexicon baseline."""
-    rep = M.model_comparison(M.roc_auc(oof_predictions(spark, sf)), "lex")
+    rep = M.model_comparison(M.roc_auc(oof_predictions(spark, sf), p_col="z"), "lex")
     return rep.select("model", _r6("auc"), _r6("delta_auc"))
 
 
@@ -361,14 +396,14 @@ for _col, _doc in [("ens_mean", "G1: mean over models"), ("ens_weighted", "G2: n
 
 
 @query("ens_rank_average", PRED_CTES + """,
-r AS (SELECT model, p, count(*) AS cnt FROM pred GROUP BY model, p),
-r2 AS (SELECT model, p, coalesce(sum(cnt) OVER (PARTITION BY model ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+r AS (SELECT model, z, count(*) AS cnt FROM pred GROUP BY model, z),
+r2 AS (SELECT model, z, coalesce(sum(cnt) OVER (PARTITION BY model ORDER BY z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
                         + (cnt + 1) / 2.0 AS avg_rank, sum(cnt) OVER (PARTITION BY model) AS n FROM r)
 SELECT pred.id AS doc_id, round(avg(r2.avg_rank / r2.n), 6) AS p
-FROM pred JOIN r2 ON pred.model = r2.model AND pred.p = r2.p GROUP BY pred.id""")
+FROM pred JOIN r2 ON pred.model = r2.model AND pred.z = r2.z GROUP BY pred.id""")
 def ens_rank_average_q(spark, sf):
     """Average-tie rank per model, mean over models, scaled by the row count."""
-    r = G.rank_average(oof_predictions(spark, sf))
+    r = G.rank_average(oof_predictions(spark, sf), rank_col="z")
     return r.select(F.col("id").alias("doc_id"), F.round("ens_rank", 6).alias("p"))
 
 

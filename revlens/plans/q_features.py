@@ -6,7 +6,6 @@ max_features, min_df / max_df, cleaner), fitted on the labeled reviews.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from revlens.functions import profiles as P
@@ -14,6 +13,7 @@ from revlens.functions import wordlists as W
 from revlens.operators import features as FT
 from revlens.plans import duck as D
 from revlens.plans.registry import query
+from revlens.session import written
 from revlens.sources import tables
 
 
@@ -28,13 +28,10 @@ def fit(spark, sf, profile, lo, hi, max_features, min_df=1, max_df=1.0, analyzer
     ``with_label`` carries the label in the term table (needed by the NB statistics only)."""
     docs = labeled_docs(spark, sf, profile)
     n = tables.labeled(spark, sf).count()  # same rows, counted before the id shuffle
-    # read twice (term statistics, then weights): keep it instead of re-cleaning the text
-    tf = FT.term_frequencies(docs, "id", "words", lo, hi, analyzer, keep_cols=("label",) if with_label else (),
-                             partitioned=True).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    vocab = FT.with_smooth_idf(FT.vocabulary(tf, n, max_features, min_df, max_df, binary), n)
-    if max_features is not None:
-        vocab = vocab.cache()  # bounded; read by several branches
+    # read twice (term statistics, then weights): write it instead of cleaning the text again
+    tf = written(FT.term_frequencies(docs, "id", "words", lo, hi, analyzer, keep_cols=("label",) if with_label else (),
+                                     partitioned=True), "terms")
+    vocab = written(FT.with_smooth_idf(FT.vocabulary(tf, n, max_features, min_df, max_df, binary), n), "vocabulary")
     return docs, tf, n, vocab
 
 

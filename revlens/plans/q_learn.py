@@ -16,8 +16,9 @@ from revlens.operators import features as FT
 from revlens.operators import learn as L
 from revlens.operators import metrics as M
 from revlens.operators import scorers as S
-from revlens.operators.split import first_n_subset, stratified_kfold
+from revlens.operators.split import QUICK_ROWS, first_n_subset
 from revlens.plans.registry import query
+from revlens.session import written
 from revlens.sources import tables
 
 
@@ -127,7 +128,7 @@ def _bow_vectors(spark, sf, mf=5000):
     lab, test = train_test(spark, sf, "letters")
     n = lab.count()
     tf = FT.term_frequencies(lab, "id", "words", 1, 1, keep_cols=("label",), partitioned=True)
-    vocab = FT.vocabulary(tf, n, mf, 2).cache()
+    vocab = written(FT.vocabulary(tf, n, mf, 2), "vocabulary")
     width = vocab.count()
     ttf = FT.term_frequencies(test, "id", "words", 1, 1, partitioned=True)
     tr = L.vectors_for(FT.count_matrix(tf, vocab, mf), width, lab)
@@ -158,7 +159,7 @@ def _mean_vectors(spark, sf):
     from revlens.operators import embed as EM
     from revlens.plans.q_embed import dim_of, word_vectors
     lab, test = train_test(spark, sf, "letters")
-    vec = word_vectors(spark, sf).cache()
+    vec = word_vectors(spark, sf)
     dim = dim_of(spark, sf)
     mk = lambda d: EM.mean_word_vector(d, vec, dim).join(d.drop("words"), "id")
     tr = mk(lab).select("id", F.col("label").cast("double").alias("label"), array_to_vector("vector").alias("features"))
@@ -170,7 +171,7 @@ def _mean_vectors(spark, sf):
 def boosted_trees_q(spark, sf):
     """boosted trees (200 rounds, depth 10, step 0.1) on mean word vectors."""
     tr, te = _mean_vectors(spark, sf)
-    m = L.boosted_trees(tr.cache(), 200, 10, 0.1)
+    m = L.boosted_trees(written(tr, "vectors"), 200, 10, 0.1)
     return _out(L.p_positive(m.transform(te)))
 
 
@@ -184,11 +185,11 @@ def fused_boosted_trees_q(spark, sf):
     lab, test = train_test(spark, sf, "letters")
     n = lab.count()
     tf = FT.term_frequencies(lab, "id", "words", 1, 2, keep_cols=("label",), partitioned=True)
-    vocab = FT.vocabulary(tf, n, 8000, 2, 0.8).cache()
+    vocab = written(FT.vocabulary(tf, n, 8000, 2, 0.8), "vocabulary")
     w1 = vocab.count()
     dim = dim_of(spark, sf)
-    vec = word_vectors(spark, sf).cache()
-    w2c = word_centroid(spark, sf).cache()
+    vec = word_vectors(spark, sf)
+    w2c = written(word_centroid(spark, sf), "centroids")
     k = 10
 
     def blocks(d, tfd):
@@ -251,7 +252,7 @@ def _cv_lr(docs, lo, hi, mf, C, k, name, min_df=1, max_df=1.0):
     """Per-fold LR scores (vocabulary fitted on all rows, as the reviewed scripts do)."""
     tr, _, width, _ = L.tfidf_train_test(docs, None, lo, hi, mf, min_df, max_df)
     vec = L.vectors_for(tr, width, docs)
-    folded = stratified_kfold(vec, k, "label", "id").cache()
+    folded = L.with_folds(vec, k)
     out = None
     for f in range(k):
         fit_part = folded.filter(F.col("fold") != f)
@@ -263,26 +264,27 @@ def _cv_lr(docs, lo, hi, mf, C, k, name, min_df=1, max_df=1.0):
 
 
 @query("grid_search")
-def grid_search_q(spark, sf):
-    """Six (n-gram, features, C) configurations x 3 folds on the leading 5,000 labeled
-    reviews; mean AUC per configuration and the winner (first wins ties)."""
+def grid_search_q(spark, sf, fit_rows=QUICK_ROWS):
+    """Six (n-gram, features, C) configurations x 3 folds on the leading ``fit_rows`` labeled
+    reviews (the quick-search bound); mean AUC per configuration and whether it wins (first wins ties)."""
     lab, _ = train_test(spark, sf, "minstop")
-    sub = first_n_subset(lab, 5000, "id").cache()
+    sub = written(first_n_subset(lab, fit_rows, "id"), "quick").repartition("id")
     configs = [((1, 4), 50000, 10.0), ((1, 4), 60000, 20.0), ((1, 5), 60000, 10.0),
                ((1, 5), 70000, 30.0), ((1, 5), 80000, 50.0), ((1, 6), 80000, 30.0)]
     preds = None
     for i, ((lo, hi), mf, C) in enumerate(configs):
         p = _cv_lr(sub, lo, hi, mf, C, 3, f"cfg{i}_n{hi}_f{mf}_c{C:g}")
         preds = p if preds is None else preds.unionByName(p)
-    cv = M.cross_validate(preds)
-    return cv.select("model", F.round("mean_auc", 6).alias("mean_auc"), F.round("std_auc", 6).alias("std_auc"))
+    cv = written(M.cross_validate(preds), "grid")
+    best = M.select_best(cv).first()["best"]
+    return cv.select("model", F.round("mean_auc", 6).alias("mean_auc"), F.round("std_auc", 6).alias("std_auc"),
+                     (F.col("model") == best).alias("wins"))
 
 
 @query("ngram_range_search")
 def ngram_range_search_q(spark, sf):
     """5-fold CV of 1-2- vs 1-3-grams (15,000 terms, min_df 2, max_df 0.85); keep the better."""
     lab, _ = train_test(spark, sf, "contract_ca_stop")
-    lab = lab.cache()
     preds = _cv_lr(lab, 1, 2, 15000, 1.0, 5, "ngram_1_2", 2, 0.85).unionByName(
         _cv_lr(lab, 1, 3, 15000, 1.0, 5, "ngram_1_3", 2, 0.85))
     best = M.select_best(M.cross_validate(preds))

@@ -11,6 +11,7 @@ from revlens.plans import duck as D
 from revlens.plans.q_features import fit
 from revlens.plans.registry import query
 from revlens.session import scratch_path
+from revlens.sources import tables
 from revlens.streaming.scoring import start_scoring_stream
 
 _SQL = "WITH " + D.fit_ctes("len2", 1, 4, 80000, 1, binary=True) + ",\n" \
@@ -31,9 +32,9 @@ def stream_scores_q(spark, sf):
     and scored per micro-batch with the NB log-ratio linear model fitted on the labeled
     reviews (0/1 1-4-grams, 80,000 terms, bias ln(n_pos/n_neg)); each batch is written to its
     own folder (idempotent on replay) and the result is read back."""
-    docs, tf, _, vocab = fit(spark, sf, "len2", 1, 4, 80000, 1, binary=True)
+    _, tf, _, vocab = fit(spark, sf, "len2", 1, 4, 80000, 1, binary=True)
     coef = FT.nb_log_ratio(FT.nb_class_sums(tf, vocab, 80000)).select("idx", F.col("r").alias("w"))
-    cnt = {r[0]: r[1] for r in docs.groupBy("label").count().collect()}
+    cnt = {r[0]: r[1] for r in tables.labeled(spark, sf).groupBy("label").count().collect()}
     bias = math.log(cnt[1] / cnt[0]) if cnt.get(1) and cnt.get(0) else 0.0
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
     q = start_scoring_stream(spark, f"{sf.rstrip('/')}/documents*.parquet", out, ckpt, vocab, coef, bias,

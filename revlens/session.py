@@ -60,10 +60,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+#: Scratch paths of each application, for release().
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint directory for materialised intermediates."""
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def scratch_paths(spark: SparkSession) -> list[str]:
+    """Paths given out and not yet released."""
+    return _SCRATCH.get(spark.sparkContext.applicationId, [])
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application. DataFrames that read them are done with then."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from revlens.functions import profiles as P
 from revlens.operators import features as FT
 from revlens.operators.scorers import linear_scorer
+from revlens.session import written
 
 REVIEW_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
                               T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
@@ -41,8 +42,8 @@ def start_scoring_stream(spark: SparkSession, source_dir: str, sink_dir: str, ch
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = reader.parquet(source_dir)
-    vocab = vocab.select("term", "idx").cache()
-    coef = coef.select("idx", "w").cache()
+    vocab = written(vocab.select("term", "idx"), "stream-vocabulary")  # read by every micro-batch
+    coef = written(coef.select("idx", "w"), "stream-weights")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         scored = score_batch(batch, vocab, coef, bias, profile, lo, hi, True, vocab_rows)

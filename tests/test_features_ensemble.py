@@ -112,3 +112,31 @@ def test_vocabulary_top_k_equals_a_plain_sort(spark):
 def test_vocabulary_index_is_wide_without_a_bound(spark):
     tf = spark.createDataFrame([(1, "b", 1), (1, "a", 1)], "id long, term string, tf long")
     assert dict(FT.vocabulary(tf, 2).dtypes)["idx"] == "bigint"
+
+
+def test_word_table_lookups_are_the_same_salted_or_broadcast(spark, monkeypatch):
+    from revlens.operators import embed as EM
+    rows = [(i, ["the"] * (i % 4) + [f"w{i % 7}", "zz"]) for i in range(60)] + [(99, [])]
+    tokens = spark.createDataFrame(rows, "id long, words array<string>")
+    vectors = spark.createDataFrame([("the", [1.0, 0.0])] + [(f"w{k}", [float(k), 2.0]) for k in range(7)],
+                                    "word string, vector array<double>")
+    both = []
+    for limit in (1 << 30, 0):
+        monkeypatch.setattr(EM, "BROADCAST_BYTES", limit)
+        both.append(sorted((r.id, r.n_known, tuple(round(x, 9) for x in r.vector))
+                           for r in EM.mean_word_vector(tokens, vectors, 2).collect()))
+    assert both[0] == both[1]
+    assert both[0][3] == (3, 4, ((3 * 1.0 + 3.0) / 4, 0.5)) and both[0][-1] == (99, 0, (0.0, 0.0))
+
+
+def test_nearest_centroid_ties_and_plan(spark):
+    from revlens.operators import embed as EM
+    vectors = spark.createDataFrame([("a", [0.0, 0.0]), ("b", [1.0, 0.9])], "word string, vector array<double>")
+    sizes = []
+    for k in (2, 40):
+        centers = spark.createDataFrame([(i, [float(i), 0.0 if i % 2 == 0 else 1.0]) for i in range(k)] + [(k, [0.0, 0.0])],
+                                        "centroid int, center array<double>")
+        out = EM.nearest_centroid(vectors, centers)
+        assert {r.word: r.centroid for r in out.collect()} == {"a": 0, "b": 1}
+        sizes.append(len(out._jdf.queryExecution().optimizedPlan().toString()))
+    assert sizes[1] < 2 * sizes[0]
