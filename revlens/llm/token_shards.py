@@ -43,7 +43,8 @@ from revlens.llm.common import code_points, documents, pieces, put_file, shared_
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 SHARD_BYTES, END_ID = 32 << 20, 0
 MAGIC, RANK_STEP = b"RWM1", 512
-HELD_PIECES, HELD_LENGTH = 300_000, 48
+#: Pieces in a worker's table, and the code points a piece in it has at most.
+HELD_PIECES, HELD_LENGTH = 1_500_000, 64
 
 
 class WaveletMatrix:
@@ -255,6 +256,54 @@ def _hashes(flat: np.ndarray, begin: np.ndarray, base: int) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+class PieceTable:
+    """Ids of pieces by the two hashes of a piece, in sorted arrays: a large part and a fresh one that
+    is merged into it as it grows. A full table starts afresh."""
+
+    def __init__(self, kind):
+        self.store = np.zeros(1 << 16, kind)  # place 0 is the end id's
+        self.used = 1
+        none = np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.large = self.fresh = none
+
+    def __len__(self) -> int:
+        return len(self.large[0]) + len(self.fresh[0])
+
+    def find(self, first: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in the store, number of ids) of each piece; -1 where it is unknown."""
+        place = np.full(len(first), -1, np.int64)
+        size = np.zeros(len(first), np.int64)
+        for k1, k2, at, n in (self.large, self.fresh):
+            if len(k1):
+                i = np.minimum(np.searchsorted(k1, first), len(k1) - 1)
+                hit = (k1[i] == first) & (k2[i] == check)
+                place[hit], size[hit] = at[i[hit]], n[i[hit]]
+        return place, size
+
+    def put(self, ids: list[tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
+        """Store ids; their places and numbers."""
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        end = self.used + int(size.sum())
+        if end > len(self.store):
+            self.store = np.concatenate([self.store, np.zeros(max(end, len(self.store)), self.store.dtype)])
+        self.store[self.used:end] = np.fromiter(chain.from_iterable(ids), self.store.dtype, end - self.used)
+        place = self.used + np.cumsum(size) - size
+        self.used = end
+        return place, size
+
+    def name(self, *new: np.ndarray) -> None:
+        """Remember pieces (first hash, second hash, place, number of ids)."""
+        self.fresh = self._merged(self.fresh, new)
+        if len(self.fresh[0]) * 4 > len(self.large[0]):
+            self.large, self.fresh = self._merged(self.large, self.fresh), tuple(x[:0] for x in self.fresh)
+
+    @staticmethod
+    def _merged(old, new):
+        both = [np.concatenate(x) for x in zip(old, new, strict=True)]
+        by = np.argsort(both[0], kind="stable")
+        return tuple(x[by] for x in both)
+
+
 class Encoder:
     """The library's encoding, with a table of pieces."""
 
@@ -269,23 +318,15 @@ class Encoder:
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.width = max(1, int(self.lib.get_vocab_size() - 1).bit_length())
         self.kind = np.uint16 if self.width <= 16 else np.uint32
-        self.held: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}  # the table before this one; what is used moves on
+        self.table = PieceTable(self.kind)
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # byte values that stand for themselves
         rest = [b for b in range(256) if b not in plain]
         self.byte_letter = {b: b for b in plain} | {b: 256 + k for k, b in enumerate(rest)}
 
     def piece(self, piece: str) -> tuple[int, ...]:
-        """Ids of one piece: the table's, or the library's model on the piece's bytes."""
-        ids = self.older.get(piece)
-        if ids is None:
-            letters = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.byte_letter)
-            ids = tuple([t.id for t in self.lib.model.tokenize(letters)])
-        if len(piece) <= HELD_LENGTH:
-            if len(self.held) >= HELD_PIECES:
-                self.older, self.held = self.held, {}
-            self.held[piece] = ids
-        return ids
+        """Ids of one piece: the library's model on the piece's bytes."""
+        letters = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.byte_letter)
+        return tuple([t.id for t in self.lib.model.tokenize(letters)])
 
     def encode(self, many: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, each with the end id; how many each text has)."""
@@ -295,26 +336,33 @@ class Encoder:
             return np.fromiter(chain.from_iterable(ids), self.kind, int(n.sum())), n
         flat, starts = code_points(many)
         begin = split_points(flat, starts)
+        ends = np.append(begin[1:], len(flat))
         first, check = (_hashes(flat, begin, b) for b in _BASES)
+        long = np.flatnonzero(ends - begin > HELD_LENGTH)  # long pieces stand for themselves
+        first[long], check[long] = np.arange(len(long)), 0
         _, sample, which = np.unique(first, return_index=True, return_inverse=True)
-        if not np.array_equal(check[sample][which], check):  # two pieces share a hash: name them by both
+        if not np.array_equal(check[sample][which], check):  # two pieces share a hash: tell them apart by both
             _, sample, which = np.unique(np.stack([first, check], 1), axis=0, return_index=True, return_inverse=True)
             which = which.ravel()
-        line = "\n".join([*many, ""])
-        ends = np.append(begin[1:], len(flat))
-        at = begin[sample]
-        pieces_ = [line[a:b] for a, b in zip(at.tolist(), ends[sample].tolist(), strict=True)]
-        get = self.held.get
-        found = [ids if (ids := get(p)) is not None else self.piece(p) for p in pieces_]
+        table = self.table
+        if len(table) > HELD_PIECES:
+            table = self.table = PieceTable(self.kind)
+        place, size = table.find(first[sample], check[sample])
+        alone = ends[sample] - begin[sample] > HELD_LENGTH
+        new = np.flatnonzero((place < 0) | alone)
+        if len(new):
+            line = "\n".join([*many, ""])
+            at = sample[new]
+            place[new], size[new] = table.put([self.piece(line[a:b]) for a, b in
+                                               zip(begin[at].tolist(), ends[at].tolist(), strict=True)])
+            named = new[~alone[new]]
+            table.name(first[sample[named]], check[sample[named]], place[named], size[named])
+        place, n = place[which], size[which]
         last = np.searchsorted(begin, starts[1:] - 1)  # the line break after each text: its end id
-        which[last] = len(found)
-        found.append((end_id,))
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        offset = np.cumsum(size) - size
-        store = np.fromiter(chain.from_iterable(found), self.kind, int(size.sum()))
-        n = size[which]
+        table.store[0] = end_id
+        place[last], n[last] = 0, 1
         done = np.cumsum(n)
-        out = store[np.repeat(offset[which] - done + n, n) + np.arange(int(done[-1]) if len(done) else 0)]
+        out = table.store[np.repeat(place - done + n, n) + np.arange(int(done[-1]) if len(done) else 0)]
         return out, np.diff(done[last], prepend=0)
 
 
