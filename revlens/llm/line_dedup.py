@@ -80,7 +80,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         F.col("doc_id").alias("_id"), F.col("own").alias("_own"), F.col("places").alias("_places"))
     rows = docs.select(F.struct(*docs.columns).alias("_row"))
     text = F.col("_row.text")
-    met = rows.join(late, F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_own")), "left")
+    # the same plan at every size: texts are dealt by document and meet a hash of the few places there
+    met = rows.join(late.hint("shuffle_hash"), F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_own")), "left")
     lines = F.split(text, "\n")
     kept = _bound(F.struct(lines.alias("l"), F.col("_places").alias("p")), lambda x: _kept(x["l"], x["p"]))
     out = met.select("_row", F.when(F.col("_places").isNotNull(), kept).alias("_kept"),
