@@ -130,6 +130,18 @@ def centroid_histogram(tokens: DataFrame, word_centroid: DataFrame, id_col: str
     return per.select(id_col, "centroid", (F.col("c") / tot).alias("share"))
 
 
+def one_center_cost(vectors: DataFrame) -> float:
+    """Summed squared distance of all vectors to their mean."""
+    r = vectors.agg(Summarizer.variance(array_to_vector("vector")).alias("v"), F.count(F.lit(1)).alias("n")).first()
+    return float(sum(r["v"].toArray())) * (r["n"] - 1) if r["n"] else 0.0
+
+
+def center_table(spark, model) -> DataFrame:
+    """(centroid, center) of a fitted k-means model: k rows."""
+    return spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
+                                 "centroid int, center array<double>")
+
+
 def kmeans_centroids(vectors: DataFrame, k: int, n_init: int = 5, max_iter: int = 20, seed: int = 42):
     """K-means on the word vectors; n_init seeds, the fit with the lowest cost is kept."""
     from pyspark.ml.clustering import KMeans

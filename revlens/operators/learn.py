@@ -11,6 +11,7 @@ from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegress
                                        RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,32 +65,74 @@ def vectors_for(feat: DataFrame, width: int, docs: DataFrame, keep=("label",)) -
     return v
 
 
+# ------------------------------------------------------------------ checks of a fit
+
+def _gradient(rows: DataFrame, residual, weight, coefficients, lam: float):
+    """Gradient of  sum w loss / sum w + lam/2 |b|^2  over coefficients and intercept, where
+    ``residual`` is the derivative of a row's loss by its score. Two weighted means, one pass."""
+    import numpy as np
+    r = rows.select("features", weight.alias("w"), (weight * residual).alias("r"))
+    up, down = F.greatest(F.col("r"), F.lit(0.0)), F.greatest(-F.col("r"), F.lit(0.0))
+    m = r.agg(Summarizer.mean(F.col("features"), up).alias("a"), F.sum(up).alias("sa"),
+              Summarizer.mean(F.col("features"), down).alias("b"), F.sum(down).alias("sb"), F.sum("w").alias("sw")).first()
+    b = np.asarray(coefficients)
+    g = np.zeros_like(b)
+    for mean, size, sign in ((m["a"], m["sa"], 1), (m["b"], m["sb"], -1)):
+        if size:
+            g = g + sign * size * mean.toArray()
+    return g / m["sw"] + lam * b, (m["sa"] - m["sb"]) / m["sw"]
+
+
+def logistic_slope(model, train: DataFrame, lam: float, weight_col: str | None = None) -> float:
+    """Largest gradient component of the logistic objective at the fitted weights, as a share of the
+    largest at zero weights: 0 at the optimum."""
+    import numpy as np
+    w = F.col(weight_col) if weight_col else F.lit(1.0)
+    at = _gradient(p_positive(model.transform(train)), F.col("p") - F.col("label"), w, model.coefficients.toArray(), lam)
+    zero = _gradient(train, F.lit(0.5) - F.col("label"), w, np.zeros(model.numFeatures), lam)
+    return max(np.abs(at[0]).max(), abs(at[1])) / max(np.abs(zero[0]).max(), abs(zero[1]), 1e-300)
+
+
+def ridge_slope(model, train: DataFrame, alpha: float) -> float:
+    """The same for the weighted least squares of ``ridge_classifier`` (its normal equations)."""
+    import numpy as np
+    t = with_class_weight(train.withColumn("y", F.col("label") * 2.0 - 1.0), "label", "w")
+    lam = alpha / t.agg(F.sum("w")).first()[0]
+    at = _gradient(model.transform(t), F.col("prediction") - F.col("y"), F.col("w"), model.coefficients.toArray(), lam)
+    zero = _gradient(t, -F.col("y"), F.col("w"), np.zeros(model.numFeatures), lam)
+    return max(np.abs(at[0]).max(), abs(at[1])) / max(np.abs(zero[0]).max(), abs(zero[1]), 1e-300)
+
+
 # ------------------------------------------------------------------ estimators
 
 def logistic_regression(C: float, n_or_weight_sum: float, max_iter: int = 100,
-                        weight_col: str | None = None) -> LogisticRegression:
+                        weight_col: str | None = None, tol: float = 1e-6) -> LogisticRegression:
     """F1 / F2 / F5."""
     lr = LogisticRegression(featuresCol="features", labelCol="label", regParam=1.0 / (C * n_or_weight_sum),
-                            elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=1e-6)
+                            elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=tol)
     if weight_col:
         lr.setWeightCol(weight_col)
     return lr
 
 
-def fit_lr(train: DataFrame, C: float, max_iter: int = 100, balanced: bool = False):
+def fit_lr(train: DataFrame, C: float, max_iter: int = 100, balanced: bool = False, tol: float = 1e-6):
     if balanced:
         train = with_class_weight(train, "label", "w")
         s = train.agg(F.sum("w")).first()[0]
-        return logistic_regression(C, s, max_iter, "w").fit(train)
-    return logistic_regression(C, train.count(), max_iter).fit(train)
+        return logistic_regression(C, s, max_iter, "w", tol).fit(train)
+    return logistic_regression(C, train.count(), max_iter, tol=tol).fit(train)
 
 
-def c_sweep(train: DataFrame, test: DataFrame, Cs, prefix: str = "lr_c", max_iter: int = 100) -> DataFrame:
-    """one model per C over one written training table -> long (id, model, p)."""
+def c_sweep(train: DataFrame, test: DataFrame, Cs, prefix: str = "lr_c", max_iter: int = 100,
+            slopes: list | None = None) -> DataFrame:
+    """one model per C over one written training table -> long (id, model, p). ``slopes`` gets
+    each model's ``logistic_slope``."""
     n = train.count()
     out = None
     for C in Cs:
         m = logistic_regression(C, n, max_iter).fit(train)
+        if slopes is not None:
+            slopes.append(logistic_slope(m, train, 1.0 / (C * n)))
         p = p_positive(m.transform(test)).select("id", F.lit(f"{prefix}{C:g}").alias("model"), "p")
         out = p if out is None else out.unionByName(p)
     return out

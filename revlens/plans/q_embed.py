@@ -14,6 +14,7 @@ from revlens.functions import profiles as P
 from revlens.operators import corpus as C
 from revlens.operators import embed as EM
 from revlens.plans import duck as D
+from revlens.plans.q_corpus import _UNION_SQL
 from revlens.plans.registry import query
 from revlens.session import written
 from revlens.sources import tables
@@ -118,21 +119,32 @@ def centroid_histogram_q(spark, sf):
     return h.select(F.col("id").alias("doc_id"), "centroid", F.round("share", 6).alias("share"))
 
 
-@query("word2vec_train")
-def word2vec_train_q(spark, sf):
-    """Skip-gram on the labeled + unlabeled sentence corpus (dim 300, min_count 40,
-    window 10, 10 iterations). Rows-only check: (word, dims)."""
+def trained_model(spark, sf, vector_size=300):
     lab = C.sentence_rows(tables.labeled(spark, sf), "doc_id", mode="split_first")
     unl = C.sentence_rows(tables.unlabeled(spark, sf), "review_id", mode="split_first")
     corpus = C.corpus_union(lab, unl).select("words")
-    model = EM.train_word2vec(corpus, vector_size=300, min_count=40, window=10, max_iter=10)
-    return EM.model_vectors(model).select("word", F.size("vector").cast("long").alias("dims"))
+    return EM.train_word2vec(corpus, vector_size=vector_size, min_count=40, window=10, max_iter=10)
+
+
+@query("word2vec_train", _UNION_SQL + """
+SELECT word, CAST(300 AS BIGINT) AS dims, TRUE AS finite FROM (SELECT unnest(words) AS word FROM corpus) t
+GROUP BY word HAVING count(*) >= 40""")
+def word2vec_train_q(spark, sf):
+    """Skip-gram on the labeled + unlabeled sentence corpus (dim 300, min_count 40, window 10, 10
+    iterations): the words that get a vector, its size, and whether its numbers are finite."""
+    v = EM.model_vectors(trained_model(spark, sf))
+    finite = F.forall("vector", lambda x: ~F.isnan(x) & (F.abs(x) < 1e6))
+    return v.select("word", F.size("vector").cast("long").alias("dims"), finite.alias("finite"))
 
 
-@query("kmeans_centroids")
-def kmeans_centroids_q(spark, sf):
-    """K-means (k = 10, 5 seeds, 20 iterations) on the word vectors; (word, centroid)."""
+@query("kmeans_centroids", "WITH " + VEC_CTES + "\nSELECT word, TRUE AS nearest, TRUE AS cheaper_than_one FROM vec")
+def kmeans_centroids_q(spark, sf, k=10):
+    """K-means (5 seeds, 20 iterations) on the word vectors: whether every word has its nearest
+    centre, and the k centres cost less than one."""
     v = word_vectors(spark, sf)
-    model = EM.kmeans_centroids(v, 10, n_init=5, max_iter=20)
-    return model.transform(v.select("word", array_to_vector("vector").alias("features"))).select(
-        "word", F.col("prediction").cast("int").alias("centroid"))
+    model = EM.kmeans_centroids(v, k, n_init=5, max_iter=20)
+    cheaper = model.summary.trainingCost < EM.one_center_cost(v)
+    own = model.transform(v.select("word", array_to_vector("vector").alias("features"))).select("word", "prediction")
+    near = EM.nearest_centroid(v, EM.center_table(spark, model)).select("word", "centroid")
+    return own.join(near, "word").select("word", (F.col("prediction") == F.col("centroid")).alias("nearest"),
+                                         F.lit(bool(cheaper)).alias("cheaper_than_one"))

@@ -104,7 +104,8 @@ def sentence_corpus_store_q(spark, sf):
     return _sent_out(back)
 
 
-@query("model_store")
+@query("model_store", """
+SELECT doc_id, TRUE AS p_in_range, TRUE AS same_after_reload FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
 def model_store_q(spark, sf):
     """Fit a logistic regression on the lexicon columns, save it, load it, score the test set."""
     from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -120,9 +121,12 @@ def model_store_q(spark, sf):
     path = scratch_path(spark, "model")
     model.write().overwrite().save(path)
     loaded = LogisticRegressionModel.load(path)
-    out = loaded.transform(va.transform(lex(tables.test_reviews(spark, sf))))
     from pyspark.ml.functions import vector_to_array
-    return out.select("doc_id", F.round(vector_to_array("probability")[1], 6).alias("p"))
+    rows = va.transform(lex(tables.test_reviews(spark, sf))).select("doc_id", "features")
+    p = vector_to_array("probability")[1]
+    before = model.transform(rows).select("doc_id", "features", p.alias("before"))
+    return loaded.transform(before).select("doc_id", p.between(0.0, 1.0).alias("p_in_range"),
+                                           (F.abs(p - F.col("before")) < 1e-12).alias("same_after_reload"))
 
 
 @query("frame_profile", """
