@@ -17,9 +17,10 @@ from revlens.operators import features as FT
 from revlens.operators import learn as L
 from revlens.operators import metrics as M
 from revlens.operators import scorers as S
-from revlens.operators.split import QUICK_ROWS, first_n_subset, with_class_weight
+from revlens.operators.split import QUICK_ROWS, first_n_subset, stratified_holdout, with_class_weight
 from revlens.plans.registry import query
-from revlens.session import written
+from revlens.session import scratch_path, written
+from revlens.sources import reviews_io as IO
 from revlens.sources import tables
 
 
@@ -342,21 +343,107 @@ GRID = {f"cfg{i}_n{hi}_f{mf}_c{C:g}": ((lo, hi), mf, C) for i, ((lo, hi), mf, C)
     ((1, 5), 70000, 30.0), ((1, 5), 80000, 50.0), ((1, 6), 80000, 30.0)])}
 
 
-def _cv_lr(docs, lo, hi, mf, C, k, name, min_df=1, max_df=1.0):
-    """Per-fold LR scores (vocabulary fitted on all rows, as the reviewed scripts do)."""
+def _folded(docs, k, lo, hi, mf, min_df=1, max_df=1.0):
+    """Vectors with their fold (vocabulary fitted on all rows, as the reviewed scripts do)."""
     tr, _, width, _ = L.tfidf_train_test(docs, None, lo, hi, mf, min_df, max_df)
-    vec = L.vectors_for(tr, width, docs)
-    folded = L.with_folds(vec, k)
+    return L.with_folds(L.vectors_for(tr, width, docs), k)
+
+
+def _cv_scores(folded, k, name, score):
+    """(id, model, fold, label, p) of each fold by a model of the others; ``score(train, rest)`` adds p."""
     out = None
     for f in range(k):
-        fit_part = folded.filter(F.col("fold") != f)
-        m = L.logistic_regression(C, fit_part.count()).fit(fit_part)
-        p = L.p_positive(m.transform(folded.filter(F.col("fold") == f))).select(
+        p = score(folded.filter(F.col("fold") != f), folded.filter(F.col("fold") == f)).select(
             "id", F.lit(name).alias("model"), "fold", F.col("label").cast("int").alias("label"), "p")
         out = p if out is None else out.unionByName(p)
     return out
 
 
+def _lr_scores(C, balanced=False):
+    return lambda train, rest: L.p_positive(L.fit_lr(train, C, balanced=balanced).transform(rest))
+
+
+def _ridge_scores(train, rest):
+    """Ridge has no probability: its raw score is what ranks."""
+    return L.ridge_classifier(train, 1.0).transform(rest).withColumn("p", F.col("prediction"))
+
+
+def _cv_lr(docs, lo, hi, mf, C, k, name, min_df=1, max_df=1.0):
+    return _cv_scores(_folded(docs, k, lo, hi, mf, min_df, max_df), k, name, _lr_scores(C))
+
+
+#: C values of the flagship model.
+FLAGSHIP_C = (10.0, 50.0, 30.0)
+
+
+@fit_query("flagship_chain", ("cv_in_range", "same_in_file"), ("means_in_range", "side_of_mean"))
+def flagship_chain_q(spark, sf, k=5):
+    """The flagship model end to end: 1-5-gram TF-IDF (80,000), k-fold AUC for three C, one model per C on
+    all labeled reviews, mean and TJflexic of their probabilities, submission file written and read back."""
+    lab, test = train_test(spark, sf, "minstop_url")
+    tr, te, width, _ = L.tfidf_train_test(lab, test, 1, 5, 80000)
+    train, rest = L.vectors_for(tr, width, lab), L.vectors_for(te, width, test, keep=())
+    folded = L.with_folds(train, k)
+    cv = None
+    for C in FLAGSHIP_C:
+        one = _cv_scores(folded, k, f"lr_c{C:g}", _lr_scores(C))
+        cv = one if cv is None else cv.unionByName(one)
+    auc = M.cross_validate(cv).select("mean_auc").collect()  # a row per C
+    ens = written(G.combiners(L.c_sweep(train, rest, FLAGSHIP_C)).select("id", "ens_mean", "ens_tjflexic"), "flagship")
+    path = scratch_path(spark, "submission")
+    IO.write_submission(ens, path, "id", "ens_tjflexic")
+    back = IO.read_submission(spark, path)
+    differ = ens.select(F.col("id").cast("string").alias("id"), "ens_tjflexic").join(back, "id", "full").filter(
+        "sentiment is null or ens_tjflexic is null or abs(sentiment - ens_tjflexic) > 1e-12")
+    return _rows(ens, "ens_mean", "ens_tjflexic"), {
+        "cv_in_range": len(auc) == len(FLAGSHIP_C) and all(0.0 <= r[0] <= 1.0 for r in auc), "same_in_file": differ.isEmpty()}
+
+
+@query("holdout_scores", "SELECT m AS model, TRUE AS auc_in_range, TRUE AS accuracy_in_range, TRUE AS beats_chance FROM "
+                         "(VALUES ('lr_balanced'), ('ridge_balanced')) AS t(m)")
+def holdout_scores_q(spark, sf):
+    """Hold-out evaluation (E2 -> F2, F4 -> E5, E6): 80/20 within each class, AUC by raw score for ridge."""
+    s = holdout_scores(spark, sf)
+    return s.select("model", F.col("auc").between(0.0, 1.0).alias("auc_in_range"),
+                    F.col("accuracy").between(0.0, 1.0).alias("accuracy_in_range"),
+                    (F.col("auc") > 0.5).alias("beats_chance"))
+
+
+def holdout_scores(spark, sf):
+    """(model, auc, accuracy) on the held-out fifth of the labeled reviews; ridge is cut at score 0."""
+    lab, _ = train_test(spark, sf, "contract_ca_stop")
+    tr, _, width, _ = L.tfidf_train_test(lab, None, 1, 2, 15000, 2, 0.85)
+    vec = L.vectors_for(tr, width, lab)
+    split = stratified_holdout(vec.select("id", "label"), 0.2, "label", "id").select("id", "is_valid")
+    vec = written(vec.join(split, "id"), "held-out")
+    fit, rest = vec.filter("is_valid = 0"), vec.filter("is_valid = 1")
+    preds = [(n, f(fit, rest).select("id", F.lit(n).alias("model"), F.col("label").cast("int").alias("label"), "p"), cut)
+             for n, f, cut in (("lr_balanced", _lr_scores(1.0, True), 0.5), ("ridge_balanced", _ridge_scores, 0.0))]
+    out = None
+    for _, p, cut in preds:
+        one = M.roc_auc(p).join(M.accuracy(p, threshold=cut), "model")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@fit_query("cv_winner_refit", ("winner_known",), ("score_finite",))
+def cv_winner_refit_q(spark, sf, k=5):
+    """k-fold AUC of balanced logistic regression against ridge (by raw score), then the winner fitted on
+    every labeled review and the test reviews scored."""
+    lab, test = train_test(spark, sf, "contract_ca_stop")
+    tr, te, width, _ = L.tfidf_train_test(lab, test, 1, 2, 15000, 2, 0.85)
+    train, rest = L.vectors_for(tr, width, lab), L.vectors_for(te, width, test, keep=())
+    folded = L.with_folds(train, k)
+    scorers = {"lr_balanced": _lr_scores(1.0, True), "ridge_balanced": _ridge_scores}
+    cv = None
+    for name, score in scorers.items():
+        one = _cv_scores(folded, k, name, score)
+        cv = one if cv is None else cv.unionByName(one)
+    best = M.select_best(M.cross_validate(cv)).first()["best"]
+    out = scorers[best](train, rest)
+    return _rows(out, F.col("p").alias("score")), {"winner_known": best in scorers}
+
+
 @query("grid_search", "SELECT m AS model, TRUE AS auc_in_range, TRUE AS wins_rightly FROM (VALUES "
        + ", ".join(f"('{m}')" for m in GRID) + ") AS t(m)")
 def grid_search_q(spark, sf, fit_rows=QUICK_ROWS):
