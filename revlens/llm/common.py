@@ -24,10 +24,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
            limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches into slices of at most ``limit`` bytes of ``column`` (one row at least),
+    """Cut Arrow batches into slices of at most ``limit`` bytes of ``column`` (text, bytes or a list of
+    64-bit numbers; one row at least),
     so that a batch of very long texts is never turned into Python objects at once."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+        own = batch.column(column)
+        sizes = pa.compute.multiply(pa.compute.list_value_length(own), 8) if pa.types.is_list(own.type) \
+            else pa.compute.binary_length(own)
+        sizes = sizes.fill_null(0).to_pylist()
         start = held = 0
         for i, n in enumerate(sizes):
             if held and held + n > limit:
@@ -47,6 +51,13 @@ def pieces(total: int, each: int) -> int:
     return max(1, -(-int(total or 0) // each))
 
 
+def fresh(name: str, df: DataFrame) -> str:
+    """The name, lengthened until no column of ``df`` has it."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
 def extended(df: DataFrame, more: str) -> T.StructType:
     """The schema of ``df`` and the columns of a schema string after it."""
     return T.StructType([*df.schema.fields, *T._parse_datatype_string(more).fields])

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import documents, extended, pieces, slices, table, text_bytes, texts
+from revlens.llm.common import documents, extended, fresh, pieces, slices, table, text_bytes, texts
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
@@ -95,28 +95,27 @@ def _hits(machine, who, length, text: str) -> tuple[int, list[tuple[int, int]],
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                       block_bytes: int = BLOCK_BYTES, with_offsets: bool = True) -> DataFrame:
+                       block_bytes: int = BLOCK_BYTES, with_offsets: bool = True,
+                       names: tuple[str, str, str] = ("n_words", "hit_words", "hit_items")) -> DataFrame:
     """``docs`` (doc_id, text, any others) plus n_words, hit_words (merged word ranges, end exclusive),
     hit_items (sorted ids) and, if asked for, hit_offsets (the ranges in code points of the original).
-    Columns of ``docs`` with these names are replaced."""
+    Columns of ``docs`` with these names are replaced; ``names`` gives others to the first three."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
                              F.coalesce("text", F.lit("")).alias("text"))
     blocks = pieces(text_bytes(items), block_bytes)
-    out = docs
-    extra = (T_WORDS, T_RANGES, T_ITEMS)
-    out = out.withColumns({n: F.lit(None).cast(t) for n, t in extra})
+    kinds = ("bigint", _RANGES, "array<string>")
+    out = docs.withColumns({n: F.lit(None).cast(t) for n, t in zip(names, kinds, strict=True)})
     for b in range(blocks):
         block = items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b)
         held = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in block.collect()])
-        out = _pass(out, held, window)
+        out = _pass(out, held, window, names)
     if with_offsets:
         out = out.drop("hit_offsets")
-        out = out.mapInArrow(_offsets, extended(out, f"hit_offsets {_RANGES}"))
+        out = out.mapInArrow(lambda batches: _offsets(batches, names[1]), extended(out, f"hit_offsets {_RANGES}"))
     return out
 
 
 _RANGES = "array<struct<start:bigint,end:bigint>>"
-T_WORDS, T_RANGES, T_ITEMS = ("n_words", "bigint"), ("hit_words", _RANGES), ("hit_items", "array<string>")
 _PA_RANGES = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
@@ -139,25 +138,27 @@ def _ranges(many: list[list[tuple[int, int]]]) -> pa.Array:
     return pa.array([[{"start": a, "end": b} for a, b in x] for x in many], _PA_RANGES)
 
 
-def _pass(df: DataFrame, held, window: int) -> DataFrame:
+def _pass(df: DataFrame, held, window: int, names: tuple[str, str, str]) -> DataFrame:
+    n_words, hit_words, hit_items = names
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = _automaton(held.value, window)
         for batch in slices(batches):
             found = [_hits(*parts, t) for t in texts(batch)]
-            before, items = batch.column("hit_words").to_pylist(), batch.column("hit_items").to_pylist()
+            before, items = batch.column(hit_words).to_pylist(), batch.column(hit_items).to_pylist()
             yield _replace(batch, {
-                "n_words": pa.array([n for n, _, _ in found], pa.int64()),
-                "hit_words": _ranges([_merge(a, r) for a, (_, r, _) in zip(before, found, strict=True)]),
-                "hit_items": pa.array([sorted({*(a or []), *s}) for a, (_, _, s) in zip(items, found, strict=True)],
+                n_words: pa.array([n for n, _, _ in found], pa.int64()),
+                hit_words: _ranges([_merge(a, r) for a, (_, r, _) in zip(before, found, strict=True)]),
+                hit_items: pa.array([sorted({*(a or []), *s}) for a, (_, _, s) in zip(items, found, strict=True)],
                                       pa.list_(pa.string()))})
 
     return df.mapInArrow(run, df.schema)
 
 
-def _offsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _offsets(batches: Iterator[pa.RecordBatch], hit_words: str) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         out = []
-        for text, hits in zip(texts(batch), batch.column("hit_words").to_pylist(), strict=True):
+        for text, hits in zip(texts(batch), batch.column(hit_words).to_pylist(), strict=True):
             at = word_offsets(text) if hits else []
             out.append([(at[r["start"]][0], at[r["end"] - 1][1]) for r in hits or []])
         yield _replace(batch, {"hit_offsets": _ranges(out)})
@@ -175,5 +176,6 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a hit, with the columns they came with."""
-    kept = find_contamination(docs.select(F.struct(*docs.columns).alias("row"), "text"), benchmark, with_offsets=False)
-    return kept.filter(F.size("hit_words") == 0).select("row.*")
+    names = tuple(fresh(n, docs) for n in ("n_words", "hit_words", "hit_items"))
+    found = find_contamination(docs, benchmark, with_offsets=False, names=names)
+    return found.filter(F.size(names[1]) == 0).select(*docs.columns)

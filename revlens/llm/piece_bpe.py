@@ -36,7 +36,7 @@ from revlens.llm.common import documents, slices, texts
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 MARK = "▁"
 #: Entries and lengths that the per-worker tables hold at most.
-HELD_PIECES, HELD_LENGTH, HELD_PAIRS = 300_000, 48, 1_000_000
+HELD_PIECES, HELD_LENGTH, HELD_PAIRS = 150_000, 48, 400_000
 
 
 class PieceCoder:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import code_points, documents, extended, slices, table, texts
+from revlens.llm.common import code_points, documents, extended, fresh, slices, table, texts
 
 BITS, FIT_ROWS, EPOCHS = 18, 20_000, 5
 ALPHA, BETA, L1, L2 = 4.0, 1.0, 0.02, 0.02
@@ -150,9 +150,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int
     return train(docs.select("doc_id", "text").join(F.broadcast(own), "doc_id").select("place", "label", "text"))
 
 
-def score_quality(df: DataFrame, weights: np.ndarray, bits: int = BITS) -> DataFrame:
+def score_quality(df: DataFrame, weights: np.ndarray, bits: int = BITS, out: str = "score") -> DataFrame:
     """``df`` (with a text column and any others; an own score is replaced) plus score, 0 to 1."""
-    df = df.drop("score")
+    df = df.drop(out)
     held = df.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,9 +161,9 @@ def score_quality(df: DataFrame, weights: np.ndarray, bits: int = BITS) -> DataF
             text, at, x = features(texts(part), bits)
             raw = np.bincount(text, x * w[at], len(part)) + w[-1]
             yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(1 / (1 + np.exp(-np.clip(raw, -35, 35))))], [*part.schema.names, "score"])
+                [*part.columns, pa.array(1 / (1 + np.exp(-np.clip(raw, -35, 35))))], [*part.schema.names, out])
 
-    return df.mapInArrow(run, extended(df, "score double"))
+    return df.mapInArrow(run, extended(df, f"`{out}` double"))
 
 
 def held_out() -> Column:
@@ -182,5 +182,5 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drop_low_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier accepts, with the columns they came with."""
     weights = fit_quality(docs, labels, ~held_out())
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    return score_quality(rows, weights).filter(F.col("score") >= THRESHOLD).select("row.*")
+    score = fresh("score", docs)
+    return score_quality(docs, weights, out=score).filter(F.col(score) >= THRESHOLD).select(*docs.columns)
