@@ -41,10 +41,10 @@ from pyspark.sql import functions as F
 from revlens.llm.common import code_points, documents, pieces, put_file, shared_uri, slices, text_bytes, texts
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-SHARD_BYTES, END_ID = 32 << 20, 0
+SHARD_BYTES, END_ID = 16 << 20, 0
 MAGIC, RANK_STEP = b"RWM1", 512
 #: Pieces in a worker's table, and the code points a piece in it has at most.
-HELD_PIECES, HELD_LENGTH = 1_500_000, 64
+HELD_PIECES, HELD_LENGTH = 1_000_000, 64
 
 
 class WaveletMatrix:
@@ -384,7 +384,7 @@ def write_shards(df: DataFrame, folder: str, vocabulary: str = VOCABULARY, end_i
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(held.value)
         ids, null, lengths, tokens = [], [], [], []
-        for part in slices(batches, limit=2 << 20):
+        for part in slices(batches, limit=1 << 20):
             own = part.column("doc_id")
             ids.append(own.fill_null(0).to_numpy(zero_copy_only=False))
             null.append(own.is_null().to_numpy(zero_copy_only=False))
