@@ -15,8 +15,10 @@ band) every class is first compared with the bucket's smallest class only, and t
 joined into components. Buckets that still hold several components are finished exactly: the
 classes outside the bucket's largest component are compared with all of the bucket in other
 components. Two classes whose distances to the bucket's smallest class differ by more than the link
-distance can't be linked (the Jaccard distance is a metric), so they are never paired. A group of
-near copies thus costs its size times the bands, not its square.
+distance can't be linked (the Jaccard distance is a metric), and a pair shares at most what either
+class shares with any class left, also part by part of a hash; pairs that these bounds rule out are
+never formed. A group of near
+copies thus costs its size times the bands, not its square.
 
 Scale: classes and buckets are aggregates, summed per task; joins are between written tables, so
 that adaptive execution splits frequent keys; components take a logarithmic number of rounds of
@@ -44,6 +46,8 @@ from revlens.session import written
 WORDS, PERCENT = 4, 80
 ROWS, BANDS = 6, 48
 T = ROWS * BANDS
+#: Parts by which the shingles of two sets are compared before the sets are, and what a part counts to.
+PARTS, LEVELS = 256, 8
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _LOW = np.uint64(0xFFFFFFFF)
 _BASE = 0x9E3779B97F4A7C15
@@ -133,7 +137,7 @@ def sketch_table(docs: DataFrame, words: int = WORDS, rows: int = ROWS, n_bands:
     import xxhash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, limit=1 << 20):
             sets = shingle_sets(part.column("text").to_pylist(), words)
             size = np.array([len(s) for s in sets], np.int64)
             full = np.flatnonzero(size)
@@ -154,20 +158,50 @@ def sketch_table(docs: DataFrame, words: int = WORDS, rows: int = ROWS, n_bands:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(node, set) of the wanted classes (node, first, k1, k2): sorted hashes as bytes."""
+    """(node, set) of the wanted classes (node, first, k1, k2): their sorted hashes."""
     import xxhash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            sets = [s.tobytes() for s in shingle_sets(part.column("text").to_pylist(), words)]
-            names = np.array([np.frombuffer(xxhash.xxh3_128_digest(s), np.int64) for s in sets]).reshape(-1, 2)
+        for part in slices(batches, limit=1 << 20):
+            sets = shingle_sets(part.column("text").to_pylist(), words)
+            names = np.array([np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64) for s in sets]).reshape(-1, 2)
             same = (names[:, 0] == part.column("k1").to_numpy()) & (names[:, 1] == part.column("k2").to_numpy())
-            yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(sets, pa.binary())], ["node", "set"]) \
+            ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([part.column("node"), lists], ["node", "set"]) \
                 .filter(pa.array(same))  # another text may share the id
 
     met = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(
         wanted, F.col("doc_id").eqNullSafe(F.col("first"))).select("node", "k1", "k2", "text")
-    return met.mapInArrow(run, "node bigint, set binary").dropDuplicates(["node"])
+    return met.mapInArrow(run, "node bigint, set array<bigint>").dropDuplicates(["node"])
+
+
+def _shared_parts(rows: DataFrame) -> DataFrame:
+    """(node, n, shared, parts, over) of (node, set, own): the size of the set, of the set without its
+    own shingles, and of the latter by a hash in PARTS parts. A part's number is written as that many
+    set bits out of LEVELS, so that the common bits of two sets count the smaller number of every
+    part; ``over`` counts what a part has beyond. Two sets share at most their common bits and the
+    smaller ``over``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "set", 1 << 20):
+            n, words, shared, over = [], [], [], []
+            for x, y in zip(part.column("set"), part.column("own"), strict=True):
+                x = x.values.to_numpy().view(np.uint64)
+                n.append(len(x))
+                if y.is_valid:
+                    x = np.setdiff1d(x, y.values.to_numpy().view(np.uint64), assume_unique=True)
+                count = np.bincount((x % np.uint64(PARTS)).astype(np.int64), minlength=PARTS)
+                words.append(np.packbits(np.arange(LEVELS) < count[:, None]).view(np.int64))
+                shared.append(len(x))
+                over.append(int(np.maximum(count - LEVELS, 0).sum()))
+            ends = np.arange(len(n) + 1, dtype=np.int32) * (PARTS * LEVELS // 64)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("node"), *(pa.array(v, pa.int64()) for v in (n, shared, over)),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(words)))],
+                ["node", "n", "shared", "over", "parts"])
+
+    return rows.select("node", "set", "own").mapInArrow(
+        run, "node bigint, n bigint, shared bigint, over bigint, parts array<bigint>")
 
 
 def _similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -175,8 +209,8 @@ def _similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "x"):
             both, either = [], []
-            for x, y in zip(part.column("x").to_pylist(), part.column("y").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(part.column("x"), part.column("y"), strict=True):
+                x, y = (z.values.to_numpy().view(np.uint64) for z in (x, y))
                 at = np.searchsorted(y, x)
                 n = int((y[np.minimum(at, len(y) - 1)] == x).sum())
                 both.append(n)
@@ -249,15 +283,34 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, row
     rest = placed.join(open_, ["band", "hash"]).join(far, ["node", "pivot"], "left")
     rest = written(rest.select("band", "hash", "node", "root", "major", F.coalesce("far", F.lit(0.0)).alias("far"),
                                (F.col("node") == F.col("pivot")).alias("is_pivot")).filter("not is_pivot"), "near-rest")
+    # what a class can share with any class that is left: all but its own shingles, counted by part
+    left = written(sets.join(rest.select("node").distinct(), "node"), "near-left")
+    own = left.select("node", F.explode("set").alias("shingle")).groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).filter("n = 1").groupBy("node").agg(
+        F.collect_list("shingle").alias("own"))
+    bound = written(_shared_parts(left.join(own, "node", "left")), "near-bounds")
+    rest = rest.join(bound, "node").filter(F.col("shared") * 100 >= F.col("n") * percent)
+
     reach = 1 - percent / 100
     cell = F.floor(F.col("far") / reach)
-    minor = rest.filter("root <> major").select("band", "hash", F.col("node").alias("x"), F.col("root").alias("rx"),
-                                                F.col("far").alias("fx"), F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"))
-    every = rest.select("band", "hash", F.col("node").alias("y"), F.col("root").alias("ry"), F.col("far").alias("fy"),
-                        cell.alias("cell"))
+
+    def side(tag: str, *more: Column) -> list[Column]:
+        return ["band", "hash", *(F.col(c).alias(tag + c) for c in ("node", "root", "major", "far", "n", "shared", "over", "parts")), *more]
+
+    minor = rest.filter("root <> major").select(*side("x_", F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell")))
+    every = rest.select(*side("y_", cell.alias("cell")))
+    need = (F.col("x_n") + F.col("y_n")) * percent
+    most = F.least("x_shared", "y_shared") * (100 + percent)
+    by_part = F.least("x_over", "y_over")
+    for i in range(PARTS * LEVELS // 64):
+        by_part = by_part + F.bit_count(F.col("x_parts")[i].bitwiseAND(F.col("y_parts")[i]))
     more = minor.join(every, ["band", "hash", "cell"]).filter(
-        (F.col("rx") != F.col("ry")) & (F.abs(F.col("fx") - F.col("fy")) <= reach + 1e-9))
-    more = more.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        (F.col("x_root") != F.col("y_root")) & (F.abs(F.col("x_far") - F.col("y_far")) <= reach + 1e-9)
+        & (most >= need)
+        # both outside the largest component: once is enough
+        & ((F.col("y_root") == F.col("y_major")) | (F.col("x_node") < F.col("y_node")))
+        & (by_part * (100 + percent) >= need))
+    more = more.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
     more = written(_similarities(more, sets).filter(_linked(percent)).select("a", "b"), "near-more")
     if not more.isEmpty():
         roots = components(links.union(more))

@@ -95,3 +95,40 @@ def test_edge_rows(spark, docs_of):
 def test_op2_on_the_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     assert collected(N.op2_near_dedup(spark, SF)) == plain_groups(rows)
+
+
+def test_a_large_family_is_not_compared_pair_by_pair(spark, docs_of, monkeypatch):
+    """Copies with random edits, many of them just below the bound to each other."""
+    rng, vocab = random.Random(9), [f"w{i}" for i in range(3000)]
+    base = rng.choices(vocab, k=160)
+    rows = []
+    for i in range(400):
+        w = list(base)
+        for _ in range(rng.randint(0, 9)):
+            w[rng.randrange(len(w))] = rng.choice(vocab)
+        rows.append((i, " ".join(w)))
+    formed, plain = [], N._similarities
+
+    def counted(pairs, sets):
+        pairs = N.written(pairs, "test-pairs")
+        formed.append(pairs.count())
+        return plain(pairs, sets)
+
+    monkeypatch.setattr(N, "_similarities", counted)
+    got = collected(N.near_groups(docs_of([(*r, None, "s", 1) for r in rows])))
+    assert got == plain_groups(rows)
+    assert len({r[2] for r in got}) > 20  # many stay outside the largest component
+    assert sum(formed) < 20 * len(rows)  # all pairs would be 200 times the rows
+
+
+def test_parts_bound_what_two_sets_share(spark):
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.choice(3000, size).astype(np.uint64)) for size in (3, 40, 400, 2500, 3000)]
+    rows = spark.createDataFrame([(i, [int(x) for x in s], [int(x) for x in s[:i]] or None) for i, s in enumerate(sets)],
+                                 "node bigint, set array<bigint>, own array<bigint>")
+    got = {r.node: r for r in N._shared_parts(rows).collect()}
+    for i, s in enumerate(sets):
+        assert (got[i].n, got[i].shared) == (len(s), len(s) - i)
+        for j, t in enumerate(sets):
+            bits = sum((x & y & (1 << 64) - 1).bit_count() for x, y in zip(got[i].parts, got[j].parts, strict=True))
+            assert bits + min(got[i].over, got[j].over) >= len(np.intersect1d(s[i:], t[j:]))
