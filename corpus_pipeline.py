@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revlens.llm.common import table
+from revlens.llm.common import importable, table
 from revlens.llm.decontaminate import drop_contaminated
 from revlens.llm.line_dedup import clean_lines
 from revlens.llm.near_dedup import drop_near_copies
@@ -35,6 +35,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
     return drop_near_copies(docs)
 
 
@@ -43,6 +44,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
     return encode_texts(docs)
 
 
