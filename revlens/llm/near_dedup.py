@@ -133,9 +133,12 @@ def bands(sketch: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 
 def sketch_table(docs: DataFrame, words: int = WORDS, rows: int = ROWS, n_bands: int = BANDS) -> DataFrame:
-    """(doc_id, n_shingles, k1, k2, bands) of every row; k1 and k2 name the set, null if it is empty."""
+    """(doc_id, n_shingles, k1, k2, bands) of every row; k1 and k2 name the set, null if it is empty.
+    A column ``own`` of ``docs`` comes along."""
     import xxhash
 
+    more = [c for c in docs.columns if c == "own"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, limit=1 << 20):
             sets = shingle_sets(part.column("text").to_pylist(), words)
@@ -150,11 +153,11 @@ def sketch_table(docs: DataFrame, words: int = WORDS, rows: int = ROWS, n_bands:
             none = size == 0
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(size), pa.array(names[:, 0], mask=none), pa.array(names[:, 1], mask=none),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(own.reshape(-1)))],
-                ["doc_id", "n_shingles", "k1", "k2", "bands"])
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(own.reshape(-1))), *(part.column(c) for c in more)],
+                ["doc_id", "n_shingles", "k1", "k2", "bands", *more])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, bands array<bigint>")
+    return docs.select(F.col("doc_id").cast("bigint"), "text", *more).mapInArrow(
+        run, "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, bands array<bigint>" + ", own bigint" * len(more))
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -249,10 +252,9 @@ def _linked(percent: int) -> Column:
     return F.col("both") * 100 >= F.col("either") * percent
 
 
-def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, rows: int = ROWS,
-                n_bands: int = BANDS) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of (doc_id, text)."""
-    docs = docs.select("doc_id", "text")
+def _classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, rows: int = ROWS,
+             n_bands: int = BANDS) -> tuple[DataFrame, DataFrame]:
+    """The sketch table of ``docs``, and (k1, k2, first, root) of every class: its smallest id and its component."""
     table = written(sketch_table(docs, words, rows, n_bands), "near-sketches")
     full = table.filter("k1 is not null")
 
@@ -316,7 +318,14 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, row
         roots = components(links.union(more))
 
     named = classes.join(roots, "node", "left").select("k1", "k2", "first", F.coalesce("root", "node").alias("root"))
-    named = written(named, "near-roots")
+    return table, written(named, "near-roots")
+
+
+def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, rows: int = ROWS,
+                n_bands: int = BANDS) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of (doc_id, text)."""
+    table, named = _classes(docs.select("doc_id", "text"), words, percent, rows, n_bands)
+    full = table.filter("k1 is not null")
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     named = written(named.join(least, "root").select("k1", "k2", "component_id"), "near-named")
     grouped = full.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2"]).select(
@@ -331,7 +340,27 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5) -> DataFrame:
-    """One document of each group, the one with the smallest id, with the columns it came with."""
-    gone = written(near_groups(docs, words).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "near-gone")
+    """One row of each group, with the columns it came with: the one with the smallest id (null last),
+    then the smallest hash of its text; of rows equal in both, one. Texts without a word all stay."""
+    table, named = _classes(docs.select("doc_id", "text", F.xxhash64("text").alias("own")), words)
+    full = table.filter("k1 is not null").select("doc_id", "own", "k1", "k2")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "own")
+    least = full.groupBy("k1", "k2").agg(F.min(key).alias("least")).join(named, ["k1", "k2"])
+    least = written(least.select("k1", "k2", "root", "least"), "near-least")
+    stays = least.groupBy("root").agg(F.min("least").alias("stays"))
+    stays = written(least.join(stays, "root").select("k1", "k2", "stays"), "near-stays")
+    gone = full.join(stays, ["k1", "k2"]).filter(~key.eqNullSafe(F.col("stays")))
+    gone = written(gone.select(F.col("doc_id").alias("_id"), F.col("own").alias("_own")).distinct(), "near-gone")
+
+    def same(other: DataFrame) -> Column:
+        return F.col("_row.doc_id").eqNullSafe(other["_id"]) & (F.xxhash64(F.col("_row.text")) == other["_own"])
+
     rows = docs.select(F.struct(*docs.columns).alias("_row"))
-    return rows.join(gone, F.col("_row.doc_id") == F.col("_gone"), "left_anti").select("_row.*")
+    rows = rows.join(gone, same(gone), "left_anti")
+    again = full.groupBy(F.col("doc_id").alias("_id"), F.col("own").alias("_own")).agg(F.count(F.lit(1)).alias("n")) \
+        .filter("n > 1").select("_id", "_own")
+    again = written(again, "near-again")
+    if again.isEmpty():
+        return rows.select("_row.*")
+    once = rows.join(again, same(again)).groupBy("_id", "_own").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
+    return rows.join(again, same(again), "left_anti").union(once.select("_row")).select("_row.*")
