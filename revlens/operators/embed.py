@@ -59,6 +59,8 @@ def most_similar(vectors: DataFrame, word: str, topn: int = 10) -> DataFrame:
             .orderBy(F.col("similarity").desc(), F.col("word")).limit(topn))
 
 
+#: Centroids of the word vectors (run_part4_v2.py of the reference).
+CENTROIDS = 2000
 #: A word table is broadcast below this many bytes, measured before the join.
 BROADCAST_BYTES = 64 << 20
 #: Parts that a word's rows are dealt to where the table is too large to broadcast.
@@ -143,8 +145,10 @@ def center_table(spark, model) -> DataFrame:
 
 
 def kmeans_centroids(vectors: DataFrame, k: int, n_init: int = 5, max_iter: int = 20, seed: int = 42):
-    """K-means on the word vectors; n_init seeds, the fit with the lowest cost is kept."""
+    """K-means on the word vectors; n_init seeds, the fit with the lowest cost is kept. Fewer
+    vectors than ``k`` give as many centroids."""
     from pyspark.ml.clustering import KMeans
+    k = max(2, min(k, vectors.count()))
     data = vectors.select("word", array_to_vector("vector").alias("features"))
     best = None
     for i in range(n_init):

@@ -138,8 +138,8 @@ def word2vec_train_q(spark, sf):
 
 
 @query("kmeans_centroids", "WITH " + VEC_CTES + "\nSELECT word, TRUE AS nearest, TRUE AS cheaper_than_one FROM vec")
-def kmeans_centroids_q(spark, sf, k=10):
-    """K-means (5 seeds, 20 iterations) on the word vectors: whether every word has its nearest
+def kmeans_centroids_q(spark, sf, k=EM.CENTROIDS):
+    """K-means (2,000 centroids, 5 seeds, 20 iterations) on the word vectors: whether every word has its nearest
     centre, and the k centres cost less than one."""
     v = word_vectors(spark, sf)
     model = EM.kmeans_centroids(v, k, n_init=5, max_iter=20)

@@ -17,6 +17,7 @@ from revlens.operators import features as FT
 from revlens.operators import learn as L
 from revlens.operators import metrics as M
 from revlens.operators import scorers as S
+from revlens.operators.embed import CENTROIDS
 from revlens.operators.split import QUICK_ROWS, first_n_subset, stratified_holdout, with_class_weight
 from revlens.plans.registry import query
 from revlens.session import scratch_path, written
@@ -241,8 +242,8 @@ def top_words_of_forest(spark, sf):
     return L.top_feature_importances(L.random_forest(tr, 100, 10), vocab, 20).select("term", "importance")
 
 
-#: Dimensions of the trained vectors and number of centroids in the chains below.
-VECTOR_SIZE, CENTROIDS = 300, 10
+#: Dimensions of the trained vectors in the chains below.
+VECTOR_SIZE = 300
 
 
 def _trained_vectors(spark, sf, vector_size=VECTOR_SIZE):
