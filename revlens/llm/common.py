@@ -120,3 +120,56 @@ def code_points(many: list[str]):
     starts = np.zeros(len(many) + 1, np.int64)
     np.cumsum([len(t) + 1 for t in many], out=starts[1:])
     return flat, starts
+
+
+def numbered(df: DataFrame, group: str, order: list[str], name: str, out: str = "rank") -> DataFrame:
+    """``df`` with the place (from 0) of every row in its group, ascending, null first; written.
+
+    Rows are dealt by ranges of (group, order), equal ones by chance, so a group of any size is spread. A
+    task numbers its own rows; only the first group of a task can have begun in an earlier one, so that
+    one number for each task (at most as many as partitions, broadcast) puts the ranges together.
+    ``group`` must not be null."""
+    from revlens.session import written
+
+    task, begun = fresh("_task", df), fresh("_begun", df)
+    tie = fresh("_tie", df)
+    spark = df.sparkSession
+    keys = [F.col(group), *(F.col(c).asc_nulls_first() for c in order), F.col(tie)]
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = (df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(parts, *keys)
+             .sortWithinPartitions(*keys).drop(tie).withColumn(task, F.spark_partition_id()))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        last, held, first = None, 0, True
+        for b in batches:
+            if not len(b):
+                continue
+            own = b.column(group)
+            new = np.ones(len(b), bool)
+            new[1:] = np.asarray(pa.compute.not_equal(own[1:], own[:-1]).to_numpy(zero_copy_only=False), bool)
+            new[0] = own[0] != last
+            at = np.arange(len(b))
+            start = np.maximum.accumulate(np.where(new, at, -1))
+            place = np.where(start < 0, at + held, at - start)
+            opened = np.cumsum(new) == (1 if last is None else 0)
+            lead = opened if first else np.zeros(len(b), bool)
+            first = first and bool(lead.all())
+            last, held = own[len(b) - 1], int(place[-1]) + 1
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(place.astype(np.int64)), pa.array(lead)],
+                                             [*b.schema.names, out, begun])
+
+    rows = written(dealt.mapInArrow(count, extended(dealt, f"`{out}` bigint, `{begun}` boolean")), name)
+    # of every task: its first and its last group, and how many rows of them it has
+    ends = rows.groupBy(task).agg(
+        F.min_by(group, ~F.col(begun)).alias("g"), F.count_if(F.col(begun)).alias("n"), F.count_if(~F.col(begun)).alias("others"),
+        F.max(F.struct(F.col(group), F.col(out))).alias("z"))
+    from pyspark.sql import Window
+
+    ends = ends.select(task, F.explode(F.when(F.col("others") == 0, F.array(F.struct("g", "n"))).otherwise(F.array(
+        F.struct("g", "n"), F.struct(F.col(f"z.{group}").alias("g"), (F.col(f"z.{out}") + 1).alias("n"))))).alias("e"))
+    before = F.sum("e.n").over(Window.partitionBy("e.g").orderBy(task).rowsBetween(Window.unboundedPreceding, -1))
+    more = ends.select(task, F.col("e.g").alias("_g"), before.alias("_before")).filter("_before is not null")
+    met = rows.join(F.broadcast(more.select(task, "_before", F.lit(True).alias(begun))), [task, begun], "left")
+    return met.withColumn(out, F.col(out) + F.coalesce("_before", F.lit(0))).select(*df.columns, out)
