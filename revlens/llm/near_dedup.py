@@ -33,7 +33,6 @@ an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +47,8 @@ ROWS, BANDS = 6, 48
 T = ROWS * BANDS
 #: Parts by which the shingles of two sets are compared before the sets are, and what a part counts to.
 PARTS, LEVELS = 256, 8
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 256
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _LOW = np.uint64(0xFFFFFFFF)
 _BASE = 0x9E3779B97F4A7C15
@@ -61,29 +62,38 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=4)
-def _power_table(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
+def word_hashes(raw: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each word of ``raw``: its bytes are mixed in, eight at a time, after its length; words of over
+    LONG_WORD bytes are hashed one by one. Words of up to eight bytes never collide with their like."""
+    import xxhash
 
-def _powers(base: int, n: int) -> np.ndarray:
-    return _power_table(base, 1 << max(20, n.bit_length()))[:n]
+    size = end - begin
+    out = _mix(size.astype(np.uint64) * np.uint64(_BASE) + np.uint64(1))
+    eight = np.ndarray(len(raw), "<u8", raw + bytes(8), strides=(1,))
+    live, at = np.flatnonzero(size <= LONG_WORD), 0
+    while len(live):
+        chunk, left = eight[begin[live] + at], size[live] - at
+        few = left < 8
+        chunk[few] &= (np.uint64(1) << (left[few].astype(np.uint64) << np.uint64(3))) - np.uint64(1)
+        out[live] = _mix(out[live] ^ chunk)
+        at += 8
+        live = live[left > 8]
+    for k in np.flatnonzero(size > LONG_WORD).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(raw[begin[k]:end[k]])
+    return out
 
 
 def shingle_sets(many: list[str | None], words: int = WORDS) -> list[np.ndarray]:
     """Sorted hashes of the distinct shingles of each text."""
     raws = [(t or "").encode("utf-8", "surrogatepass").lower() for t in many]
-    flat = np.frombuffer(b"\n".join([*raws, b""]), np.uint8)
+    raw = b"\n".join([*raws, b""])
+    flat = np.frombuffer(raw, np.uint8)
     starts = np.cumsum([0, *(len(r) + 1 for r in raws)])
     blank = np.ones(len(flat) + 1, bool)
     blank[1:] = _BLANK[flat]
     begin = np.flatnonzero(blank[:-1] & ~blank[1:])
     end = np.flatnonzero(~blank[1:-1] & blank[2:]) + 1 if len(flat) else begin
-    sums = np.zeros(len(flat) + 1, np.uint64)
-    np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(flat)), out=sums[1:])
-    word = _mix((sums[end] - sums[begin]) * _powers(pow(_BASE, -1, 1 << 64), len(flat))[begin])
+    word = word_hashes(raw, begin, end)
     shingle = word[:max(0, len(word) - words + 1)].copy()
     for j in range(1, words):
         shingle = _mix(shingle * np.uint64(_BASE) + word[j:len(word) - words + 1 + j])
