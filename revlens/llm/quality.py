@@ -12,7 +12,8 @@ weights (``2 ** BITS`` numbers whatever the input) are broadcast; scoring is a s
 text in a narrow pass over every document.
 
 Defined cases: a null or empty text has no feature and gets the score of the bias alone; rows with a
-null label or null id are not learned from; of several labels of an id the largest counts; without
+null label or null id are not learned from; of several labels of an id the largest counts, of several
+texts of an id the one with the smallest hash; without
 any training row every score is 0.5; repeated rows each give a row; other columns are ignored.
 """
 
@@ -145,9 +146,15 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int
     """Weights learned from labelled rows (doc_id, quality) for which ``learn`` (of doc_id) holds."""
     own = (labels.filter(learn & F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
            .groupBy("doc_id").agg(F.max(F.col("quality").cast("int")).alias("label"))
-           .withColumn("place", F.xxhash64("doc_id")).orderBy("place", "doc_id").limit(fit_rows))
-    # at most fit_rows rows of three numbers
-    return train(docs.select("doc_id", "text").join(F.broadcast(own), "doc_id").select("place", "label", "text"))
+           .withColumn("place", F.xxhash64("doc_id")))
+    # the number of ids gives a limit of the hash first, so that few more rows than wanted leave the tasks
+    least, span = -(1 << 63), 1 << 64
+    share = min(1.0, (fit_rows + 8 * fit_rows ** 0.5 + 8) / max(1, own.count()))
+    own = own.filter(F.col("place") <= F.lit(min(least + int(span * share), (1 << 63) - 1))).orderBy("place", "doc_id").limit(fit_rows)
+    # at most fit_rows rows of three numbers; of rows that share an id, one text
+    rows = docs.select("doc_id", "text").join(F.broadcast(own), "doc_id").groupBy("place", "doc_id", "label").agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    return train(rows.select("place", "label", "text"))
 
 
 def score_quality(df: DataFrame, weights: np.ndarray, bits: int = BITS, out: str = "score") -> DataFrame:
