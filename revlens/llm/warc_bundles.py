@@ -31,10 +31,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import put_file, shared_uri, slices, table
+from revlens.llm.common import pieces, put_file, shared_uri, slices, table
 from revlens.session import written
 
 LEAST_BYTES, FRAME_BYTES, BUNDLE_BYTES = 100, 256 << 10, 32 << 20
+#: Archive bytes that a task reads back.
+READ_BYTES = 4 << 20
 # FIXED VALUES: numbers of the Zstandard seekable format, and of the skippable frame for the index.
 SEEK_FRAME, INDEX_FRAME, SEEK_MAGIC = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1
 DATE = "2024-01-01T00:00:00Z"  # records carry a fixed date: equal input gives equal files
@@ -139,6 +141,7 @@ class Bundle:
             at += n
         at, n = self.frames.pop()
         self.index = [tuple(x) for x in json.loads(self.unpack(read_at(at + 8, n - 8)))]
+        self.places: dict[str, list[tuple[int, int, int]]] | None = None
 
     def frame(self, k: int) -> bytes:
         return self.unpack(self.read_at(*self.frames[k]))
@@ -152,7 +155,11 @@ class Bundle:
 
     def find(self, name: str) -> list[bytes]:
         """Records of that id; only their frames are decompressed."""
-        return [self.frame(k)[at:at + n] for own, k, at, n in self.index if own == name]
+        if self.places is None:
+            self.places = {}
+            for own, k, at, n in self.index:
+                self.places.setdefault(own, []).append((k, at, n))
+        return [self.frame(k)[at:at + n] for k, at, n in self.places.get(name, [])]
 
 
 def with_responses(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
@@ -214,7 +221,9 @@ def read_bundles(bundles: DataFrame, folder: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[i] for r in rows], t) for i, t in enumerate(fields.values())], list(fields))
 
-    spread = bundles.select("name", "bytes").repartition("name")
+    # as many tasks as the archives' bytes ask for: a list of names alone would be put into one
+    total = bundles.agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("size")).first()
+    spread = bundles.select("name", "bytes").repartition(max(1, min(total["n"], pieces(total["size"], READ_BYTES))), "name")
     return spread.mapInArrow(read, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, "
                                    "refers_to bigint, url string")
 
