@@ -1,14 +1,16 @@
 """Token ids in wavelet-matrix shards.
 
 Every text is encoded with the tokenizers library and ended by one end id. Documents are dealt in
-ascending id order to shards of about ``SHARD_BYTES`` of text (range partitions, so a shard is the
-work of one task and any number of them runs at once), and each shard is one file: the documents'
-ids and lengths and a wavelet matrix over the shard's tokens, one bit plane per bit of the largest
-id with a directory of set bits. Access to a token, its rank, its count and its k-th occurrence in
-a range are answered from the planes of that one file; ``decode`` undoes all planes at once.
+ascending id order to ranges, and a task cuts its range into shards of about ``SHARD_BYTES`` of text (one
+document at least), whatever the lengths and however often an id occurs. Each shard is one file: the
+documents' ids and lengths and a wavelet matrix over the shard's tokens, one bit plane per bit of the
+largest id with a directory of set bits. Access to a token, its rank, its count and its k-th occurrence
+in a range are answered from the planes of that one file; ``decode`` undoes all planes at once. The list
+of shards is a table; where a shard's tokens begin is a running sum over it.
 
-File: ``RWM1``, the length of a JSON header (4 bytes), the header, then zstd sections in the order
-doc ids, null flags, document lengths, planes (packed bits, first token in the lowest bit).
+File: ``RWM2``, the length of a JSON header (4 bytes), the header, then zstd sections in the order
+doc ids, null flags, document lengths, planes (packed bits, first token in the lowest bit), and per
+plane the set bits before every ``RANK_STEP``-th token.
 
 A text's pieces are split as the file's byte-level pre-tokeniser does (over arrays of character
 classes); each distinct piece is encoded by the library's model and remembered in a table of bounded
@@ -19,7 +21,7 @@ Writers write under a private name and move the file into place, so a task that
 the same single file. Files lie in the shared checkpoint folder.
 
 Defined cases: a null text counts as empty and holds the end id alone; a null id sorts first;
-repeated ids keep all rows, ordered by text; an empty table writes no shard; other columns are ignored.
+repeated ids keep all rows, ordered by the first ``LEAD`` characters and then a hash of their text; an empty table writes no shard; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,20 +41,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.llm.common import code_points, documents, pieces, put_file, shared_uri, slices, text_bytes, texts
+from revlens.operators.ranking import running_before
+from revlens.session import written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 SHARD_BYTES, END_ID = 16 << 20, 0
-MAGIC, RANK_STEP = b"RWM1", 512
+MAGIC, RANK_STEP = b"RWM2", 512
 #: Pieces in a worker's table, and the code points a piece in it has at most.
 HELD_PIECES, HELD_LENGTH = 1_000_000, 64
+#: Characters of a text by which rows of one id are ordered.
+LEAD = 32
 
 
 class WaveletMatrix:
     """Bit planes of a sequence, highest bit first; each plane orders the next: zeros first, then ones."""
 
-    def __init__(self, planes: list[np.ndarray], n: int):
-        self.planes, self.n = planes, n
-        self._ranks: list[np.ndarray] | None = None
+    def __init__(self, planes: list[np.ndarray], n: int, ranks: list[np.ndarray] | None = None):
+        self.planes, self.n, self._ranks = planes, n, ranks
 
     @classmethod
     def build(cls, values: np.ndarray, bits: int) -> WaveletMatrix:
@@ -166,7 +171,7 @@ class Shard:
         import zstandard
 
         pack = zstandard.ZstdCompressor(level=1).compress
-        sections = [pack(x.tobytes()) for x in (self.ids, self.null, self.lengths, *self.tokens.planes)]
+        sections = [pack(x.tobytes()) for x in (self.ids, self.null, self.lengths, *self.tokens.planes, *self.tokens.ranks)]
         head = json.dumps({"docs": len(self.ids), "tokens": self.tokens.n, "planes": len(self.tokens.planes),
                            "sections": [len(s) for s in sections]}).encode()
         return b"".join([MAGIC, struct.pack("<I", len(head)), head, *sections])
@@ -183,9 +188,10 @@ class Shard:
         for n in head["sections"]:
             parts.append(unpack(raw[at:at + n]))
             at += n
-        planes = [np.frombuffer(p, np.uint8) for p in parts[3:]]
-        return cls(np.frombuffer(parts[0], np.int64), np.frombuffer(parts[1], bool), np.frombuffer(parts[2], np.int64),
-                   WaveletMatrix(planes, head["tokens"]))
+        n = head["planes"]
+        tokens = WaveletMatrix([np.frombuffer(p, np.uint8) for p in parts[3:3 + n]], head["tokens"],
+                               [np.frombuffer(p, np.int64) for p in parts[3 + n:]])
+        return cls(np.frombuffer(parts[0], np.int64), np.frombuffer(parts[1], bool), np.frombuffer(parts[2], np.int64), tokens)
 
 
 @lru_cache(maxsize=1)
@@ -371,49 +377,68 @@ def _encoder(vocabulary: str) -> Encoder:
     return Encoder(vocabulary)
 
 
-def write_shards(df: DataFrame, folder: str, vocabulary: str = VOCABULARY, end_id: int = END_ID,
-                 shard_bytes: int = SHARD_BYTES) -> list[tuple[str, int, int]]:
-    """Write (doc_id, text) into shard files of ``folder`` (a URI); their (name, documents, tokens) in order."""
+def shard_table(df: DataFrame, folder: str, vocabulary: str = VOCABULARY, end_id: int = END_ID,
+                shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """Write (doc_id, text) into shard files of ``folder`` (a URI); table (place, part, name, docs, tokens) of them,
+    whose order is that of (place, part)."""
     spark = df.sparkSession
     with open(vocabulary, encoding="utf-8") as f:
         held = spark.sparkContext.broadcast(f.read())
     rows = df.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
-    dealt = rows.repartitionByRange(pieces(text_bytes(rows), shard_bytes), "doc_id") \
-        .sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
+    # rows of one id, equal ones too, are dealt to as many ranges as they need
+    keys = [F.asc_nulls_first("doc_id"), F.substring("text", 1, LEAD), F.xxhash64("text"), F.col("tie")]
+    dealt = (rows.withColumn("tie", F.monotonically_increasing_id())
+             .repartitionByRange(pieces(text_bytes(rows), shard_bytes), *keys).sortWithinPartitions(*keys).drop("tie"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(held.value)
+        encoder, place, done = _encoder(held.value), TaskContext.get().partitionId(), []
         ids, null, lengths, tokens = [], [], [], []
+
+        def close() -> None:
+            n, flat = np.concatenate(lengths), np.concatenate(tokens)
+            tokens.clear()
+            shard = Shard(np.concatenate(ids), np.concatenate(null), n, WaveletMatrix.build(flat, encoder.width))
+            name = f"part-{place:08d}-{len(done):05d}.rwm"
+            put_file(folder, name, shard.to_bytes())
+            done.append((place, len(done), name, len(n), len(flat)))
+            for own in (ids, null, lengths):
+                own.clear()
+
+        size = 0
         for part in slices(batches, limit=1 << 20):
+            bytes_ = int(pa.compute.sum(pa.compute.binary_length(part.column("text"))).as_py() or 0)
+            if lengths and size + bytes_ > shard_bytes:
+                close()
+                size = 0
             own = part.column("doc_id")
             ids.append(own.fill_null(0).to_numpy(zero_copy_only=False))
             null.append(own.is_null().to_numpy(zero_copy_only=False))
             flat, n = encoder.encode(texts(part), end_id)
             lengths.append(n)
             tokens.append(flat)
-        if not lengths:
-            return
-        n = np.concatenate(lengths)
-        flat = np.concatenate(tokens)
-        tokens.clear()
-        shard = Shard(np.concatenate(ids), np.concatenate(null), n, WaveletMatrix.build(flat, encoder.width))
-        place = TaskContext.get().partitionId()
-        name = f"part-{place:08d}.rwm"
-        put_file(folder, name, shard.to_bytes())
-        yield pa.RecordBatch.from_arrays([pa.array([place]), pa.array([name]), pa.array([len(n)]), pa.array([len(flat)])],
-                                         ["place", "name", "docs", "tokens"])
-
-    done = dealt.mapInArrow(write, "place bigint, name string, docs bigint, tokens bigint").collect()  # a row per shard
+            size += bytes_
+        if lengths:
+            close()
+        yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], t) for k, t in enumerate(
+            (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()))], ["place", "part", "name", "docs", "tokens"])
+
+    return written(dealt.mapInArrow(write, "place int, part int, name string, docs bigint, tokens bigint"), "shards")
+
+
+def write_shards(df: DataFrame, folder: str, vocabulary: str = VOCABULARY, end_id: int = END_ID,
+                 shard_bytes: int = SHARD_BYTES) -> list[tuple[str, int, int]]:
+    """``shard_table`` as a list of (name, documents, tokens) in order, for a few shards."""
+    done = shard_table(df, folder, vocabulary, end_id, shard_bytes).collect()
     return [(r.name, r.docs, r.tokens) for r in sorted(done)]
 
 
-def read_shards(spark: SparkSession, folder: str, names: list[tuple[str, int, int]]) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document, from the files."""
-    first, rows = 0, []
-    for name, _, n in names:
-        rows.append((name, first))
-        first += n
-    listed = spark.createDataFrame(rows, "name string, first bigint").repartition(max(1, len(rows)), "name")
+def read_shards(spark: SparkSession, folder: str, shards: DataFrame | list[tuple[str, int, int]]) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of every document, from the files of ``shard_table`` or ``write_shards``."""
+    if isinstance(shards, list):
+        shards = spark.createDataFrame([(k, 0, *x) for k, x in enumerate(shards)], "place int, part int, name string, docs bigint, tokens bigint")
+    count = shards.count()
+    first = running_before(shards, ["place", "part"], weight_col="tokens", out="first")
+    listed = first.select("name", "first").repartition(max(1, count), "name")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -435,4 +460,4 @@ def read_shards(spark: SparkSession, folder: str, names: list[tuple[str, int, in
 def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, length and checksum of every document's ids, read back from the shard files."""
     folder = shared_uri(spark, "token-shards")
-    return read_shards(spark, folder, write_shards(documents(spark, sf_dir), folder))
+    return read_shards(spark, folder, shard_table(documents(spark, sf_dir), folder))
