@@ -8,15 +8,16 @@ text are kept.
 Words: ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after folding A-Z, that is ASCII letters, digits and
 everything beyond ASCII.
 
-Scale: documents are scanned where they lie, nothing is shuffled. The automaton is a broadcast of
-proven size: benchmark items are dealt into blocks of at most ``block_bytes`` of text (by hash of
-the item, counted first), one automaton each, and documents pass the blocks one after another, so
-a larger benchmark costs more passes and never a larger broadcast. An item longer than a block
-stands alone in memory, as any single text does.
+Scale: documents are scanned where they lie, nothing is shuffled. Benchmark items are dealt into blocks
+of about ``block_bytes`` of text (by hash of the item, counted first) and written to the shared folder;
+a worker reads a block and builds its automaton once, and keeps it while there is one block. With more
+blocks a task holds ``HELD_BYTES`` of texts and takes them past one block after another in one
+step, so a larger benchmark costs more passes and never more memory, and nothing of it passes the driver.
+An item longer than a block stands alone in memory, as any single text does.
 
 Defined cases: a null or wordless text has no words, no window and no hit; equal windows of several
 items count for each of them; repeated rows each give a row; an empty benchmark hits nothing; other
-columns are ignored. A null item id is reported as the text ``null``.
+columns are ignored. A null item id is reported as the text ``null`` and is an item of its own.
 """
 
 from __future__ import annotations
@@ -24,16 +25,19 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import documents, extended, fresh, pieces, slices, table, text_bytes, texts
+from revlens.llm.common import SLICE_BYTES, documents, extended, fresh, pieces, shared_uri, slices, table, text_bytes, texts
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
+#: Text bytes that a task takes past all blocks at once, where there are several.
+HELD_BYTES = 32 << 20
 #: Byte table: A-Z to a-z, every other ASCII byte outside words to a space; bytes of non-ASCII letters stay.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
               for c in range(256))
@@ -100,15 +104,13 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     """``docs`` (doc_id, text, any others) plus n_words, hit_words (merged word ranges, end exclusive),
     hit_items (sorted ids) and, if asked for, hit_offsets (the ranges in code points of the original).
     Columns of ``docs`` with these names are replaced; ``names`` gives others to the first three."""
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
+    items = benchmark.select(F.coalesce(F.concat(F.lit("i"), F.col("item_id").cast("string")), F.lit("n")).alias("item"),
                              F.coalesce("text", F.lit("")).alias("text"))
     blocks = pieces(text_bytes(items), block_bytes)
-    kinds = ("bigint", _RANGES, "array<string>")
-    out = docs.withColumns({n: F.lit(None).cast(t) for n, t in zip(names, kinds, strict=True)})
-    for b in range(blocks):
-        block = items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b)
-        held = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in block.collect()])
-        out = _pass(out, held, window, names)
+    folder = shared_uri(docs.sparkSession, "benchmark-blocks")
+    items.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int")).repartition(blocks, "block") \
+        .write.mode("append").partitionBy("block").parquet(folder)
+    out = _pass(docs.drop(*(n for n in names if n in docs.columns)), folder, blocks, window, names)
     if with_offsets:
         out = out.drop("hit_offsets")
         out = out.mapInArrow(lambda batches: _offsets(batches, names[1]), extended(out, f"hit_offsets {_RANGES}"))
@@ -124,9 +126,9 @@ def _replace(batch: pa.RecordBatch, new: dict[str, pa.Array]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([new[n] if n in new else batch.column(n) for n in names], names)
 
 
-def _merge(a: list, b: list[tuple[int, int]]) -> list[tuple[int, int]]:
+def _merge(many: list[list[tuple[int, int]]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
-    for x, y in sorted([(r["start"], r["end"]) for r in a or []] + b):
+    for x, y in sorted(r for own in many for r in own):
         if out and x <= out[-1][1]:
             out[-1] = (out[-1][0], max(y, out[-1][1]))
         else:
@@ -138,21 +140,53 @@ def _ranges(many: list[list[tuple[int, int]]]) -> pa.Array:
     return pa.array([[{"start": a, "end": b} for a, b in x] for x in many], _PA_RANGES)
 
 
-def _pass(df: DataFrame, held, window: int, names: tuple[str, str, str]) -> DataFrame:
+@lru_cache(maxsize=1)
+def _block(folder: str, block: int, window: int):
+    """The automaton of one written block."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    store, base = fs.FileSystem.from_uri(folder)
+    items: list[tuple[str, str]] = []
+    for info in store.get_file_info(fs.FileSelector(f"{base}/block={block}", allow_not_found=True)):
+        if info.path.endswith(".parquet"):
+            with store.open_input_file(info.path) as file:
+                got = pq.ParquetFile(file, pre_buffer=False).read(["item", "text"], use_threads=False)
+            items += zip(got.column("item").to_pylist(), got.column("text").to_pylist(), strict=True)
+    return _automaton(items, window)
+
+
+def _pass(df: DataFrame, folder: str, blocks: int, window: int, names: tuple[str, str, str]) -> DataFrame:
     n_words, hit_words, hit_items = names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = _automaton(held.value, window)
+        held: list[pa.RecordBatch] = []
+
+        def past() -> Iterator[pa.RecordBatch]:
+            found = [[[] for _ in range(len(b))] for b in held]
+            for block in range(blocks):
+                parts = _block(folder, block, window)
+                for b, own in zip(held, found, strict=True):
+                    for k, t in enumerate(texts(b)):
+                        own[k].append(_hits(*parts, t))
+            for b, own in zip(held, found, strict=True):
+                items = [sorted("null" if i == "n" else i[1:] for i in set().union(*(s for _, _, s in x))) for x in own]
+                yield _replace(b, {
+                    n_words: pa.array([x[0][0] for x in own], pa.int64()),
+                    hit_words: _ranges([_merge([r for _, r, _ in x]) for x in own]),
+                    hit_items: pa.array(items, pa.list_(pa.string()))})
+
+        size = 0
         for batch in slices(batches):
-            found = [_hits(*parts, t) for t in texts(batch)]
-            before, items = batch.column(hit_words).to_pylist(), batch.column(hit_items).to_pylist()
-            yield _replace(batch, {
-                n_words: pa.array([n for n, _, _ in found], pa.int64()),
-                hit_words: _ranges([_merge(a, r) for a, (_, r, _) in zip(before, found, strict=True)]),
-                hit_items: pa.array([sorted({*(a or []), *s}) for a, (_, _, s) in zip(items, found, strict=True)],
-                                      pa.list_(pa.string()))})
-
-    return df.mapInArrow(run, df.schema)
+            held.append(batch)
+            size += SLICE_BYTES
+            if blocks == 1 or size >= HELD_BYTES:
+                yield from past()
+                held, size = [], 0
+        if held:
+            yield from past()
+
+    return df.mapInArrow(run, extended(df, f"`{n_words}` bigint, `{hit_words}` {_RANGES}, `{hit_items}` array<string>"))
 
 
 def _offsets(batches: Iterator[pa.RecordBatch], hit_words: str) -> Iterator[pa.RecordBatch]:
