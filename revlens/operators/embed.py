@@ -12,6 +12,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revlens.operators.centroids import Centroids, fit_centroids, nearest_centroid  # noqa: F401
 from revlens.operators.ranking import row_number0
 
 
@@ -105,21 +106,6 @@ def label_centroids(vectors: DataFrame) -> DataFrame:
     return means.select((F.row_number().over(Window.orderBy("label")) - 1).cast("int").alias("centroid"), "center")
 
 
-def nearest_centroid(vectors: DataFrame, centers: DataFrame) -> DataFrame:
-    """``vectors`` (word, vector, ...) plus the closest of ``centers`` (centroid, center): squared
-    Euclidean distance, ties to the lowest number. The centres are one value of a subquery, so the
-    plan does not grow with their number."""
-    one = centers.agg(F.sort_array(F.collect_list(F.struct("centroid", "center"))))  # k rows in one value
-
-    def far(c: Column) -> Column:
-        d = F.aggregate(F.zip_with(F.col("vector"), c["center"], lambda a, b: (a - b) * (a - b)),
-                        F.lit(0.0), lambda acc, x: acc + x)
-        return F.struct(d.alias("d"), c["centroid"].alias("centroid"))
-
-    held = vectors.withColumn("_all", one.scalar())
-    return held.withColumn("centroid", F.array_min(F.transform("_all", far))["centroid"]).drop("_all")
-
-
 def centroid_histogram(tokens: DataFrame, word_centroid: DataFrame, id_col: str = "id",
                        words_col: str = "words") -> DataFrame:
     """(id, centroid, share) — share of a review's in-vocabulary words per centroid;
@@ -138,21 +124,7 @@ def one_center_cost(vectors: DataFrame) -> float:
     return float(sum(r["v"].toArray())) * (r["n"] - 1) if r["n"] else 0.0
 
 
-def center_table(spark, model) -> DataFrame:
-    """(centroid, center) of a fitted k-means model: k rows."""
-    return spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
-                                 "centroid int, center array<double>")
-
-
-def kmeans_centroids(vectors: DataFrame, k: int, n_init: int = 5, max_iter: int = 20, seed: int = 42):
-    """K-means on the word vectors; n_init seeds, the fit with the lowest cost is kept. Fewer
+def kmeans_centroids(vectors: DataFrame, k: int, n_init: int = 5, max_iter: int = 20, seed: int = 42) -> Centroids:
+    """K-means on the word vectors; n_init sets of seeds, the fit with the lowest cost is kept. Fewer
     vectors than ``k`` give as many centroids."""
-    from pyspark.ml.clustering import KMeans
-    k = max(2, min(k, vectors.count()))
-    data = vectors.select("word", array_to_vector("vector").alias("features"))
-    best = None
-    for i in range(n_init):
-        m = KMeans(k=k, maxIter=max_iter, seed=seed + i, featuresCol="features").fit(data)
-        if best is None or m.summary.trainingCost < best.summary.trainingCost:
-            best = m
-    return best
+    return fit_centroids(vectors, max(2, min(k, vectors.count())), n_init, max_iter, seed)

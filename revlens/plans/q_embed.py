@@ -7,12 +7,12 @@ Centroids for the exact keys are the per-label means of the whole embeddings tab
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from revlens.functions import profiles as P
 from revlens.operators import corpus as C
 from revlens.operators import embed as EM
+from revlens.operators.centroids import fit_minibatch
 from revlens.plans import duck as D
 from revlens.plans.q_corpus import _UNION_SQL
 from revlens.plans.registry import query
@@ -137,14 +137,85 @@ def word2vec_train_q(spark, sf):
     return v.select("word", F.size("vector").cast("long").alias("dims"), finite.alias("finite"))
 
 
-@query("kmeans_centroids", "WITH " + VEC_CTES + "\nSELECT word, TRUE AS nearest, TRUE AS cheaper_than_one FROM vec")
+@query("kmeans_centroids")
 def kmeans_centroids_q(spark, sf, k=EM.CENTROIDS):
-    """K-means (2,000 centroids, 5 seeds, 20 iterations) on the word vectors: whether every word has its nearest
-    centre, and the k centres cost less than one."""
+    """K-means (2,000 centroids, 5 seeds, 20 iterations) on the word vectors: every word's centroid and squared
+    distance, whether none of a few other centres is nearer, and whether the k centres cost less than one."""
     v = word_vectors(spark, sf)
     model = EM.kmeans_centroids(v, k, n_init=5, max_iter=20)
-    cheaper = model.summary.trainingCost < EM.one_center_cost(v)
-    own = model.transform(v.select("word", array_to_vector("vector").alias("features"))).select("word", "prediction")
-    near = EM.nearest_centroid(v, EM.center_table(spark, model)).select("word", "centroid")
-    return own.join(near, "word").select("word", (F.col("prediction") == F.col("centroid")).alias("nearest"),
-                                         F.lit(bool(cheaper)).alias("cheaper_than_one"))
+    cheaper = model.cost < EM.one_center_cost(v)
+    return _challenged(model, v).select("word", "centroid", F.round("distance", 6).alias("distance"), "nearest",
+                                        F.lit(bool(cheaper)).alias("cheaper_than_one"))
+
+
+#: Other centres that each word's centre is compared with by a plain sum, chosen by a hash.
+CHALLENGES = 8
+
+
+def _challenged(model, v):
+    """The words' centres, and whether CHALLENGES others are at least as far: a join per (word, other centre), in
+    which nothing of the search is used."""
+    own = written(model.assign(v.select("word", "vector")), "assigned")
+    k, table = model.getK(), model.table(v.sparkSession)
+    other = F.explode(F.transform(F.sequence(F.lit(0), F.lit(CHALLENGES - 1)), lambda i: F.pmod(F.xxhash64("word", i), F.lit(k)).cast("int")))
+    far = F.aggregate(F.zip_with("vector", "center", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)
+    met = own.select("word", "vector", other.alias("other")).join(table.withColumnRenamed("centroid", "other"), "other")
+    least = met.groupBy("word").agg(F.min(far).alias("least"))
+    return own.join(least, "word").withColumn("nearest", F.col("distance") <= F.col("least") + 1e-9)
+
+
+#: Vectors for each centroid in the checks below, at least.
+CHECK_SHARE = 5
+
+
+def _check_rows(v, model):
+    """One row of facts about a fit, each computed a second way from the written assignment."""
+    own = written(_challenged(model, v), "challenged")
+    far = F.aggregate(F.zip_with("vector", "center", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)
+    plain = own.join(model.table(v.sparkSession), "centroid")
+    r = plain.agg(F.sum(far).alias("cost"), F.count_if(~F.col("nearest")).alias("wrong"), F.count(F.lit(1)).alias("n"),
+                  F.countDistinct("centroid").alias("used")).first()
+    facts = own.sparkSession.range(1)
+    return facts.select(
+        F.lit(r["n"]).cast("long").alias("n_words"), F.lit(model.getK()).cast("long").alias("n_centroids"),
+        F.lit(r["wrong"] == 0).alias("none_nearer"), F.lit(abs(r["cost"] - model.cost) <= 1e-6 * max(1.0, model.cost)).alias("cost_agrees"),
+        F.lit(model.cost < model.seed_cost).alias("below_seeds"), F.lit(r["used"] >= 0.5 * model.getK()).alias("most_used"),
+        F.lit(model.cost < 0.8 * EM.one_center_cost(v)).alias("below_one"))
+
+
+_CHECK_SQL = "WITH " + VEC_CTES + f"""
+SELECT count(*) AS n_words, least({EM.CENTROIDS}, count(*) // {CHECK_SHARE}) AS n_centroids, TRUE AS none_nearer, TRUE AS cost_agrees,
+       TRUE AS below_seeds, TRUE AS most_used, TRUE AS below_one FROM vec"""
+
+
+@query("kmeans_centroids_check", _CHECK_SQL)
+def kmeans_centroids_check_q(spark, sf):
+    """D18 with a fifth as many centroids as vectors (at most 2,000): number of words and centroids, and whether
+    no challenged centre is nearer, the cost agrees with a plain sum, is below that of the seeds and well below that
+    of one centre, and most centroids are used."""
+    v = word_vectors(spark, sf)
+    return _check_rows(v, EM.kmeans_centroids(v, min(EM.CENTROIDS, v.count() // CHECK_SHARE)))
+
+
+#: Centroids of the mini-batch form, and the words of a step.
+BATCH_CENTROIDS, BATCH_WORDS = 5000, 100_000
+
+
+def _minibatch(v, k=BATCH_CENTROIDS, starts=10):
+    n = v.count()
+    return fit_minibatch(v, max(2, min(k, n // CHECK_SHARE)), starts, max(4, -(-n // BATCH_WORDS)))
+
+
+@query("minibatch_centroids")
+def minibatch_centroids_q(spark, sf, k=BATCH_CENTROIDS):
+    """D18, mini-batch form (5,000 centroids, but at least five vectors for each; 10 sets of seeds): every word's
+    centroid and squared distance."""
+    v = word_vectors(spark, sf)
+    return _minibatch(v, k).assign(v.select("word", "vector")).select("word", "centroid", F.round("distance", 6).alias("distance"))
+
+
+@query("minibatch_centroids_check", _CHECK_SQL.replace(f"least({EM.CENTROIDS},", f"least({BATCH_CENTROIDS},"))
+def minibatch_centroids_check_q(spark, sf):
+    """The facts of kmeans_centroids_check about the mini-batch form."""
+    v = word_vectors(spark, sf)
+    return _check_rows(v, _minibatch(v))

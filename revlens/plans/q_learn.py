@@ -286,7 +286,7 @@ def fused_boosted_trees_q(spark, sf, k=CENTROIDS, vector_size=VECTOR_SIZE):
     vocab = written(FT.vocabulary(tf, n, 8000, 2, 0.8), "vocabulary")
     w1 = vocab.count()
     vec = _trained_vectors(spark, sf, vector_size)
-    w2c = written(EM.nearest_centroid(vec, EM.center_table(spark, EM.kmeans_centroids(vec, k))), "centroids")
+    w2c = written(EM.kmeans_centroids(vec, k).assign(vec).select("word", "centroid"), "centroids")
 
     def blocks(d, tfd):
         bow = FT.count_matrix(tfd, vocab, 8000).select("id", "idx", F.col("value").cast("double").alias("value"))

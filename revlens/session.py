@@ -60,6 +60,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package wherever the session was started. Where executors have
+    other disks, the package is installed there or shipped with the job."""
+    root, env = os.path.dirname(os.path.dirname(os.path.abspath(__file__))), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 #: Scratch paths of each application, for release().
 _SCRATCH: dict[str, list[str]] = {}
 
