@@ -136,6 +136,8 @@ def page_spans(pages: DataFrame, page: int = PAGE) -> tuple[DataFrame, list[Data
     return spans, cuts
 
 
+_NODES = ("conv_id bigint, depth bigint, parent_conv_id bigint, n_convs bigint, n_children bigint, n_leaves bigint, "
+          "saved_tokens bigint, ends_sha256 string")
 _SPAN = "level int, top binary, cut binary, end binary, conv_id bigint, depth bigint, n bigint, last boolean"
 
 
@@ -287,13 +289,13 @@ def prefix_trie(turns: DataFrame, page: int = PAGE) -> DataFrame:
     ends = end_digests(spans.filter("last").select(F.col("end").alias("node"), "conv_id").unionByName(bare))
     ends = written(ends, "trie-ends")
     empty = hashlib.sha256(b"").hexdigest()
-    root = (all_of.sparkSession.range(1 if total["n"] else 0).select(F.lit(ROOT).alias("node"))
-            .join(at_root, "node", "left").join(kids.select("node", "n_children"), "node", "left").join(ends, "node", "left").select(
-        F.lit(total["first"]).cast("bigint").alias("conv_id"), F.lit(0).cast("bigint").alias("depth"),
-        F.lit(None).cast("bigint").alias("parent_conv_id"), F.lit(total["n"]).cast("bigint").alias("n_convs"),
-        F.coalesce("n_children", F.lit(0)).cast("bigint").alias("n_children"),
-        (F.coalesce("leaves", F.lit(0)) + F.lit(int(total["bare"] == total["n"]))).cast("bigint").alias("n_leaves"),
-        F.coalesce("saved", F.lit(0)).cast("bigint").alias("saved_tokens"), F.coalesce("ends_sha256", F.lit(empty)).alias("ends_sha256")))
+    # the root is one row, whose facts are numbers
+    at_root, its_kids = at_root.first(), kids.filter(F.col("node") == F.lit(ROOT)).first()
+    its_ends = ends.filter(F.col("node") == F.lit(ROOT)).first()
+    facts = (total["first"], 0, None, total["n"], its_kids["n_children"] if its_kids else 0,
+             (at_root["leaves"] if at_root else 0) + int(total["bare"] == total["n"]), at_root["saved"] if at_root else 0,
+             its_ends["ends_sha256"] if its_ends else empty)
+    root = turns.sparkSession.createDataFrame([facts] if total["n"] else [], _NODES)
     under = added.select("node", F.col("leaves").alias("l"), F.col("saved").alias("s"))
     full = (nodes.join(under, "node", "left").join(kids.select("node", "n_children"), "node", "left").join(ends, "node", "left"))
     # children of the root need no join: their parent's conversation is the first of all
