@@ -10,7 +10,8 @@ feat   (id, idx, value)                           sparse document-term matrix
 Plan shape: the reviews are hash-partitioned on id once (the raw text is the smallest
 thing to move), so the (id, term) aggregate and every per-review window after it run
 without another exchange. Term statistics aggregate partially per task before the shuffle
-on term (hot terms such as 'the' collapse map-side). The vocabulary is broadcast only when
+on term (hot terms such as 'the' collapse map-side). The vocabulary comes first; then the reviews are read
+again and only its terms are counted, so no table of all n-grams is written. It is broadcast only when
 ``max_features`` bounds it.
 """
 
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions.ngrams import char_wb_ngrams, vectorizer_tokens, word_ngrams
 from revlens.operators.ranking import row_number0
+from revlens.session import written
 
 # Largest vocabulary shipped to every task as a broadcast hash table (rows).
 BROADCAST_VOCAB_ROWS = 2_000_000
@@ -65,29 +67,104 @@ def _doc_count_bound(x, n_docs):
     return x if isinstance(x, int) and not isinstance(x, bool) else float(x) * n_docs
 
 
+def term_statistics(tf: DataFrame) -> DataFrame:
+    """(term, df, cf): reviews and occurrences of every term, written (a row for each term)."""
+    return written(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")), "term-counts")
+
+
+def top_terms(stats: DataFrame, k: int, rank_col: str = "cf") -> DataFrame:
+    """The first ``k`` terms by ``rank_col`` descending, ties by term. How many terms have each count tells from
+    which count on terms can be among them, and only those are ranked."""
+    w = Window.orderBy(F.col(rank_col).desc()).rowsBetween(Window.unboundedPreceding, -1)  # a row for each count
+    counts = stats.groupBy(rank_col).agg(F.count(F.lit(1)).alias("n"))
+    least = counts.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0))).filter(F.col("before") < k).agg(F.min(rank_col)).first()[0]
+    some = stats.filter(F.col(rank_col) >= F.lit(least if least is not None else 0))
+    return row_number0(some, [F.col(rank_col).desc(), F.col("term")], out="_rk").filter(F.col("_rk") < k).drop("_rk")
+
+
 def vocabulary(tf: DataFrame, n_docs: int, max_features: int | None = None,
                min_df: int | float = 1, max_df: int | float = 1.0, binary: bool = False) -> DataFrame:
     """(term, idx, df, cf): document-frequency window first, then the top ``max_features`` by
-    corpus count (document count when ``binary``), ties by term; idx in term order."""
-    stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+    corpus count (document count when ``binary``), ties by term; idx in term order. ``tf`` is a table of term
+    frequencies, or already of ``term_statistics``."""
     lo, hi = _doc_count_bound(min_df, n_docs), _doc_count_bound(max_df, n_docs)
-    kept = stats.filter((F.col("df") >= F.lit(lo)) & (F.col("df") <= F.lit(hi)))
+    window = (F.col("df") >= F.lit(lo)) & (F.col("df") <= F.lit(hi))
+    if "tf" in tf.columns:
+        counts = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")).filter(window)
+        kept = written(counts, "term-counts") if max_features is not None else counts
+    else:
+        kept = tf.filter(window)
     if max_features is not None:
-        rank_col = "df" if binary else "cf"
-        k = int(max_features)
-        top = (row_number0(kept, [F.col(rank_col).desc(), F.col("term")], out="_rk")
-               .filter(F.col("_rk") < k).drop("_rk"))
+        top = top_terms(kept, int(max_features), "df" if binary else "cf")
         # at most max_features rows: one small sorted window is fine here
         return top.withColumn("idx", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
     return row_number0(kept, ["term"], out="idx")  # bigint: the number of terms is not bounded
 
 
+def term_totals(docs: DataFrame, lo: int, hi: int, analyzer: str = "word", words_col: str = "words") -> DataFrame:
+    """(term, cf): occurrences of every term."""
+    return docs.select(F.explode(doc_grams(F.col(words_col), lo, hi, analyzer)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
+
+
+def known_counts(docs: DataFrame, vocab: DataFrame, lo: int, hi: int, max_features: int | None, analyzer: str = "word",
+                 keep_cols: tuple[str, ...] = (), id_col: str = "id", words_col: str = "words") -> DataFrame:
+    """(id, *keep_cols, idx, tf): counts of the terms of ``vocab`` (term, idx). Others are dropped before the
+    aggregate, and only numbers are aggregated. Reviews are partitioned on id by the caller (``by_review``)."""
+    grams = docs.select(id_col, *keep_cols, F.explode(doc_grams(F.col(words_col), lo, hi, analyzer)).alias("term"))
+    return (grams.join(bounded_broadcast(vocab.select("term", "idx"), max_features), "term").groupBy(id_col, *keep_cols, "idx")
+            .agg(F.count(F.lit(1)).alias("tf")))
+
+
+#: Candidates for a vocabulary with a document-frequency window, for each term wanted.
+CANDIDATES = 1.25
+
+
+def fit_counts(docs: DataFrame, n_docs: int, lo: int, hi: int, max_features: int, min_df: int | float = 1, max_df: int | float = 1.0,
+               analyzer: str = "word", keep_cols: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """The vocabulary (term, idx, df, cf, idf) and the counts (id, *keep_cols, idx or term, tf) of its terms.
+
+    Terms are ranked by their occurrences alone; then the reviews are read again and only candidates are counted by
+    review, which gives their document frequencies. Where the window leaves fewer terms than wanted, the candidates
+    are doubled, so the result is that of a window over all terms. Character n-grams are costlier to cut than to
+    write and mostly known, so theirs are counted by review once and written."""
+    if analyzer == "char_wb":
+        tf = written(term_frequencies(docs, "id", "words", lo, hi, analyzer, keep_cols, partitioned=True), "terms")
+        vocab = written(with_smooth_idf(vocabulary(tf, n_docs, max_features, min_df, max_df), n_docs), "vocabulary")
+        return vocab, tf
+    low, high = _doc_count_bound(min_df, n_docs), _doc_count_bound(max_df, n_docs)
+    totals, open_ = written(term_totals(docs, lo, hi, analyzer), "term-totals"), low <= 1 and high >= n_docs
+    wanted = max_features if open_ else int(CANDIDATES * max_features)
+    in_order = Window.orderBy("term")  # as many rows as candidates
+    while True:
+        some = written(top_terms(totals, wanted).withColumn("idx", (F.row_number().over(in_order) - 1).cast("int")), "candidates")
+        counts = written(known_counts(docs, some, lo, hi, wanted, analyzer, keep_cols), "known-counts")
+        df = counts.groupBy("idx").agg(F.count(F.lit(1)).alias("df"))
+        stats = some.join(df, "idx").filter((F.col("df") >= F.lit(low)) & (F.col("df") <= F.lit(high)))
+        if open_:
+            return written(with_smooth_idf(stats.select("term", "idx", "df", "cf"), n_docs), "vocabulary"), counts
+        stats = written(stats, "candidates-kept")
+        if stats.count() >= max_features or some.count() < wanted:
+            break
+        wanted *= 2
+    best = Window.orderBy(F.col("cf").desc(), "term")
+    kept = stats.withColumn("_rk", F.row_number().over(best)).filter(F.col("_rk") <= max_features).withColumn(
+        "new", (F.row_number().over(in_order) - 1).cast("int"))
+    kept = written(kept.select("idx", "new", "term", "df", "cf"), "vocabulary-kept")
+    counts = counts.join(bounded_broadcast(kept.select("idx", "new"), max_features), "idx").select(
+        "id", *keep_cols, F.col("new").alias("idx"), "tf")
+    return with_smooth_idf(kept.select("term", F.col("new").alias("idx"), "df", "cf"), n_docs), counts
+
+
 def with_smooth_idf(vocab: DataFrame, n_docs: int) -> DataFrame:
     """idf = ln((1 + n) / (1 + df)) + 1."""
     return vocab.withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0))
 
 
 def _in_vocab(tf: DataFrame, vocab: DataFrame, max_features, cols) -> DataFrame:
+    if set(cols) <= set(tf.columns) and "term" in tf.columns:  # counted within the vocabulary
+        return tf
+    if "idx" in tf.columns:
+        return tf.join(bounded_broadcast(vocab.select("idx", "term", *(c for c in cols if c != "idx")), max_features), "idx")
     return tf.join(bounded_broadcast(vocab.select("term", *cols), max_features), "term")
 
 
@@ -105,15 +182,21 @@ def tfidf_matrix(tf: DataFrame, vocab_idf: DataFrame, max_features: int | None,
 
     The norm is a window per review: a review's rows are bounded by the vocabulary size and
     tf is already partitioned by review id, so this adds no exchange."""
-    j = _in_vocab(tf, vocab_idf, max_features, ["idx", "idf"])
+    if "idx" in tf.columns and "term" not in tf.columns:  # numbers only are exchanged for the norm; terms come after
+        j = tf.join(bounded_broadcast(vocab_idf.select("idx", "idf"), max_features), "idx")
+    else:
+        j = _in_vocab(tf, vocab_idf, max_features, ["idx", "idf"])
     tfw = (F.lit(1.0) + F.log(F.col("tf").cast("double"))) if sublinear else F.col("tf").cast("double")
-    w = j.select(id_col, "term", "idx", (tfw * F.col("idf")).alias("w"))
+    named = ["term"] if "term" in j.columns else []
+    w = j.select(id_col, *named, "idx", (tfw * F.col("idf")).alias("w"))
     if norm is None:
-        return w.withColumnRenamed("w", "value")
-    if norm != "l2":
+        out = w.withColumnRenamed("w", "value")
+    elif norm == "l2":
+        n2 = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
+        out = w.select(id_col, *named, "idx", (F.col("w") / n2).alias("value"))
+    else:
         raise ValueError(norm)
-    n2 = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
-    return w.select(id_col, "term", "idx", (F.col("w") / n2).alias("value"))
+    return out if named else _in_vocab(out, vocab_idf, max_features, ["idx"]).select(id_col, "term", "idx", "value")
 
 
 def fit_tfidf(docs: DataFrame, n_docs: int, lo: int, hi: int, max_features: int | None,

@@ -7,8 +7,9 @@ with standardization off and no elastic net.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
-                                       RandomForestClassifier)
+from dataclasses import dataclass
+
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.stat import Summarizer
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.operators import features as FT
+from revlens.operators import linear as N
 from revlens.operators.split import stratified_kfold, with_class_weight
 from revlens.operators.vectors import assemble_sparse
 from revlens.session import written
@@ -32,28 +34,26 @@ def tfidf_train_test(train_docs: DataFrame, test_docs: DataFrame | None, lo: int
     """Fit vocabulary + idf on ``train_docs`` (id, label, words); return long features for
     both sides plus the vocabulary width."""
     n = train_docs.count()
-    tf = written(FT.term_frequencies(train_docs, "id", "words", lo, hi, analyzer, keep_cols=("label",),
-                                     partitioned=True), "terms")
-    vocab = written(FT.with_smooth_idf(FT.vocabulary(tf, n, max_features, min_df, max_df), n), "vocabulary")
+    vocab, counts = FT.fit_counts(train_docs, n, lo, hi, max_features, min_df, max_df, analyzer)
     width = vocab.count()
-    train = FT.tfidf_matrix(tf, vocab, max_features).select("id", "idx", "value")
+    train = FT.tfidf_matrix(counts, vocab, max_features).select("id", "idx", "value")
     test = None
     if test_docs is not None:
-        ttf = FT.term_frequencies(test_docs, "id", "words", lo, hi, analyzer, partitioned=True)
-        test = FT.tfidf_matrix(ttf, vocab, max_features).select("id", "idx", "value")
+        known = FT.known_counts(test_docs, vocab, lo, hi, max_features, analyzer)
+        test = FT.tfidf_matrix(known, vocab, max_features).select("id", "idx", "value")
     return train, test, width, vocab
 
 
 def binary_train_test(train_docs, test_docs, lo, hi, max_features, min_df=1):
     n = train_docs.count()
-    tf = written(FT.term_frequencies(train_docs, "id", "words", lo, hi, keep_cols=("label",), partitioned=True), "terms")
-    vocab = written(FT.vocabulary(tf, n, max_features, min_df, 1.0, binary=True), "vocabulary")
+    every = FT.term_frequencies(train_docs, "id", "words", lo, hi, partitioned=True)
+    vocab = written(FT.vocabulary(every, n, max_features, min_df, 1.0, binary=True), "vocabulary")
     width = vocab.count()
+    tf = FT.known_counts(train_docs, vocab, lo, hi, max_features, keep_cols=("label",))
     train = FT.count_matrix(tf, vocab, max_features, binary=True)
     test = None
     if test_docs is not None:
-        ttf = FT.term_frequencies(test_docs, "id", "words", lo, hi, partitioned=True)
-        test = FT.count_matrix(ttf, vocab, max_features, binary=True)
+        test = FT.count_matrix(FT.known_counts(test_docs, vocab, lo, hi, max_features), vocab, max_features, binary=True)
     return train, test, width, tf, vocab
 
 
@@ -125,17 +125,22 @@ def fit_lr(train: DataFrame, C: float, max_iter: int = 100, balanced: bool = Fal
 
 def c_sweep(train: DataFrame, test: DataFrame, Cs, prefix: str = "lr_c", max_iter: int = 100,
             slopes: list | None = None) -> DataFrame:
-    """one model per C over one written training table -> long (id, model, p). ``slopes`` gets
-    each model's ``logistic_slope``."""
-    n = train.count()
-    out = None
-    for C in Cs:
-        m = logistic_regression(C, n, max_iter).fit(train)
-        if slopes is not None:
-            slopes.append(logistic_slope(m, train, 1.0 / (C * n)))
-        p = p_positive(m.transform(test)).select("id", F.lit(f"{prefix}{C:g}").alias("model"), "p")
-        out = p if out is None else out.unionByName(p)
-    return out
+    """one model per C over one written training table, all in the same passes -> long (id, model, p).
+    ``slopes`` gets each model's gradient as a share of that at zero weights."""
+    models = N.fit_many(N.packed_vectors([train]), [N.Spec(f"{prefix}{C:g}", float(C)) for C in Cs], [_width(train)], max_iter)
+    if slopes is not None:
+        slopes += [m.slope for m in models]
+    return _sigmoid(N.score_many(N.packed_vectors([test]), models)).select("id", "model", "p")
+
+
+def _sigmoid(scores: DataFrame) -> DataFrame:
+    return scores.withColumn("p", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("score"))))
+
+
+def _width(vectors: DataFrame) -> int:
+    """Number of features of a vector table; 0 if it is empty."""
+    r = vectors.select(F.col("features").alias("f")).first()
+    return r["f"].size if r is not None else 0
 
 
 def ridge_classifier(train: DataFrame, alpha: float = 1.0, balanced: bool = True):
@@ -163,45 +168,37 @@ def with_folds(vectors: DataFrame, k: int) -> DataFrame:
     return written(vectors.join(folds, "id"), "folded")
 
 
-def _platt_fit(scores: DataFrame):
-    """1-d logistic fit of (score, label) with Platt's soft targets: every example becomes two
-    weighted rows (label 1 weight t, label 0 weight 1 - t)."""
-    from pyspark.ml.feature import VectorAssembler
-    cnt = {r[0]: r[1] for r in scores.groupBy("label").count().collect()}
-    n_pos, n_neg = cnt.get(1.0, 0), cnt.get(0.0, 0)
-    t_pos, t_neg = (n_pos + 1.0) / (n_pos + 2.0), 1.0 / (n_neg + 2.0)
-    t = F.when(F.col("label") == 1.0, F.lit(t_pos)).otherwise(F.lit(t_neg))
-    rows = scores.select("score", t.alias("t"))
-    two = (rows.select("score", F.lit(1.0).alias("label"), F.col("t").alias("w"))
-           .unionByName(rows.select("score", F.lit(0.0).alias("label"), (1.0 - F.col("t")).alias("w"))))
-    va = VectorAssembler(inputCols=["score"], outputCol="features")
-    lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="w", regParam=0.0, maxIter=100)
-    return va, lr.fit(va.transform(two))
+@dataclass
+class Calibration:
+    """What the calibrated classifiers were made of: a model and a sigmoid per name and fold."""
+    models: list
+    platts: dict
+    scores: DataFrame
+
+    def names(self):
+        return [m.spec.name for m in self.models]
+
+
+def calibrated_many(train: DataFrame, test: DataFrame, Cs: dict[str, float], base: str = "svc", cv: int = 3) -> tuple[DataFrame, Calibration]:
+    """For every name and C the base classifier without each fold, sigmoid calibration on that fold, and
+    the mean of the calibrated probabilities of ``test`` -> long (id, model, p). All names and folds are fitted
+    in the same passes. ``svc`` minimises the squared hinge, ``lr`` the logistic loss."""
+    blocks = N.packed_vectors([with_folds(train, cv)])
+    loss = "squared_hinge" if base == "svc" else "logistic"
+    specs = [N.Spec(f"{name}|{f}", float(C), 0, f, loss=loss) for name, C in Cs.items() for f in range(cv)]
+    models = N.fit_many(blocks, specs, [_width(train)])
+    held = written(N.score_many(blocks, models, held_out=True), "held-out-scores")
+    platts = N.platt_many(held)
+    scores = written(N.score_many(N.packed_vectors([test]), models).select("id", "model", "score"), "test-scores")
+    each = N.calibrated_probabilities(scores, platts)
+    out = each.groupBy("id", F.substring_index("model", "|", 1).alias("model")).agg(F.avg("p").alias("p"))
+    return out, Calibration(models, platts, scores)
 
 
 def calibrated(train: DataFrame, test: DataFrame, base: str = "svc", C: float = 0.5, cv: int = 3,
                name: str = "svc") -> DataFrame:
-    """Base classifier per fold, sigmoid calibration on the held-out fold, mean of the
-    calibrated classifiers' probabilities on ``test``."""
-    folded = with_folds(train, cv)
-    out = None
-    for f in range(cv):
-        tr = folded.filter(F.col("fold") != f)
-        ho = folded.filter(F.col("fold") == f)
-        n = tr.count()
-        if base == "svc":
-            # hinge loss; the C-mapping holds for features as they are
-            m = LinearSVC(featuresCol="features", labelCol="label", regParam=1.0 / (C * n), maxIter=100,
-                          standardization=False).fit(tr)
-        else:
-            m = logistic_regression(C, n).fit(tr)
-        raw = lambda df: m.transform(df).withColumn("score", vector_to_array("rawPrediction")[1])
-        va, platt = _platt_fit(raw(ho).select("score", "label"))
-        pt = p_positive(platt.transform(va.transform(raw(test).select("id", "score"))))
-        pt = pt.select("id", F.col("p").alias(f"p{f}"))
-        out = pt if out is None else out.join(pt, "id")
-    mean = sum(F.col(f"p{f}") for f in range(cv)) / cv
-    return out.select("id", F.lit(name).alias("model"), mean.alias("p"))
+    """``calibrated_many`` of one C."""
+    return calibrated_many(train, test, {name: C}, base, cv)[0]
 
 
 def random_forest(train: DataFrame, num_trees: int = 100, max_depth: int = 10, seed: int = 42):

@@ -77,8 +77,7 @@ def _packed(feat: DataFrame, docs: DataFrame, table: int, block_rows: int) -> Da
                 yield pa.RecordBatch.from_arrays([pa.array([table], pa.int32()), ids, *(pa.array([x.tobytes()], pa.binary()) for x in arrays)],
                                                  ["feats", "ids", "label", "fold", "col", "row", "value"])
 
-    kind = docs.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(pack, f"feats int, ids array<{kind}>, label binary, fold binary, col binary, row binary, value binary")
+    return rows.mapInArrow(pack, _blocks_of(docs.schema["id"].dataType.simpleString()))
 
 
 def packed(tables: list[tuple[DataFrame, DataFrame]], block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -90,6 +89,44 @@ def packed(tables: list[tuple[DataFrame, DataFrame]], block_rows: int = BLOCK_RO
     return written(out, "linear")
 
 
+def packed_vectors(tables: list[DataFrame], block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Blocks of several tables (id, features and, if there, label and fold) whose features are vectors, written."""
+    out = None
+    for k, df in enumerate(tables):
+        importable(df.sparkSession)
+        label = F.col("label").cast("double") if "label" in df.columns else F.lit(None).cast("double")
+        fold = F.col("fold").cast("int") if "fold" in df.columns else F.lit(-1)
+        one = df.select("id", label.alias("label"), fold.alias("fold"), "features").mapInArrow(
+            _pack_vectors(k, block_rows), _blocks_of(df.schema["id"].dataType.simpleString()))
+        out = one if out is None else out.unionByName(one)
+    return written(out, "linear")
+
+
+def _blocks_of(kind: str) -> str:
+    return f"feats int, ids array<{kind}>, label binary, fold binary, col binary, row binary, value binary"
+
+
+def _pack_vectors(table: int, block_rows: int):
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, len(batch), block_rows):
+                b = batch.slice(start, block_rows)
+                col, row, value = [], [], []
+                for k, x in enumerate(b.column("features")):
+                    v = x["values"].values.to_numpy(zero_copy_only=False) if x["values"].is_valid else np.empty(0)
+                    value.append(v)
+                    col.append(np.arange(len(v)) if x["type"].as_py() else x["indices"].values.to_numpy(zero_copy_only=False))
+                    row.append(np.full(len(v), k))
+                arrays = [b.column("label").to_numpy(zero_copy_only=False).astype(np.float64),
+                          b.column("fold").fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int32),
+                          np.concatenate(col).astype(np.int32), np.concatenate(row).astype(np.int32), np.concatenate(value).astype(np.float64)]
+                ids = pa.ListArray.from_arrays(pa.array([0, len(b)], pa.int32()), b.column("id"))
+                yield pa.RecordBatch.from_arrays([pa.array([table], pa.int32()), ids, *(pa.array([x.tobytes()], pa.binary()) for x in arrays)],
+                                                 ["feats", "ids", "label", "fold", "col", "row", "value"])
+
+    return pack
+
+
 class _Block:
     def __init__(self, batch: pa.RecordBatch, k: int):
         get = lambda name, kind: np.frombuffer(batch.column(name)[k].as_py(), kind)
@@ -311,3 +348,69 @@ def balanced(docs: DataFrame) -> tuple[float, float]:
     """Class weights (positive, negative) that give both classes the same total, the number of rows."""
     r = docs.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") > 0.5).alias("p")).first()
     return (r["n"] / (2.0 * max(1, r["p"])), r["n"] / (2.0 * max(1, r["n"] - r["p"])))
+
+
+@dataclass
+class Platt:
+    """p = 1 / (1 + exp(-(a * score + b))); ``slope`` is the gradient's share of that at the start."""
+    a: float
+    b: float
+    slope: float
+
+
+def platt_many(scores: DataFrame, steps: int = 40, tol: float = 1e-9) -> dict[str, Platt]:
+    """Sigmoid calibration of every model of (model, score, label), with Platt's soft targets, by Newton's steps: one
+    aggregate per step for all models, five sums of each."""
+    spark = scores.sparkSession
+    n = {r["model"]: (r["p"], r["n"] - r["p"]) for r in scores.groupBy("model").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("label").cast("long")).alias("p")).collect()}  # a row for each model
+    target = {m: ((p + 1.0) / (p + 2.0), 1.0 / (q + 2.0)) for m, (p, q) in n.items()}
+    at = {m: (0.0, float(np.log((p + 1.0) / (q + 1.0)))) for m, (p, q) in n.items()}
+
+    def sums(points: dict) -> dict:
+        table = F.broadcast(spark.createDataFrame([(m, *points[m], *target[m]) for m in points],
+                                                  "model string, a double, b double, tp double, tn double"))
+        rows = scores.select("model", "label", F.col("score").alias("s")).join(table, "model")
+        z = F.col("a") * F.col("s") + F.col("b")
+        t = F.when(F.col("label") == 1, F.col("tp")).otherwise(F.col("tn"))
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+        soft = F.when(z > 0, F.log1p(F.exp(-z))).otherwise(F.log1p(F.exp(z)) - z)
+        rows = rows.select("model", "s", (p - t).alias("r"), (p * (F.lit(1.0) - p)).alias("h"), (soft + (F.lit(1.0) - t) * z).alias("loss"))
+        got = rows.groupBy("model").agg(F.sum(F.col("r") * F.col("s")), F.sum("r"), F.sum(F.col("h") * F.col("s") * F.col("s")),
+                                        F.sum(F.col("h") * F.col("s")), F.sum("h"), F.sum("loss")).collect()
+        return {r[0]: tuple(r)[1:] for r in got}
+
+    now, size, out = sums(at), {}, {}
+    first = {m: max(abs(x[0]), abs(x[1]), 1e-300) for m, x in now.items()}
+    going = dict(at)
+    for _ in range(steps):
+        for m in [m for m in going if max(abs(now[m][0]), abs(now[m][1])) <= tol * first[m]]:
+            del going[m]
+        if not going:
+            break
+        tried = {}
+        for m in going:
+            ga, gb, haa, hab, hbb, _ = now[m]
+            haa, hbb = haa + 1e-12, hbb + 1e-12
+            det = haa * hbb - hab * hab
+            da, db = ((-ga / haa, -gb / hbb) if det <= 1e-18 * haa * hbb else
+                      (-(hbb * ga - hab * gb) / det, -(haa * gb - hab * ga) / det))
+            t = size.get(m, 1.0)
+            tried[m] = at[m][0] + t * da, at[m][1] + t * db
+        got = sums(tried)
+        for m in tried:
+            if got[m][5] <= now[m][5] + 1e-12 * abs(now[m][5]):
+                at[m], now[m], size[m] = tried[m], got[m], 1.0
+            else:
+                size[m] = size.get(m, 1.0) / 2
+                if size[m] < 1e-6:
+                    del going[m]
+    for m in at:
+        out[m] = Platt(*at[m], max(abs(now[m][0]), abs(now[m][1])) / first[m])
+    return out
+
+
+def calibrated_probabilities(scores: DataFrame, platts: dict[str, Platt]) -> DataFrame:
+    """``scores`` (id, model, score) with p by the model's calibration."""
+    table = F.broadcast(scores.sparkSession.createDataFrame([(m, x.a, x.b) for m, x in platts.items()], "model string, a double, b double"))
+    return scores.join(table, "model").withColumn("p", F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("a") * F.col("score") + F.col("b"))))).drop("a", "b")

@@ -28,10 +28,14 @@ def fit(spark, sf, profile, lo, hi, max_features, min_df=1, max_df=1.0, analyzer
     ``with_label`` carries the label in the term table (needed by the NB statistics only)."""
     docs = labeled_docs(spark, sf, profile)
     n = tables.labeled(spark, sf).count()  # same rows, counted before the id shuffle
-    # read twice (term statistics, then weights): write it instead of cleaning the text again
-    tf = written(FT.term_frequencies(docs, "id", "words", lo, hi, analyzer, keep_cols=("label",) if with_label else (),
-                                     partitioned=True), "terms")
-    vocab = written(FT.with_smooth_idf(FT.vocabulary(tf, n, max_features, min_df, max_df, binary), n), "vocabulary")
+    keep = ("label",) if with_label else ()
+    if not binary:
+        vocab, tf = FT.fit_counts(docs, n, lo, hi, max_features, min_df, max_df, analyzer, keep)
+        return docs, tf, n, vocab
+    # ranked by document count: every term is counted by review first
+    every = FT.term_frequencies(docs, "id", "words", lo, hi, analyzer, partitioned=True)
+    vocab = written(FT.with_smooth_idf(FT.vocabulary(every, n, max_features, min_df, max_df, binary), n), "vocabulary")
+    tf = FT.known_counts(docs, vocab, lo, hi, max_features, analyzer, keep)
     return docs, tf, n, vocab
 
 
@@ -135,7 +139,7 @@ def transform_unseen_q(spark, sf):
     _, _, _, v = fit(spark, sf, "contract_stop", 1, 2, 10000, 2, 0.85, with_label=False)
     unseen = FT.by_review(tables.benchmark(spark, sf), "doc_id").select(
         F.col("doc_id").alias("id"), P.profile_tokens("contract_stop", "text").alias("words"))
-    utf = FT.term_frequencies(unseen, "id", "words", 1, 2, partitioned=True)
+    utf = FT.known_counts(unseen, v, 1, 2, 10000)
     m = FT.tfidf_matrix(utf, v, 10000)
     return m.select(F.col("id").alias("doc_id"), "term", F.round("value", 6).alias("weight"))
 
