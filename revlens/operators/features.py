@@ -72,14 +72,15 @@ def term_statistics(tf: DataFrame) -> DataFrame:
     return written(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")), "term-counts")
 
 
-def top_terms(stats: DataFrame, k: int, rank_col: str = "cf") -> DataFrame:
-    """The first ``k`` terms by ``rank_col`` descending, ties by term. How many terms have each count tells from
+def top_terms(stats: DataFrame, k: int, rank_col: str = "cf", keep_rank: bool = False) -> DataFrame:
+    """The first ``k`` terms by ``rank_col`` descending, ties by term (with their place as _rk, if asked for). How many terms have each count tells from
     which count on terms can be among them, and only those are ranked."""
     w = Window.orderBy(F.col(rank_col).desc()).rowsBetween(Window.unboundedPreceding, -1)  # a row for each count
     counts = stats.groupBy(rank_col).agg(F.count(F.lit(1)).alias("n"))
     least = counts.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0))).filter(F.col("before") < k).agg(F.min(rank_col)).first()[0]
     some = stats.filter(F.col(rank_col) >= F.lit(least if least is not None else 0))
-    return row_number0(some, [F.col(rank_col).desc(), F.col("term")], out="_rk").filter(F.col("_rk") < k).drop("_rk")
+    top = row_number0(some, [F.col(rank_col).desc(), F.col("term")], out="_rk").filter(F.col("_rk") < k)
+    return top if keep_rank else top.drop("_rk")
 
 
 def vocabulary(tf: DataFrame, n_docs: int, max_features: int | None = None,
@@ -207,6 +208,41 @@ def fit_tfidf(docs: DataFrame, n_docs: int, lo: int, hi: int, max_features: int
     return vocab, tfidf_matrix(tf, vocab, max_features, id_col)
 
 
+def gram_lattice(train: DataFrame, test: DataFrame | None, n_docs: int,
+                 configs: dict[str, tuple[int, int, int]]) -> dict[str, tuple[DataFrame, DataFrame | None, int]]:
+    """TF-IDF of several (lo, hi, max_features) over the same cleaned reviews: name -> (train, test, width), long
+    (id, idx, value). N-grams of all orders are totalled once; every configuration's vocabulary is cut from that
+    table, whose rankings are shared by configurations of one range; the reviews are counted once within the
+    union of the vocabularies (at most the sum of their sizes)."""
+    low, high = min(c[0] for c in configs.values()), max(c[1] for c in configs.values())
+    order = F.size(F.split("term", " "))
+    totals = written(term_totals(train, low, high).withColumn("order", order), "term-totals")
+    in_order = Window.orderBy("term")  # as many rows as terms wanted
+    vocabs: dict[str, DataFrame] = {}
+    for lo, hi in sorted({c[:2] for c in configs.values()}):
+        most = max(c[2] for c in configs.values() if c[:2] == (lo, hi))
+        top = written(top_terms(totals.filter(F.col("order").between(lo, hi)), most, keep_rank=True), "lattice-terms")
+        for name, c in configs.items():
+            if c[:2] == (lo, hi):
+                vocabs[name] = top.filter(F.col("_rk") < c[2]).withColumn("idx", (F.row_number().over(in_order) - 1).cast("int")).select("term", "idx")
+    union = None
+    for v in vocabs.values():
+        union = v.select("term") if union is None else union.unionByName(v.select("term"))
+    size = sum(c[2] for c in configs.values())
+    union = written(union.distinct().withColumn("idx", (F.row_number().over(in_order) - 1).cast("int")), "lattice")
+    counts = written(known_counts(train, union, low, high, size), "lattice-counts")
+    known = None if test is None else written(known_counts(test, union, low, high, size), "lattice-test")
+    df = counts.groupBy("idx").agg(F.count(F.lit(1)).alias("df"))
+    union = written(with_smooth_idf(union.join(df, "idx"), n_docs), "lattice-idf")
+    out = {}
+    for name, v in vocabs.items():
+        own = written(v.withColumnRenamed("idx", "new").join(union, "term").select("term", "new", "idx", "idf"), "vocabulary")
+        cut = lambda c: tfidf_matrix(c.join(bounded_broadcast(own.select("idx", "new"), configs[name][2]), "idx").select(
+            "id", F.col("new").alias("idx"), "tf"), own.select("term", F.col("new").alias("idx"), "idf"), configs[name][2]).select("id", "idx", "value")
+        out[name] = cut(counts), None if known is None else cut(known), own.count()
+    return out
+
+
 def nb_class_sums(tf_labeled: DataFrame, vocab: DataFrame, max_features: int | None,
                   binary: bool = True, label_col: str = "label") -> DataFrame:
     """(term, idx, pos, neg): per-class sums of 0/1 presence (or raw counts) per vocab term."""

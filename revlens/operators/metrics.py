@@ -40,6 +40,16 @@ def roc_auc(pred: DataFrame, group_cols: Sequence[str] = ("model",), p_col: str
     return g.select(*group_cols, auc.alias("auc"))
 
 
+def auc_by_windows(pred: DataFrame, group_cols: Sequence[str] = ("model",), rank_col: str = "p", label_col: str = "label") -> DataFrame:
+    """The same number another way, to check ``roc_auc`` with: for each distinct value, positives times the
+    negatives below it and half of those beside it, over all pairs. A window over distinct values per group."""
+    from pyspark.sql import Window
+    per = pred.groupBy(*group_cols, rank_col).agg(F.count_if(F.col(label_col) == 1).alias("pos"), F.count_if(F.col(label_col) == 0).alias("neg"))
+    below = F.coalesce(F.sum("neg").over(Window.partitionBy(*group_cols).orderBy(rank_col).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    won = per.withColumn("won", F.col("pos") * (below + F.col("neg") / 2.0))
+    return won.groupBy(*group_cols).agg((F.sum("won") / F.nullif((F.sum("pos") * F.sum("neg")).cast("double"), F.lit(0.0))).alias("auc"))
+
+
 def cross_validate(pred: DataFrame, model_col: str = "model", fold_col: str = "fold",
                    rank_col: str = "p") -> DataFrame:
     """Per-fold AUC (of ``rank_col``: a probability or a raw score) and accuracy, then mean and

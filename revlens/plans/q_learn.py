@@ -1,24 +1,26 @@
 """Catalog: learners and learner compositions.
 
-These are iterative fits: no SQL states their numbers, so each query returns what must hold of them
-(see fit_query) and its statement says so; PREDICTIONS has the rows themselves.
+These are iterative fits: no SQL states their numbers. Keys whose fit has a slope that a second pass
+measures return that with their ids (see fit_query); the others return their rows, and beside each a key
+``<key>_check`` returns facts that a second, plain way computes from the fit and that a broken fit fails.
 Training reviews = labeled; scored reviews = the documents without a label.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from revlens.functions import profiles as P
 from revlens.functions import wordlists as W
+from revlens.operators import boosting as B
 from revlens.operators import ensemble as G
 from revlens.operators import features as FT
 from revlens.operators import learn as L
+from revlens.operators import linear as N
 from revlens.operators import metrics as M
 from revlens.operators import scorers as S
 from revlens.operators.embed import CENTROIDS
-from revlens.operators.split import QUICK_ROWS, first_n_subset, stratified_holdout, with_class_weight
+from revlens.operators.split import QUICK_ROWS, first_n_subset, stratified_holdout, stratified_kfold, with_class_weight
 from revlens.plans.registry import query
 from revlens.session import scratch_path, written
 from revlens.sources import reviews_io as IO
@@ -144,26 +146,73 @@ def sgd_log_loss_q(spark, sf):
     return _rows(L.p_positive(m.transform(te)), "p"), {"at_optimum": L.logistic_slope(m, tr, 1e-4) < SLOPE}
 
 
-@fit_query("calibrated_linear_svc", models=("svc_c05",))
-def calibrated_linear_svc_q(spark, sf):
-    """LinearSVC C 0.5 with sigmoid calibration, 3 folds, mean of the folds."""
+def rows_query(key):
+    """Register a fit that returns its own rows."""
+    def deco(fn):
+        PREDICTIONS[key] = fn
+        return query(key)(fn)
+    return deco
+
+
+def _svc_tables(spark, sf):
     tr, te, _ = tfidf_vectors(spark, sf, "minstop", 1, 4, 50000)
-    return _rows(L.calibrated(tr, te, "svc", 0.5, 3, "svc_c05"), "model", "p"), {}
+    return tr, te
+
+
+@rows_query("calibrated_linear_svc")
+def calibrated_linear_svc_q(spark, sf):
+    """linear SVC (squared hinge, C 0.5) with sigmoid calibration, 3 folds, mean of the folds."""
+    return _rows(L.calibrated_many(*_svc_tables(spark, sf), {"svc_c05": 0.5}, "svc")[0], "model", "p")
 
 
 #: C values of the calibrated logistic regressions.
 CALIBRATED_C = (10.0, 30.0, 50.0, 100.0, 200.0)
+_CALIBRATED = {f"cal_lr_c{c:g}": c for c in CALIBRATED_C}
 
 
-@fit_query("calibrated_logistic", models=[f"cal_lr_c{c:g}" for c in CALIBRATED_C])
+def _cal_tables(spark, sf):
+    tr, te, _ = tfidf_vectors(spark, sf, "padneg", 1, 5, 100000, 1, 0.95)
+    return tr, te
+
+
+@rows_query("calibrated_logistic")
 def calibrated_logistic_q(spark, sf):
     """the same wrapper around LR, C in {10, 30, 50, 100, 200} (1-5-grams, 100,000, max_df 0.95)."""
-    tr, te, _ = tfidf_vectors(spark, sf, "padneg", 1, 5, 100000, 1, 0.95)
-    out = None
-    for c in CALIBRATED_C:
-        one = L.calibrated(tr, te, "lr", c, 3, f"cal_lr_c{c:g}")
-        out = one if out is None else out.unionByName(one)
-    return _rows(out, "model", "p"), {}
+    return _rows(L.calibrated_many(*_cal_tables(spark, sf), _CALIBRATED, "lr")[0], "model", "p")
+
+
+def calibration_facts(out, cal, base):
+    """A row per classifier: whether it is at its optimum, its sigmoid's gradient is zero and its slope positive, and
+    the mean probabilities are those of a plain sum over its name's sigmoids."""
+    z = None
+    for m in cal.names():
+        c = F.lit(cal.platts[m].a) * F.max(F.when(F.col("model") == m, F.col("score"))) + F.lit(cal.platts[m].b)
+        one = F.when(F.lit(m).startswith(F.col("name")), F.lit(1.0) / (F.lit(1.0) + F.exp(-c))).otherwise(F.lit(0.0))
+        z = one if z is None else z + one
+    folds = len(cal.names()) // len({m.split("|")[0] for m in cal.names()})
+    plain = cal.scores.withColumn("name", F.concat(F.substring_index("model", "|", 1), F.lit("|"))).groupBy("id", "name").agg((z / folds).alias("q"))
+    met = out.withColumn("name", F.concat("model", F.lit("|"))).join(plain, ["id", "name"], "full")
+    far = met.filter("p is null or q is null or abs(p - q) > 1e-9").count()
+    rows = [(m.spec.name.split("|")[0], int(m.spec.name.split("|")[1]), m.slope < SLOPE and (base != "svc" or abs(m.gap) < SLOPE),
+             cal.platts[m.spec.name].slope < 1e-4 and cal.platts[m.spec.name].a > 0, far == 0) for m in cal.models]
+    return out.sparkSession.createDataFrame(rows, "model string, fold int, at_optimum boolean, sigmoid_fits boolean, mean_agrees boolean")
+
+
+def _calibration_sql(names):
+    return ("SELECT m AS model, CAST(f AS INTEGER) AS fold, TRUE AS at_optimum, TRUE AS sigmoid_fits, TRUE AS mean_agrees FROM (VALUES "
+            + ", ".join(f"('{n}')" for n in names) + ") AS t(m), range(3) r(f)")
+
+
+@query("calibrated_linear_svc_check", _calibration_sql(["svc_c05"]))
+def calibrated_linear_svc_check_q(spark, sf):
+    """The facts of F6: slope and dual gap of the squared hinge, stationary sigmoids, means."""
+    return calibration_facts(*L.calibrated_many(*_svc_tables(spark, sf), {"svc_c05": 0.5}, "svc"), "svc")
+
+
+@query("calibrated_logistic_check", _calibration_sql(_CALIBRATED))
+def calibrated_logistic_check_q(spark, sf):
+    """The facts of F7."""
+    return calibration_facts(*L.calibrated_many(*_cal_tables(spark, sf), _CALIBRATED, "lr"), "lr")
 
 
 def _nb_blocks(spark, sf, profile, lo, hi, mf, clipped):
@@ -199,49 +248,68 @@ def nbsvm_tfidf_q(spark, sf):
 def _bow_vectors(spark, sf, mf=5000):
     lab, test = train_test(spark, sf, "letters")
     n = lab.count()
-    tf = FT.term_frequencies(lab, "id", "words", 1, 1, keep_cols=("label",), partitioned=True)
-    vocab = written(FT.vocabulary(tf, n, mf, 2), "vocabulary")
+    vocab, tf = FT.fit_counts(lab, n, 1, 1, mf, 2)
     width = vocab.count()
-    ttf = FT.term_frequencies(test, "id", "words", 1, 1, partitioned=True)
+    ttf = FT.known_counts(test, vocab, 1, 1, mf)
     tr = L.vectors_for(FT.count_matrix(tf, vocab, mf), width, lab)
     te = L.vectors_for(FT.count_matrix(ttf, vocab, mf), width, test, keep=())
     return tr, te, vocab
 
 
-def _beats_majority(model, train):
-    """Whether the fitted trees label more of their own rows right than the larger class alone would."""
-    r = model.transform(train).agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("right"),
-                                   F.avg("label").alias("share")).first()
-    return r["right"] >= max(r["share"], 1 - r["share"])
-
-
 def _labels(df):
     return _rows(L.p_positive(df), F.col("prediction").cast("int").alias("sentiment"), "p")
 
 
-@fit_query("random_forest", ("beats_majority",), ("p_in_range", "label_fits"))
+@rows_query("random_forest")
 def random_forest_q(spark, sf):
     """100 trees, depth 10, on unigram counts (5,000, min_df 2); hard labels + probability."""
     tr, te, _ = _bow_vectors(spark, sf)
-    m = L.random_forest(tr, 100, 10)
-    return _labels(m.transform(te)), {"beats_majority": _beats_majority(m, tr)}
+    return _labels(L.random_forest(tr, 100, 10).transform(te))
 
 
-@query("top_feature_importances", "SELECT CAST(unnest(range(1, 21)) AS BIGINT) AS place, TRUE AS positive, TRUE AS descending")
-def top_feature_importances_q(spark, sf):
-    """The 20 most important words of the forest; the query states their order and sign."""
-    from pyspark.sql import Window
-    top = top_words_of_forest(spark, sf)
-    w = Window.orderBy(F.col("importance").desc(), F.col("term"))  # 20 rows
-    return top.select(F.row_number().over(w).cast("long").alias("place"), (F.col("importance") > 0).alias("positive"),
-                      (F.col("importance") <= F.coalesce(F.lag("importance").over(w), F.lit(1.0))).alias("descending"))
+#: A model that knows nothing ranks held-out reviews at 0.5.
+BETTER_AUC = 0.55
 
 
-def top_words_of_forest(spark, sf):
+@query("random_forest_check", "SELECT TRUE AS ranks_held_out, TRUE AS label_fits, count(*) AS n_scored FROM (" + _TEST_SQL + ") t")
+def random_forest_check_q(spark, sf):
+    """F11 on four fifths of the labeled reviews ranks the rest better than chance by a margin; the labels of the test
+    reviews are the probabilities cut at a half."""
+    tr, te, _ = _bow_vectors(spark, sf)
+    split = stratified_holdout(tr.select("id", "label"), 0.2, "label", "id").select("id", "is_valid")
+    both = written(tr.join(split, "id"), "held-out")
+    model = L.random_forest(both.filter("is_valid = 0"), 100, 10)
+    auc = M.auc_by_windows(L.p_positive(model.transform(both.filter("is_valid = 1"))).withColumn("model", F.lit("rf"))).first()["auc"]
+    rows = _labels(model.transform(te)).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("sentiment") != (F.col("p") > 0.5).cast("int")).alias("bad")).first()
+    return spark.range(1).select(F.lit(auc > BETTER_AUC).alias("ranks_held_out"), F.lit(rows["bad"] == 0).alias("label_fits"),
+                                 F.lit(rows["n"]).cast("long").alias("n_scored"))
+
+
+@rows_query("top_feature_importances")
+def top_feature_importances_q(spark, sf):
+    """The 20 most important words of the forest and their importances."""
     tr, _, vocab = _bow_vectors(spark, sf)
     return L.top_feature_importances(L.random_forest(tr, 100, 10), vocab, 20).select("term", "importance")
 
 
+#: A word that no review holds.
+PLANTED = "zzplantedzz"
+
+
+@query("top_feature_importances_check", f"SELECT '{PLANTED}' AS term, TRUE AS first, TRUE AS sums_to_one, TRUE AS descending")
+def top_feature_importances_check_q(spark, sf):
+    """D23 on the same reviews with a word planted in the positive ones: it comes first, and all importances sum to one."""
+    lab, _ = train_test(spark, sf, "letters")
+    lab = lab.withColumn("words", F.when(F.col("label") == 1, F.concat("words", F.array(F.lit(PLANTED)))).otherwise(F.col("words")))
+    vocab, tf = FT.fit_counts(lab, lab.count(), 1, 1, 5000, 2)
+    model = L.random_forest(L.vectors_for(FT.count_matrix(tf, vocab, 5000), vocab.count(), lab), 100, 10)
+    top = [tuple(r) for r in L.top_feature_importances(model, vocab, 20).select("term", "importance").collect()]
+    own = [v for _, v in top]
+    return spark.range(1).select(F.lit(PLANTED).alias("term"), F.lit(top[0][0] == PLANTED).alias("first"),
+                                 F.lit(abs(float(model.featureImportances.values.sum()) - 1.0) < 1e-9).alias("sums_to_one"),
+                                 F.lit(own == sorted(own, reverse=True)).alias("descending"))
+
+
 #: Dimensions of the trained vectors in the chains below.
 VECTOR_SIZE = 300
 
@@ -265,25 +333,32 @@ def _mean_vectors(spark, sf, vector_size=VECTOR_SIZE):
     return tr, te
 
 
-@fit_query("boosted_trees", ("beats_majority",), ("p_in_range", "label_fits"))
-def boosted_trees_q(spark, sf):
-    """boosted trees (200 rounds, depth 10, step 0.1) on mean trained word vectors (D14 -> D17)."""
+def _dense(vectors):
+    """Long (id, idx, value) of a table of vectors in full."""
+    from pyspark.ml.functions import vector_to_array
+    return vectors.select("id", F.posexplode(vector_to_array("features")).alias("idx", "value")).filter("value != 0")
+
+
+#: Depth 10, no row or column sampling; F13: the reviewed script's regularised trees.
+TREES = B.Params(rounds=200, depth=10, step=0.1, row_share=1.0, col_share=1.0, min_child=1.0, min_gain=0.0, l1=0.0, l2=1.0)
+FUSED_TREES = B.Params(rounds=300, depth=6, step=0.05, row_share=0.8, col_share=0.8, min_child=5.0, min_gain=0.1, l1=0.1, l2=1.0)
+
+
+@rows_query("boosted_trees")
+def boosted_trees_q(spark, sf, params=TREES):
+    """second-order boosted trees (200 rounds, depth 10, step 0.1, l2 1) on mean trained word vectors (D14 -> D17)."""
     tr, te = _mean_vectors(spark, sf)
     tr = written(tr, "vectors")
-    m = L.boosted_trees(tr, 200, 10, 0.1)
-    return _labels(m.transform(te)), {"beats_majority": _beats_majority(m, tr)}
+    m = B.fit_boosted(_dense(tr), tr.select("id", "label"), VECTOR_SIZE, params)
+    p = B.score_boosted(m, _dense(te), te.select("id"))
+    return _rows(p, (F.col("p") > 0.5).cast("int").alias("sentiment"), "p")
 
 
-@fit_query("fused_boosted_trees", ("beats_majority",), ("p_in_range", "label_fits"))
-def fused_boosted_trees_q(spark, sf, k=CENTROIDS, vector_size=VECTOR_SIZE):
-    """1-2-gram counts (8,000, min_df 2, max_df 0.8) + mean trained word vector + histogram over k
-    trained centroids (D14 -> D17, D18 -> D20) -> boosted trees (300 rounds, depth 6, step 0.05, row and
-    column sampling 0.8); hard label and probability for every test review."""
+def _fused_tables(spark, sf, k, vector_size):
+    """F13's features: (train, labeled ids with folds, test, test ids, width)."""
     from revlens.operators import embed as EM
     lab, test = train_test(spark, sf, "letters")
-    n = lab.count()
-    tf = FT.term_frequencies(lab, "id", "words", 1, 2, keep_cols=("label",), partitioned=True)
-    vocab = written(FT.vocabulary(tf, n, 8000, 2, 0.8), "vocabulary")
+    vocab, tf = FT.fit_counts(lab, lab.count(), 1, 2, 8000, 2, 0.8)
     w1 = vocab.count()
     vec = _trained_vectors(spark, sf, vector_size)
     w2c = written(EM.kmeans_centroids(vec, k).assign(vec).select("word", "centroid"), "centroids")
@@ -293,18 +368,87 @@ def fused_boosted_trees_q(spark, sf, k=CENTROIDS, vector_size=VECTOR_SIZE):
         mv = EM.mean_word_vector(d, vec, vector_size).select("id", F.posexplode("vector").alias("idx", "value")) \
             .filter(F.col("value") != 0)
         hist = EM.centroid_histogram(d, w2c).select("id", F.col("centroid").alias("idx"), F.col("share").alias("value"))
-        return FT.hstack([(bow, w1), (mv, vector_size), (hist, k)])
-
-    ttf = FT.term_frequencies(test, "id", "words", 1, 2, partitioned=True)
-    tr = L.vectors_for(blocks(lab, tf), w1 + vector_size + k, lab)
-    te = L.vectors_for(blocks(test, ttf), w1 + vector_size + k, test, keep=())
-    m = L.boosted_trees(tr, 300, 6, 0.05, 0.8, "0.8")
-    return _labels(m.transform(te)), {"beats_majority": _beats_majority(m, tr)}
-
-
-@fit_query("lexicon_tfidf_sweep", checks=("means_in_range", "side_of_mean"))
-def lexicon_tfidf_sweep_q(spark, sf):
-    """1-5-gram TF-IDF (80,000) + five lexicon columns -> LR C in {10, 30, 50} -> mean and TJflexic."""
+        return written(FT.hstack([(bow, w1), (mv, vector_size), (hist, k)]), "fused")
+
+    folds = written(stratified_kfold(lab.select("id", "label"), 5, "label", "id").select("id", "label", "fold"), "folds")
+    return blocks(lab, tf), folds, blocks(test, FT.known_counts(test, vocab, 1, 2, 8000)), test.select("id"), w1 + vector_size + k
+
+
+def _fused(spark, sf, params, k, vector_size):
+    """The model of F13 with a model per fold left out, its out-of-fold rows, and the test reviews' rows."""
+    train, folds, test, ids, width = _fused_tables(spark, sf, k, vector_size)
+    model = B.fit_boosted(train, folds, width, params, folds=5)
+    own = B.score_boosted(model, train, folds.select("id")).join(folds, "id").filter("model = fold")
+    out = written(own.select("id", "fold", F.col("label").cast("int").alias("label"), "p"), "out-of-fold")
+    rest = B.score_boosted(model, test, ids).filter(F.col("model") == 5).select("id", "p")
+    return model, out, rest
+
+
+@rows_query("fused_boosted_trees")
+def fused_boosted_trees_q(spark, sf, k=CENTROIDS, vector_size=VECTOR_SIZE, params=FUSED_TREES):
+    """1-2-gram counts (8,000, min_df 2, max_df 0.8) + mean trained word vector + histogram over k trained
+    centroids (D14 -> D17, D18 -> D20) -> second-order boosted trees (300 rounds, depth 6, step 0.05, row and column
+    sampling 0.8, leaf l1 0.1 and l2 1, minimum gain 0.1), five folds and the whole in the same passes. Labeled reviews
+    have their out-of-fold probability, fold, the fold's AUC and the mean over the folds; test reviews the
+    whole model's probability; both a hard label."""
+    _, out, rest = _fused(spark, sf, params, k, vector_size)
+    auc = M.roc_auc(out.withColumn("model", F.lit("fused")), ("model", "fold")).select("fold", F.col("auc").alias("fold_auc"))
+    auc = written(auc, "fold-scores")  # five rows
+    mean = auc.agg(F.avg("fold_auc")).first()[0]
+    cv = out.join(F.broadcast(auc), "fold").select("id", "p", "fold", "fold_auc", F.lit(mean).cast("double").alias("mean_auc"))
+    test = rest.select("id", "p", F.lit(None).cast("int").alias("fold"), F.lit(None).cast("double").alias("fold_auc"),
+                       F.lit(None).cast("double").alias("mean_auc"))
+    return _rows(cv.unionByName(test), "fold", (F.col("p") > 0.5).cast("int").alias("sentiment"), "p", "fold_auc", "mean_auc")
+
+
+#: Rounds and dimensions of the checks of the trees.
+CHECK_ROUNDS, CHECK_VECTOR = 12, 50
+
+
+@query("fused_boosted_trees_check", "SELECT TRUE AS ranks_out_of_fold, TRUE AS folds_whole, TRUE AS root_split_agrees, "
+                                    "count(*) AS n_labeled FROM documents d JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id")
+def fused_boosted_trees_check_q(spark, sf, k=CENTROIDS):
+    """F13 with 12 rounds and 50 dimensions: out-of-fold AUC above chance by a margin, every labeled review scored once, and
+    the first tree's first split found again by plain aggregates over the values."""
+    from dataclasses import replace
+    params = replace(FUSED_TREES, rounds=CHECK_ROUNDS, step=0.3, row_share=1.0, col_share=1.0)
+    train, folds, _, _, width = _fused_tables(spark, sf, k, CHECK_VECTOR)
+    model = B.fit_boosted(train, folds, width, params, folds=5)
+    own = written(B.score_boosted(model, train, folds.select("id")).join(folds, "id").filter("model = fold"), "out-of-fold")
+    auc = M.auc_by_windows(own.withColumn("model", F.lit("fused")), ("model",)).first()["auc"]
+    n = own.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("d")).first()
+    return spark.range(1).select(F.lit(auc > BETTER_AUC).alias("ranks_out_of_fold"), F.lit(n["n"] == n["d"]).alias("folds_whole"),
+                                 F.lit(plain_root(train, folds, model, params)).alias("root_split_agrees"), F.lit(n["n"]).cast("long").alias("n_labeled"))
+
+
+def plain_root(train, docs, model, params):
+    """Whether no split of all rows gains more than the first one of the whole model's first tree: all splits at the
+    same cuts, by one aggregate per (feature, cut) over the values that are there."""
+    rows = docs.agg(F.sum(F.lit(0.5) - F.col("label")).alias("g"), (F.count(F.lit(1)) * 0.25).alias("h")).first()
+    cuts = train.sparkSession.createDataFrame([(f, i, float(c)) for f, own in enumerate(model.cuts.cuts) for i, c in enumerate(own)],
+                                              "idx int, bin int, cut double")
+    own = train.filter("value != 0").join(docs.select("id", "label"), "id").withColumn("g", F.lit(0.5) - F.col("label"))
+    per = own.groupBy("idx").agg(F.sum("g").alias("tg"), (F.count(F.lit(1)) * 0.25).alias("th"))
+    low = own.groupBy("idx", "value").agg(F.sum("g").alias("g"), (F.count(F.lit(1)) * 0.25).alias("h")).join(cuts, "idx").filter(
+        F.col("value") <= F.col("cut")).groupBy("idx", "bin").agg(F.sum("g").alias("lg"), F.sum("h").alias("lh"))
+    all_ = cuts.join(per, "idx").join(low, ["idx", "bin"], "left").fillna(0.0, ["lg", "lh"])
+    zero = F.col("cut") >= 0  # rows without a value are zero
+    left_g = F.col("lg") + F.when(zero, F.lit(rows["g"]) - F.col("tg")).otherwise(0.0)
+    left_h = F.col("lh") + F.when(zero, F.lit(rows["h"]) - F.col("th")).otherwise(0.0)
+    worth = lambda g, h: F.pow(F.greatest(F.abs(g) - params.l1, F.lit(0.0)), 2) / (h + params.l2)
+    all_ = all_.select("idx", "bin", left_g.alias("a"), left_h.alias("b")).filter(
+        (F.col("b") >= params.min_child) & (F.lit(rows["h"]) - F.col("b") >= params.min_child))
+    gain = worth(F.col("a"), F.col("b")) + worth(F.lit(rows["g"]) - F.col("a"), F.lit(rows["h"]) - F.col("b")) - worth(F.lit(rows["g"]), F.lit(rows["h"]))
+    all_ = written(all_.withColumn("gain", gain), "plain-splits")
+    best = all_.agg(F.max("gain")).first()[0]
+    tree = model.trees[-1][0]
+    if best is None or best <= 1e-12:
+        return bool(tree.feature[0] < 0)
+    mine = all_.filter((F.col("idx") == int(tree.feature[0])) & (F.col("bin") == int(tree.cut[0]))).first()
+    return mine is not None and abs(mine["gain"] - best) <= 1e-6 * max(1.0, best)
+
+
+def _lexicon_members(spark, sf):
     lab, test = train_test(spark, sf, "len2")
     tr_t, te_t, w, _ = L.tfidf_train_test(lab, test, 1, 5, 80000)
     lexcols = ["pos", "neg", "negation", "eff_pos", "eff_neg"]
@@ -314,21 +458,72 @@ def lexicon_tfidf_sweep_q(spark, sf):
                                                                 W.LEXICON_NEGATIVE, W.LEXICON_NEGATION)), lexcols)
     tr = L.vectors_for(FT.hstack([(tr_t, w), (lex(lab), 5)]), w + 5, lab)
     te = L.vectors_for(FT.hstack([(te_t, w), (lex(test), 5)]), w + 5, test, keep=())
-    pred = L.c_sweep(tr, te, [10.0, 30.0, 50.0])
-    ens = G.combiners(pred)
-    return _rows(ens, "ens_mean", "ens_tjflexic"), {}
+    return L.c_sweep(tr, te, [10.0, 30.0, 50.0])
 
 
-@fit_query("word_char_sweep", checks=("means_in_range", "side_of_mean"))
-def word_char_sweep_q(spark, sf):
-    """word 1-5-gram TF-IDF (80,000, min_df 2) + char_wb 3-6 TF-IDF (50,000, min_df 2) -> LR sweep."""
+def _word_char_members(spark, sf):
     lab, test = train_test(spark, sf, "articles")
     tr_w, te_w, w1, _ = L.tfidf_train_test(lab, test, 1, 5, 80000, 2)
     tr_c, te_c, w2, _ = L.tfidf_train_test(lab, test, 3, 6, 50000, 2, analyzer="char_wb")
     tr = L.vectors_for(FT.hstack([(tr_w, w1), (tr_c, w2)]), w1 + w2, lab)
     te = L.vectors_for(FT.hstack([(te_w, w1), (te_c, w2)]), w1 + w2, test, keep=())
-    ens = G.combiners(L.c_sweep(tr, te, [10.0, 30.0, 50.0]))
-    return _rows(ens, "ens_mean", "ens_tjflexic"), {}
+    return L.c_sweep(tr, te, [10.0, 30.0, 50.0])
+
+
+@rows_query("lexicon_tfidf_sweep")
+def lexicon_tfidf_sweep_q(spark, sf):
+    """1-5-gram TF-IDF (80,000) + five lexicon columns -> LR C in {10, 30, 50} -> mean and TJflexic."""
+    return _rows(G.combiners(_lexicon_members(spark, sf)), "ens_mean", "ens_tjflexic")
+
+
+@rows_query("word_char_sweep")
+def word_char_sweep_q(spark, sf):
+    """word 1-5-gram TF-IDF (80,000, min_df 2) + char_wb 3-6 TF-IDF (50,000, min_df 2) -> LR sweep."""
+    return _rows(G.combiners(_word_char_members(spark, sf)), "ens_mean", "ens_tjflexic")
+
+
+def ensemble_facts(members, ens, weights):
+    """Per review whether every model scored it once with a probability, the models differ, and mean, weighted mean,
+    TJflexic and aggressive value (those that ``ens`` has) are those of plain arithmetic over its members' values."""
+    names = sorted(weights)
+    total = sum(weights.values())
+    wide = members.groupBy("id").pivot("model", names).agg(F.first("p"), F.count("p"))
+    p = {n: F.col(f"`{n}_first(p)`") for n in names}
+    whole = F.lit(True)
+    for n in names:
+        whole = whole & (F.coalesce(F.col(f"`{n}_count(p)`"), F.lit(0)) == 1) & p[n].between(0.0, 1.0) & ~F.isnan(p[n])
+    mean = sum(p.values()) / len(names)
+    weighted = sum(p[n] * weights[n] for n in names) / total
+    top, low = F.greatest(*p.values()), F.least(*p.values())
+    base = weighted
+    want = {"ens_mean": mean, "ens_weighted": weighted, "ens_tjflexic": F.when(base > 0.5, top).otherwise(low),
+            "ens_aggressive": F.when(base > 0.6, top).when(base < 0.4, low).otherwise(base)}
+    met = ens.join(wide, "id", "full")
+    near = F.lit(True)
+    for c, x in want.items():
+        if c in ens.columns:
+            # at the edge of a rule rounding decides
+            edge = (F.abs(base - 0.5) < 1e-9) | (F.abs(base - 0.6) < 1e-9) | (F.abs(base - 0.4) < 1e-9)
+            near = near & (edge | (F.abs(F.col(c) - x) <= 1e-9))
+    return _rows(met, F.coalesce(whole, F.lit(False)).alias("members_whole"), F.coalesce(near, F.lit(False)).alias("agrees"))
+
+
+_ENSEMBLE_SQL = "SELECT doc_id, TRUE AS members_whole, TRUE AS agrees FROM (" + _TEST_SQL + ") t"
+_SWEEP_WEIGHTS = {f"lr_c{c:g}": 1.0 for c in (10.0, 30.0, 50.0)}
+
+
+@query("lexicon_tfidf_sweep_check", _ENSEMBLE_SQL)
+def lexicon_tfidf_sweep_check_q(spark, sf):
+    """F14's ensemble against plain arithmetic over its three members."""
+    members = written(_lexicon_members(spark, sf), "members")
+    return ensemble_facts(members, G.combiners(members).select("id", "ens_mean", "ens_tjflexic"), _SWEEP_WEIGHTS)
+
+
+@query("word_char_sweep_check", _ENSEMBLE_SQL)
+def word_char_sweep_check_q(spark, sf):
+    """The same of the word and character mix."""
+    members = written(_word_char_members(spark, sf), "members")
+    return ensemble_facts(members, G.combiners(members).select("id", "ens_mean", "ens_tjflexic"), _SWEEP_WEIGHTS)
 
 
 @fit_query("refit_and_predict", ("at_optimum",), ("p_in_range", "label_fits"))
@@ -344,12 +539,6 @@ GRID = {f"cfg{i}_n{hi}_f{mf}_c{C:g}": ((lo, hi), mf, C) for i, ((lo, hi), mf, C)
     ((1, 5), 70000, 30.0), ((1, 5), 80000, 50.0), ((1, 6), 80000, 30.0)])}
 
 
-def _folded(docs, k, lo, hi, mf, min_df=1, max_df=1.0):
-    """Vectors with their fold (vocabulary fitted on all rows, as the reviewed scripts do)."""
-    tr, _, width, _ = L.tfidf_train_test(docs, None, lo, hi, mf, min_df, max_df)
-    return L.with_folds(L.vectors_for(tr, width, docs), k)
-
-
 def _cv_scores(folded, k, name, score):
     """(id, model, fold, label, p) of each fold by a model of the others; ``score(train, rest)`` adds p."""
     out = None
@@ -369,10 +558,6 @@ def _ridge_scores(train, rest):
     return L.ridge_classifier(train, 1.0).transform(rest).withColumn("p", F.col("prediction"))
 
 
-def _cv_lr(docs, lo, hi, mf, C, k, name, min_df=1, max_df=1.0):
-    return _cv_scores(_folded(docs, k, lo, hi, mf, min_df, max_df), k, name, _lr_scores(C))
-
-
 #: C values of the flagship model.
 FLAGSHIP_C = (10.0, 50.0, 30.0)
 
@@ -427,10 +612,7 @@ def holdout_scores(spark, sf):
     return out
 
 
-@fit_query("cv_winner_refit", ("winner_known",), ("score_finite",))
-def cv_winner_refit_q(spark, sf, k=5):
-    """k-fold AUC of balanced logistic regression against ridge (by raw score), then the winner fitted on
-    every labeled review and the test reviews scored."""
+def _winner_scores(spark, sf, k):
     lab, test = train_test(spark, sf, "contract_ca_stop")
     tr, te, width, _ = L.tfidf_train_test(lab, test, 1, 2, 15000, 2, 0.85)
     train, rest = L.vectors_for(tr, width, lab), L.vectors_for(te, width, test, keep=())
@@ -440,80 +622,176 @@ def cv_winner_refit_q(spark, sf, k=5):
     for name, score in scorers.items():
         one = _cv_scores(folded, k, name, score)
         cv = one if cv is None else cv.unionByName(one)
+    return train, rest, scorers, written(cv, "fold-scores")
+
+
+@rows_query("cv_winner_refit")
+def cv_winner_refit_q(spark, sf, k=5):
+    """k-fold AUC of balanced logistic regression against ridge (by raw score), then the winner fitted on
+    every labeled review and the test reviews scored: the winner's name and its scores."""
+    train, rest, scorers, cv = _winner_scores(spark, sf, k)
     best = M.select_best(M.cross_validate(cv)).first()["best"]
-    out = scorers[best](train, rest)
-    return _rows(out, F.col("p").alias("score")), {"winner_known": best in scorers}
+    return _rows(scorers[best](train, rest), F.lit(best).alias("winner"), F.col("p").alias("score"))
 
 
-@query("grid_search", "SELECT m AS model, TRUE AS auc_in_range, TRUE AS wins_rightly FROM (VALUES "
-       + ", ".join(f"('{m}')" for m in GRID) + ") AS t(m)")
-def grid_search_q(spark, sf, fit_rows=QUICK_ROWS):
-    """Six (n-gram, features, C) configurations x 3 folds on the leading ``fit_rows`` labeled
-    reviews (the quick-search bound); mean AUC per configuration and whether it wins (first wins ties)."""
+def _auc_facts(cv, mean_auc):
+    """(model, auc_agrees): the mean AUC of every model of fold scores (model, fold, label, p) by windows over distinct
+    values, against ``mean_auc`` (model, mean_auc)."""
+    plain = M.auc_by_windows(cv, ("model", "fold")).groupBy("model").agg(F.avg("auc").alias("plain"))
+    return mean_auc.join(plain, "model", "full").select("model", F.coalesce(F.abs(F.col("plain") - F.col("mean_auc")) < 1e-9, F.lit(False)).alias("auc_agrees"), "plain")
+
+
+@query("cv_winner_refit_check", "SELECT m AS model, TRUE AS auc_agrees, TRUE AS above_chance, n AS n_scored FROM "
+       "(VALUES ('lr_balanced'), ('ridge_balanced')) AS t(m), (SELECT count(*) AS n FROM documents d JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id) c")
+def cv_winner_refit_check_q(spark, sf, k=5):
+    """The fold AUC behind the choice, computed another way, and how many reviews each model scored out of fold."""
+    _, _, _, cv = _winner_scores(spark, sf, k)
+    facts = _auc_facts(cv, M.cross_validate(cv).select("model", "mean_auc"))
+    n = cv.groupBy("model").agg(F.countDistinct("id").alias("n_scored"))
+    return facts.join(n, "model").select("model", "auc_agrees", (F.col("plain") > 0.5).alias("above_chance"), "n_scored")
+
+
+def grid_fit(docs, configs, k, min_df=1, max_df=1.0):
+    """Out-of-fold scores (id, model, fold, label, p) and the models of every configuration
+    name -> (lo, hi, max_features, C): all configurations and folds are fitted in the same passes."""
+    n = docs.count()
+    folds = written(stratified_kfold(docs.select("id", "label"), k, "label", "id").select("id", "label", "fold"), "folds")
+    if min_df == 1 and max_df == 1.0:
+        feats = FT.gram_lattice(docs, None, n, {m: c[:3] for m, c in configs.items()})
+    else:
+        feats = {m: (t[0], None, t[2]) for m, c in configs.items() for t in [L.tfidf_train_test(docs, None, *c[:3], min_df, max_df)]}
+    blocks = N.packed([(feats[m][0], folds) for m in configs])
+    specs = [N.Spec(f"{m}|{f}", configs[m][3], t, f) for t, m in enumerate(configs) for f in range(k)]
+    models = N.fit_many(blocks, specs, [feats[m][2] for m in configs])
+    scores = N.score_many(blocks, models, held_out=True)
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("score")))
+    return written(scores.select("id", F.substring_index("model", "|", 1).alias("model"), "fold", "label", p.alias("p")), "fold-scores"), models
+
+
+def _first_best(cv, names):
+    """Configuration with the highest mean AUC; of equal ones the first (a strict comparison in order)."""
+    got = {r["model"]: r["mean_auc"] for r in cv.collect()}  # a row per configuration
+    return max(names, key=lambda m: (got[m], -list(names).index(m)))
+
+
+_GRID = {m: (lo, hi, mf, C) for m, ((lo, hi), mf, C) in GRID.items()}
+
+
+def _quick(spark, sf, fit_rows):
     lab, _ = train_test(spark, sf, "minstop")
-    sub = written(first_n_subset(lab, fit_rows, "id"), "quick").repartition("id")
-    cv = grid_scores(sub)
-    best = M.select_best(cv).first()
-    return cv.select("model", F.col("mean_auc").between(0.0, 1.0).alias("auc_in_range"),
-                     F.when(F.col("model") == best["best"], F.col("mean_auc") == best["best_mean_auc"])
-                     .otherwise(F.col("mean_auc") <= best["best_mean_auc"]).alias("wins_rightly"))
+    return written(first_n_subset(lab, fit_rows, "id"), "quick").repartition("id")
+
 
+def _grid_rows(cv, names):
+    best = _first_best(cv, names)
+    return cv.select("model", "mean_auc", "std_auc", "n_folds", (F.col("model") == best).alias("best"))
+
+
+@rows_query("grid_search")
+def grid_search_q(spark, sf, fit_rows=QUICK_ROWS):
+    """Six (n-gram, features, C) configurations x 3 folds on the leading ``fit_rows`` labeled reviews (the
+    quick-search bound): mean and deviation of the AUC, and which configuration wins (the first of equal ones)."""
+    scores, _ = grid_fit(_quick(spark, sf, fit_rows), _GRID, 3)
+    return _grid_rows(written(M.cross_validate(scores), "grid"), _GRID)
 
-def grid_scores(docs):
-    """(model, mean_auc, std_auc, ...) of every configuration of GRID by 3-fold cross-validation."""
-    preds = None
-    for name, ((lo, hi), mf, C) in GRID.items():
-        p = _cv_lr(docs, lo, hi, mf, C, 3, name)
-        preds = p if preds is None else preds.unionByName(p)
-    return written(M.cross_validate(preds), "grid")
 
+def _grid_sql(names, n):
+    return ("SELECT m AS model, TRUE AS auc_agrees, TRUE AS at_optimum, TRUE AS above_chance, n AS n_scored FROM (VALUES "
+            + ", ".join(f"('{m}')" for m in names) + f") AS t(m), (SELECT {n} AS n FROM documents d JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id) c")
 
-@query("ngram_range_search", "SELECT TRUE AS known, TRUE AS auc_in_range")
+
+def _grid_facts(scores, models):
+    slope = {}
+    for m in models:
+        slope.setdefault(m.spec.name.split("|")[0], []).append(m.slope)
+    good = scores.sparkSession.createDataFrame([(m, max(x) < SLOPE) for m, x in slope.items()], "model string, at_optimum boolean")
+    facts = _auc_facts(scores, M.cross_validate(scores).select("model", "mean_auc"))
+    n = scores.groupBy("model").agg(F.countDistinct("id").alias("n_scored"))
+    return facts.join(n, "model").join(F.broadcast(good), "model").select(
+        "model", "auc_agrees", "at_optimum", (F.col("plain") > 0.5).alias("above_chance"), "n_scored")
+
+
+@query("grid_search_check", _grid_sql(GRID, f"least({QUICK_ROWS}, count(*))"))
+def grid_search_check_q(spark, sf, fit_rows=QUICK_ROWS):
+    """Each configuration's mean AUC another way, the slopes of its fits, and the reviews it scored out of fold."""
+    return _grid_facts(*grid_fit(_quick(spark, sf, fit_rows), _GRID, 3))
+
+
+@rows_query("grid_winner_refit")
+def grid_winner_refit_q(spark, sf, fit_rows=QUICK_ROWS):
+    """E8's winner on every labeled review with C, 2 C and 3 C: mean and TJflexic of the test reviews."""
+    scores, _ = grid_fit(_quick(spark, sf, fit_rows), _GRID, 3)
+    best = _first_best(M.cross_validate(scores), _GRID)
+    lo, hi, mf, C = _GRID[best]
+    tr, te, _ = tfidf_vectors(spark, sf, "minstop", lo, hi, mf)
+    ens = G.combiners(L.c_sweep(tr, te, [C, 2 * C, 3 * C]))
+    return _rows(ens, F.lit(best).alias("winner"), "ens_mean", "ens_tjflexic")
+
+
+#: E10's configurations: 1-2- against 1-3-grams.
+RANGES = {"ngram_1_2": (1, 2, 15000, 1.0), "ngram_1_3": (1, 3, 15000, 1.0)}
+
+
+@rows_query("ngram_range_search")
 def ngram_range_search_q(spark, sf):
-    """5-fold CV of 1-2- vs 1-3-grams (15,000 terms, min_df 2, max_df 0.85); keep the better."""
+    """5-fold CV of 1-2- vs 1-3-grams (15,000 terms, min_df 2, max_df 0.85); the better one is marked."""
+    lab, _ = train_test(spark, sf, "contract_ca_stop")
+    scores, _ = grid_fit(lab, RANGES, 5, 2, 0.85)
+    return _grid_rows(written(M.cross_validate(scores), "ranges"), RANGES)
+
+
+@query("ngram_range_search_check", _grid_sql(RANGES, "count(*)"))
+def ngram_range_search_check_q(spark, sf):
+    """The facts of grid_search_check about E10."""
     lab, _ = train_test(spark, sf, "contract_ca_stop")
-    preds = _cv_lr(lab, 1, 2, 15000, 1.0, 5, "ngram_1_2", 2, 0.85).unionByName(
-        _cv_lr(lab, 1, 3, 15000, 1.0, 5, "ngram_1_3", 2, 0.85))
-    best = M.select_best(M.cross_validate(preds))
-    return best.select(F.col("best").isin("ngram_1_2", "ngram_1_3").alias("known"),
-                       F.col("best_mean_auc").between(0.0, 1.0).alias("auc_in_range"))
+    return _grid_facts(*grid_fit(lab, RANGES, 5, 2, 0.85))
+
 
+#: G12's members and weights.
+GROUP_WEIGHTS = dict(zip(["v1_n4_c20", "v1_n5_c30", "v1_n6_c50", "v2_n5_c30", "v3_n5_c30", "nbsvm_c1", "mnb_a05", "svc_c05"],
+                         [0.15, 0.15, 0.15, 0.12, 0.12, 0.12, 0.08, 0.06]))
 
-@fit_query("ens_of_groups", checks=("all_in_range", "side_of_base"))
+
+def _group_members(spark, sf):
+    """G12's eight models: the logistic ones in the same passes, n-grams of one cleaner totalled once."""
+    lab, test = train_test(spark, sf, "minstop")
+    n = lab.count()
+    v1 = {"v1_n4_c20": (1, 4, 60000), "v1_n5_c30": (1, 5, 70000), "v1_n6_c50": (1, 6, 80000), "svc": (1, 4, 50000)}
+    feats = FT.gram_lattice(lab, test, n, v1)
+    for name, profile in (("v2_n5_c30", "len3"), ("v3_n5_c30", "exclaim")):
+        own, rest = train_test(spark, sf, profile)
+        feats[name] = L.tfidf_train_test(own, rest, 1, 5, 70000)[:3]
+    _, _, tr_nb, te_nb, width = _nb_blocks(spark, sf, "minstop", 1, 5, 70000, True)
+    feats["nbsvm_c1"] = tr_nb, te_nb, width
+    names = [m for m in GROUP_WEIGHTS if m in feats]
+    C = {"v1_n4_c20": 20.0, "v1_n5_c30": 30.0, "v1_n6_c50": 50.0, "v2_n5_c30": 30.0, "v3_n5_c30": 30.0, "nbsvm_c1": 1.0}
+    train = N.packed([(feats[m][0], lab.select("id", "label")) for m in names])
+    models = N.fit_many(train, [N.Spec(m, C[m], t) for t, m in enumerate(names)], [feats[m][2] for m in names])
+    rest = N.packed([(feats[m][1], test.select("id")) for m in names])
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("score")))
+    out = N.score_many(rest, models).select("id", "model", p.alias("p"))
+    # multinomial NB (alpha 0.5): one aggregate to fit, one join to score
+    vocab, tf = FT.fit_counts(lab, n, 1, 5, 70000, keep_cols=("label",))
+    model = S.mnb_model(FT.nb_class_sums(tf, vocab, 70000, binary=False), 0.5)
+    sc = S.linear_scorer(FT.count_matrix(FT.known_counts(test, vocab, 1, 5, 70000), vocab, 70000), model, test, S.prior_log_odds(lab), "id", 70000)
+    out = out.unionByName(sc.select("id", F.lit("mnb_a05").alias("model"), "p"))
+    svc = L.vectors_for(feats["svc"][0], feats["svc"][2], lab), L.vectors_for(feats["svc"][1], feats["svc"][2], test, keep=())
+    return written(out.unionByName(L.calibrated(*svc, "svc", 0.5, 3, "svc_c05")), "members")
+
+
+_GROUP_COLUMNS = ("ens_mean", "ens_weighted", "ens_tjflexic", "ens_aggressive")
+
+
+@rows_query("ens_of_groups")
 def ens_of_groups_q(spark, sf):
     """Eight models in five groups (TF-IDF LR x3, other cleaners x2, NB-SVM, multinomial
     NB, calibrated SVM) -> mean, weighted, TJflexic and aggressive outputs."""
-    preds = []
-
-    def lr_model(profile, lo, hi, mf, C, name):
-        tr, te, _ = tfidf_vectors(spark, sf, profile, lo, hi, mf)
-        m = L.fit_lr(tr, C)
-        return L.p_positive(m.transform(te)).select("id", F.lit(name).alias("model"), "p")
-
-    preds.append(lr_model("minstop", 1, 4, 60000, 20.0, "v1_n4_c20"))
-    preds.append(lr_model("minstop", 1, 5, 70000, 30.0, "v1_n5_c30"))
-    preds.append(lr_model("minstop", 1, 6, 80000, 50.0, "v1_n6_c50"))
-    preds.append(lr_model("len3", 1, 5, 70000, 30.0, "v2_n5_c30"))
-    preds.append(lr_model("exclaim", 1, 5, 70000, 30.0, "v3_n5_c30"))
-    lab, test, tr_nb, te_nb, width = _nb_blocks(spark, sf, "minstop", 1, 5, 70000, True)
-    m = L.fit_lr(L.vectors_for(tr_nb, width, lab), 1.0)
-    preds.append(L.p_positive(m.transform(L.vectors_for(te_nb, width, test, keep=())))
-                 .select("id", F.lit("nbsvm_c1").alias("model"), "p"))
-    # multinomial NB (alpha 0.5): one aggregate to fit, one join to score
-    n = lab.count()
-    tf = FT.term_frequencies(lab, "id", "words", 1, 5, keep_cols=("label",), partitioned=True)
-    vocab = FT.vocabulary(tf, n, 70000)
-    model = S.mnb_model(FT.nb_class_sums(tf, vocab, 70000, binary=False), 0.5)
-    bias = S.prior_log_odds(lab)
-    ttf = FT.term_frequencies(test, "id", "words", 1, 5, partitioned=True)
-    sc = S.linear_scorer(FT.count_matrix(ttf, vocab, 70000), model, test, bias, "id", 70000)
-    preds.append(sc.select("id", F.lit("mnb_a05").alias("model"), "p"))
-    tr6, te6, _ = tfidf_vectors(spark, sf, "minstop", 1, 4, 50000)
-    preds.append(L.calibrated(tr6, te6, "svc", 0.5, 3, "svc_c05"))
-    allp = preds[0]
-    for p in preds[1:]:
-        allp = allp.unionByName(p)
-    weights = dict(zip(["v1_n4_c20", "v1_n5_c30", "v1_n6_c50", "v2_n5_c30", "v3_n5_c30", "nbsvm_c1",
-                        "mnb_a05", "svc_c05"], [0.15, 0.15, 0.15, 0.12, 0.12, 0.12, 0.08, 0.06]))
-    ens = G.combiners(allp, G.weights_table(spark, weights))
-    return _rows(ens, "ens_mean", "ens_weighted", "ens_tjflexic", "ens_aggressive"), {}
+    return _rows(G.combiners(_group_members(spark, sf), G.weights_table(spark, GROUP_WEIGHTS)), *_GROUP_COLUMNS)
+
+
+@query("ens_of_groups_check", _ENSEMBLE_SQL)
+def ens_of_groups_check_q(spark, sf):
+    """G12's outputs against plain arithmetic over its eight members."""
+    members = _group_members(spark, sf)
+    ens = G.combiners(members, G.weights_table(spark, GROUP_WEIGHTS)).select("id", *_GROUP_COLUMNS)
+    return ensemble_facts(members, ens, GROUP_WEIGHTS)
