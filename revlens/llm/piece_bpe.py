@@ -36,7 +36,7 @@ from revlens.llm.common import documents, slices, texts
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 MARK = "▁"
 #: Entries and lengths that the per-worker tables hold at most.
-HELD_PIECES, HELD_LENGTH, HELD_PAIRS = 150_000, 48, 400_000
+HELD_PIECES, HELD_LENGTH, HELD_PAIRS = 100_000, 48, 250_000
 
 
 class PieceCoder:
@@ -208,6 +208,7 @@ def code_texts(df: DataFrame, columns: Callable[[PieceCoder, list[str]], list[pa
         names = [x.split()[0] for x in schema.split(", ")]
         for part in slices(batches):
             yield pa.RecordBatch.from_arrays([part.column(0), *columns(coder, texts(part))], ["id", *names])
+        pa.default_memory_pool().release_unused()
 
     rows = df.select(df[id_col].alias("id"), df[text_col].alias("text"))
     return rows.mapInArrow(run, f"id {kind}, {schema}").withColumnRenamed("id", id_col)

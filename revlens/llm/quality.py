@@ -114,9 +114,15 @@ class Leader:
 
 
 def train(rows: DataFrame, bits: int = BITS, epochs: int = EPOCHS) -> np.ndarray:
-    """Weights (``2 ** bits`` and a bias) from a bounded table (place, label, text)."""
+    """Weights (``2 ** bits`` and a bias) from a bounded table (place, label, text) of one text per place; copies of
+    a row are learned from once."""
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # at most as many places as rows are learned from
         for part in slices(batches, limit=1 << 20):
+            fresh_ = [p not in seen and not seen.add(p) for p in part.column("place").to_pylist()]
+            part = part.filter(pa.array(fresh_, pa.bool_()))
+            if not len(part):
+                continue
             text, at, x = features(texts(part), bits)
             cut = np.searchsorted(text, np.arange(len(part) + 1))
             at, x = at.astype(np.int32), x.astype(np.float32)
@@ -126,15 +132,21 @@ def train(rows: DataFrame, bits: int = BITS, epochs: int = EPOCHS) -> np.ndarray
                 ["place", "label", "at", "x"])
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [(label, np.append(np.frombuffer(at, np.int32), np.int32(1 << bits)),
-                 np.append(np.frombuffer(x, np.float32), np.float32(1)))
-                for b in batches for label, at, x in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True)]
+        last, held = None, []
+        for b in batches:
+            for place, label, at, x in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                if place != last:  # a copy from another task
+                    held.append((label, np.append(np.frombuffer(at, np.int32), np.int32(1 << bits)),
+                                 np.append(np.frombuffer(x, np.float32), np.float32(1))))
+                last = place
         leader = Leader(1 << bits)
         for _ in range(epochs):
             for label, at, x in held:
                 leader.learn(at, x, label)
         yield pa.RecordBatch.from_arrays(
             [pa.array([leader.weights(slice(None)).astype(np.float32).tobytes()], pa.binary())], ["w"])
+        held.clear()
+        pa.default_memory_pool().release_unused()
 
     one = (rows.mapInArrow(vectors, "place bigint, label int, at binary, x binary")
            .repartition(1).sortWithinPartitions("place", "label").mapInArrow(fit, "w binary"))
@@ -151,10 +163,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int
     least, span = -(1 << 63), 1 << 64
     share = min(1.0, (fit_rows + 8 * fit_rows ** 0.5 + 8) / max(1, own.count()))
     own = own.filter(F.col("place") <= F.lit(min(least + int(span * share), (1 << 63) - 1))).orderBy("place", "doc_id").limit(fit_rows)
-    # at most fit_rows rows of three numbers; of rows that share an id, one text
-    rows = docs.select("doc_id", "text").join(F.broadcast(own), "doc_id").groupBy("place", "doc_id", "label").agg(
-        F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
-    return train(rows.select("place", "label", "text"))
+    # of rows that share an id the text with the smallest hash, chosen by numbers alone; at most fit_rows rows of five numbers
+    met = docs.select("doc_id", "text", F.xxhash64("text").alias("own")).join(F.broadcast(own), "doc_id")
+    some = met.groupBy("doc_id").agg(F.min("own").alias("own"))
+    return train(met.join(F.broadcast(some), ["doc_id", "own"]).select("place", "label", "text"))
 
 
 def score_quality(df: DataFrame, weights: np.ndarray, bits: int = BITS, out: str = "score") -> DataFrame:
