@@ -16,8 +16,9 @@ from revlens.operators.centroids import fit_minibatch
 from revlens.plans import duck as D
 from revlens.plans.q_corpus import _UNION_SQL
 from revlens.plans.registry import query
-from revlens.session import written
+from revlens.session import scratch_path, written
 from revlens.sources import tables
+from revlens.sources import vector_store as VS
 
 
 def word_freq(spark, sf):
@@ -71,6 +72,24 @@ def embedding_vocab_q(spark, sf):
                     F.round("x", 6).alias("value")))
 
 
+#: Words looked up in the store: the most frequent ones.
+LOOKED_UP = 20
+
+
+@query("vector_store", "WITH " + VEC_CTES + f"""
+SELECT word, dim, round(x, 6) AS value, (SELECT count(*) FROM vec) AS stored FROM (
+  SELECT word, CAST(generate_subscripts(vector, 1) - 1 AS BIGINT) AS dim, unnest(vector) AS x FROM vec WHERE vec_id < {LOOKED_UP}) t""")
+def vector_store_q(spark, sf):
+    """A7, vectors only: every word vector is stored by the hash of its word, and the 20 most frequent words are looked
+    up in the files of their buckets; with them the number of words that come back from the whole store."""
+    v = word_vectors(spark, sf)
+    path = VS.store_vectors(v, scratch_path(spark, "vector-store"))
+    words = [r["word"] for r in v.filter(F.col("vec_id") < LOOKED_UP).select("word").collect()]
+    stored = VS.load_vectors(spark, path).count()
+    return (VS.lookup_vectors(spark, path, words).select("word", F.posexplode("vector").alias("dim", "x"))
+            .select("word", F.col("dim").cast("long").alias("dim"), F.round("x", 6).alias("value"), F.lit(stored).cast("long").alias("stored")))
+
+
 @query("most_similar", "WITH " + VEC_CTES + """,
 q AS (SELECT word, vector FROM vec WHERE vec_id = 0)
 SELECT v.word, round(list_cosine_similarity(v.vector, q.vector), 6) AS similarity
