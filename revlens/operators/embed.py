@@ -60,7 +60,7 @@ def most_similar(vectors: DataFrame, word: str, topn: int = 10) -> DataFrame:
             .orderBy(F.col("similarity").desc(), F.col("word")).limit(topn))
 
 
-#: Centroids of the word vectors (run_part4_v2.py of the reference).
+#: Centroids of the word vectors.
 CENTROIDS = 2000
 #: A word table is broadcast below this many bytes, measured before the join.
 BROADCAST_BYTES = 64 << 20
