@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from revlens.operators.centroids import Centroids, fit_centroids, nearest_centroid  # noqa: F401
 from revlens.operators.ranking import row_number0
+from revlens.operators.sampling import keep_probabilities, thin
 
 
 def attach_vectors(word_freq: DataFrame, embeddings: DataFrame) -> DataFrame:
@@ -27,8 +28,12 @@ def attach_vectors(word_freq: DataFrame, embeddings: DataFrame) -> DataFrame:
 
 def train_word2vec(sentences: DataFrame, words_col: str = "words", vector_size: int = 300,
                    min_count: int = 40, window: int = 10, max_iter: int = 10, seed: int = 42,
-                   num_partitions: int | None = None):
-    """Skip-gram (MLlib, hierarchical softmax; no sub-sampling parameter)."""
+                   num_partitions: int | None = None, sample: float | None = None, keys: tuple[str, ...] = ()):
+    """Skip-gram (MLlib, hierarchical softmax). ``sample`` thins frequent words first, once for all iterations;
+    ``keys`` name a sentence for its draws."""
+    if sample:
+        counts = sentences.select(F.explode(words_col).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+        sentences = thin(sentences, keep_probabilities(counts, sample, at_least=2 * min_count), list(keys), words_col)
     n = num_partitions or int(sentences.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     w2v = Word2Vec(vectorSize=vector_size, minCount=min_count, windowSize=window, maxIter=max_iter,
                    seed=seed, inputCol=words_col, outputCol="_vec", numPartitions=max(1, n))

@@ -13,8 +13,9 @@ from revlens.functions import profiles as P
 from revlens.operators import corpus as C
 from revlens.operators import embed as EM
 from revlens.operators.centroids import fit_minibatch
+from revlens.operators.sampling import keep_probabilities, thin
 from revlens.plans import duck as D
-from revlens.plans.q_corpus import _UNION_SQL
+from revlens.plans.q_corpus import _LABELED_SQL, _UNION_SQL, _UNLAB_SQL, _union_corpus
 from revlens.plans.registry import query
 from revlens.session import scratch_path, written
 from revlens.sources import tables
@@ -139,10 +140,29 @@ def centroid_histogram_q(spark, sf):
 
 
 def trained_model(spark, sf, vector_size=300):
-    lab = C.sentence_rows(tables.labeled(spark, sf), "doc_id", mode="split_first")
-    unl = C.sentence_rows(tables.unlabeled(spark, sf), "review_id", mode="split_first")
-    corpus = C.corpus_union(lab, unl).select("words")
-    return EM.train_word2vec(corpus, vector_size=vector_size, min_count=40, window=10, max_iter=10)
+    return EM.train_word2vec(_union_corpus(spark, sf), vector_size=vector_size, min_count=40, window=10, max_iter=10, sample=1e-3,
+                             keys=("corpus", "review_id", "sent_no"))
+
+
+_KEEP = "(sqrt(0.001 / (n / (SELECT sum(n) FROM wc))) + 0.001 / (n / (SELECT sum(n) FROM wc)))"
+
+
+@query("subsampled_corpus", f"""
+WITH src AS (SELECT 'labeled' AS corpus, review_id, {D.sentences('text', 'split_first')} AS s FROM ({_LABELED_SQL}) a
+  UNION ALL SELECT 'unlabeled', review_id, {D.sentences('text', 'split_first')} FROM ({_UNLAB_SQL}) b),
+sn AS (SELECT corpus, review_id, generate_subscripts(s, 1) - 1 AS sent_no, unnest(s) AS words FROM src),
+tk AS (SELECT corpus, review_id, sent_no, generate_subscripts(words, 1) - 1 AS pos, unnest(words) AS word FROM sn),
+wc AS (SELECT word, count(*) AS n FROM tk GROUP BY word),
+kp AS (SELECT word, n, CASE WHEN {_KEEP} >= 1 THEN 1.0 ELSE {_KEEP} END AS p FROM wc)
+SELECT tk.word, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE
+  CAST(('0x' || substr(md5(concat_ws('|', corpus, coalesce(review_id, ''), sent_no, pos, tk.word)), 1, 8)) AS BIGINT) / 4294967296.0 < p) AS BIGINT) AS kept
+FROM tk JOIN kp ON tk.word = kp.word GROUP BY tk.word""")
+def subsampled_corpus_q(spark, sf):
+    """Every word of the corpus with its places and those that stay for skip-gram at sample 0.001."""
+    corpus = _union_corpus(spark, sf)
+    counts = written(C.word_frequency(corpus), "word-counts")
+    kept = C.word_frequency(thin(corpus, keep_probabilities(counts), ["corpus", "review_id", "sent_no"])).withColumnRenamed("n", "kept")
+    return counts.join(kept, "word", "left").select("word", "n", F.coalesce("kept", F.lit(0)).cast("long").alias("kept"))
 
 
 @query("word2vec_train", _UNION_SQL + """
