@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions import text as T
 from revlens.functions.ngrams import let, treebank_word_split
-from revlens.operators.embed import _met
+from revlens.operators.embed import BROADCAST_BYTES, _met
 from revlens.session import written
 
 # Fixed values of the paper: least scores of an abbreviation, a collocation and a sentence starter, and the
@@ -35,18 +35,25 @@ CLOSING = r"[)\"'\]},;:.!?]+$"
 WORD = r"^\p{L}+(\.\p{L}+)*$"
 NUMBER = r"^[0-9]+([.,][0-9]+)*$"
 INITIAL = r"^\p{L}$"
+PLAIN = r"^\p{L}+$"
 
 
 def _signs(w: Column, last: Column) -> Column:
-    """What a word shows: its type, how it ends, whether one period follows its letters, its case."""
-    run = F.regexp_extract(w, r"([.!?]+)[)\"'\]}]*$", 1)
-    body = F.regexp_replace(F.regexp_replace(w, OPENING, ""), CLOSING, "")
-    return F.struct(
-        w.alias("w"), F.lower(body).alias("typ"),
-        F.when(run == "", "none").when(run.rlike("[!?]"), "bang").when(run == ".", "dot").otherwise("ellipsis").alias("term"),
-        (F.regexp_extract(w, r"([.!?]*)[)\"'\]},;:]*$", 1) == ".").alias("dot"),
-        F.when(body.rlike(r"^\p{Lu}"), "upper").when(body.rlike(r"^\p{Ll}"), "lower").otherwise("other").alias("case"),
-        last.alias("last"))
+    """What a word shows: its type, how it ends, whether one period follows its letters, its case. Most words are
+    letters only and need no more than one look; what several fields use is bound once."""
+    def case(body):
+        return F.when(body.rlike(r"^\p{Lu}"), "upper").when(body.rlike(r"^\p{Ll}"), "lower").otherwise("other").alias("case")
+
+    plain = F.struct(w.alias("w"), F.lower(w).alias("typ"), F.lit("none").alias("term"), F.lit(False).alias("dot"),
+                     case(w), last.alias("last"))
+    parts = F.struct(F.regexp_extract(w, r"([.!?]+)[)\"'\]}]*$", 1).alias("run"),
+                     F.regexp_replace(F.regexp_replace(w, OPENING, ""), CLOSING, "").alias("body"))
+    marked = let(parts, lambda x: F.struct(
+        w.alias("w"), F.lower(x["body"]).alias("typ"),
+        F.when(x["run"] == "", "none").when(x["run"].rlike("[!?]"), "bang").when(x["run"] == ".", "dot")
+        .otherwise("ellipsis").alias("term"),
+        (F.regexp_extract(w, r"([.!?]*)[)\"'\]},;:]*$", 1) == ".").alias("dot"), case(x["body"]), last.alias("last")))
+    return F.when(w.rlike(PLAIN), plain).otherwise(marked)
 
 
 def review_tokens(text: Column) -> Column:
@@ -176,20 +183,25 @@ def trained_sentence_rows(reviews: DataFrame, joined: DataFrame, id_col: str, te
     each piece cleaned to a-z words; pieces without a word are dropped and not numbered.
 
     Texts stay whole: only the positions after a period or dots leave them, meet the contexts (broadcast if measured as
-    small, salted if not) and come back as one short list per text."""
-    cut = (reviews.select(F.col(id_col).cast("string").alias("review_id"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("text_key"),
-                          review_tokens(F.col(text_col)).alias("tokens")))
+    small, salted if not) and come back as one short list per text. The lists are measured too: small ones are broadcast
+    and no text moves, else texts and lists meet by key; texts are cut after that, so no array of words is exchanged."""
+    texts = reviews.select(F.col(id_col).cast("string").alias("review_id"), F.col(text_col).alias("text"),
+                           F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("text_key"))
+    tokens = review_tokens(F.col("text")).alias("tokens")
     key = F.concat_ws("\x01", *CONTEXT)
-    places = (cut.select("review_id", "text_key", F.explode(F.filter(_followed(), lambda t: t["prev_term"].isin("dot", "ellipsis"))).alias("t"))
+    places = (texts.select("review_id", "text_key", tokens)
+              .select("review_id", "text_key", F.explode(F.filter(_followed(), lambda t: t["prev_term"].isin("dot", "ellipsis"))).alias("t"))
               .select("review_id", "text_key", "t.*").select("review_id", "text_key", "pos", key.alias("word")))
     table = joined.select(key.alias("word"))
-    held = (_met(places, table, "text_key", F.octet_length("word") + 16)
-            .groupBy("review_id", "text_key").agg(F.collect_set(F.col("pos").cast("int")).alias("held"))
-            .withColumnRenamed("review_id", "held_id").withColumnRenamed("text_key", "held_key"))
-    ends = F.transform(F.filter(F.transform("tokens", lambda t, i: F.when(t["last"] | (t["term"] != "none"), i + 1)),
-                                lambda e: e.isNotNull()), lambda e: e)
-    whole = cut.join(held, F.col("review_id").eqNullSafe(F.col("held_id")) & (F.col("text_key") == F.col("held_key")), "left")
-    cuts = whole.select("review_id", "tokens", F.array_except(ends, F.coalesce("held", F.array().cast("array<int>"))).alias("ends"))
+    held = written(_met(places, table, "text_key", F.octet_length("word") + 16)
+                   .groupBy("review_id", "text_key").agg(F.collect_set(F.col("pos").cast("int")).alias("held"))
+                   .select(F.col("review_id").alias("held_id"), F.col("text_key").alias("held_key"), "held"), "boundary-held")
+    if (held.agg(F.sum(4 * F.size("held") + 96)).first()[0] or 0) <= BROADCAST_BYTES:
+        held = F.broadcast(held)
+    ends = F.filter(F.transform("tokens", lambda t, i: F.when(t["last"] | (t["term"] != "none"), i + 1)), lambda e: e.isNotNull())
+    whole = texts.join(held, F.col("review_id").eqNullSafe(F.col("held_id")) & (F.col("text_key") == F.col("held_key")), "left")
+    cuts = whole.select("review_id", "held", tokens).select(
+        "review_id", "tokens", F.array_except(ends, F.coalesce("held", F.array().cast("array<int>"))).alias("ends"))
 
     def piece(e, i):
         start = F.when(i > 0, F.element_at("ends", i)).otherwise(0)
