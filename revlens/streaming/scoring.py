@@ -25,9 +25,9 @@ REVIEW_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructFie
 def score_batch(reviews: DataFrame, vocab: DataFrame, coef: DataFrame, bias: float, profile: str,
                 lo: int, hi: int, binary: bool = True, vocab_rows: int | None = None) -> DataFrame:
     """(doc_id, logodds, p) for a batch of reviews with a fitted vocabulary and coefficients."""
-    docs = reviews.select(F.col("doc_id").alias("id"), P.profile_tokens(profile, "text").alias("words"))
-    tf = FT.term_frequencies(docs, "id", "words", lo, hi)
-    feat = FT.count_matrix(tf, vocab, vocab_rows, binary=binary).select("id", "idx", F.col("value").cast("double"))
+    docs = FT.by_review(reviews, "doc_id").select(F.col("doc_id").alias("id"), P.profile_tokens(profile, "text").alias("words"))
+    tf = FT.known_counts(docs, vocab, lo, hi, vocab_rows)
+    feat = tf.select("id", "idx", (F.lit(1) if binary else F.col("tf")).cast("double").alias("value"))
     out = linear_scorer(feat, coef, docs, bias, "id", vocab_rows)
     return out.withColumnRenamed("id", "doc_id")
 
