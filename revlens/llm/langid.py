@@ -14,9 +14,10 @@ hashes with a value per language, and add up what each block holds. A model that
 costs more passes over a slice of texts, never a larger block.
 
 A text gets per language the cross-entropy per character; the lowest is chosen.
-``score`` is a softmax over the negative cross-entropies, whose sharpness is fitted on at most ``SAMPLE``
-training rows of each language; on the same sample each language gets the cross-entropy that 99.5 % of its
-own texts do not exceed, and a text beyond its language's limit is not ``accepted`` (rejection).
+``score`` is a softmax over the negative cross-entropies, whose sharpness is fitted on all training rows; on
+the same rows each language gets the cross-entropy that 99.5 % of its own texts do not exceed, and a text
+beyond its language's limit is not ``accepted`` (rejection). Tasks score the rows and give sums of losses;
+the rows of a language are ranked in ranges. ``fit_languages`` calibrates on fewer ids only if asked to.
 
 Defined cases: null text, text without a letter, or no training rows: ``und``, score 0, not
 accepted. Rows with a null language are not learned from; ties go to the first language in
@@ -33,10 +34,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import code_points, extended, shared_uri, slices, table, texts
+from revlens.llm.common import code_points, extended, numbered, shared_uri, slices, table, texts
 from revlens.session import written
 
-ORDER, SAMPLE = 4, 2_000
+ORDER = 4
+#: Values that the sharpness is chosen of, and the share of a language's texts below its limit.
+SHARPNESS, WITHIN = tuple(2.0 ** e for e in range(-2, 8)), 0.995
 #: Bytes of a block of the model table as a task holds it.
 BLOCK_BYTES = 64 << 20
 #: Distinct n-grams that a task holds before it passes its sums on.
@@ -359,12 +362,13 @@ def gram_counts(rows: DataFrame, order: int = ORDER) -> DataFrame:
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
 
-def fit_languages(rows: DataFrame, order: int = ORDER, sample: int = SAMPLE) -> TableModels:
-    """Models of the languages of (doc_id, lang, text); rows with a null language or text do not count."""
+def fit_languages(rows: DataFrame, order: int = ORDER, sample: int | None = None) -> TableModels:
+    """Models of the languages of (doc_id, lang, text); rows with a null language or text do not count. They are
+    calibrated on all rows, or on ``sample`` ids of each language."""
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     models = _summands(gram_counts(rows, order), order)
     if models.langs:
-        models.sharpness, models.limit = _sampled(_sample(rows, sample), models)
+        models.sharpness, models.limit = _calibrated(rows if sample is None else _sample(rows, sample), models)
     return models
 
 
@@ -384,18 +388,38 @@ def _sample(rows: DataFrame, sample: int) -> DataFrame:
     return met.dropDuplicates(["lang", "doc_id"]).select("lang", "text")
 
 
-def _sampled(rows: DataFrame, models: Models) -> tuple[float, np.ndarray]:
-    """Score the sample in tasks and fit on what comes back: a few numbers per row."""
+def _calibrated(rows: DataFrame, models: Models) -> tuple[float, np.ndarray]:
+    """Sharpness of the score and limit of each language, from all of (lang, text): tasks score the rows, and only sums
+    of losses and two ranked values of each language reach the driver."""
     held = rows.sparkSession.sparkContext.broadcast(models)
 
-    def entropies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        langs = held.value.langs
         for part in slices(batches, limit=held.value.slice_bytes):
             h, lettered = held.value.entropies(texts(part))
-            yield pa.RecordBatch.from_arrays(
-                [part.column("lang"), pa.array(h.tolist(), pa.list_(pa.float64())), pa.array(lettered)], ["lang", "h", "ok"])
-
-    got = rows.mapInArrow(entropies, "lang string, h array<double>, ok boolean").filter("ok").toArrow()
-    return models.fitted(np.array(got.column("h").to_pylist()), got.column("lang").to_pylist())
+            at = np.flatnonzero(lettered)
+            h, own = h[at], part.column("lang").take(pa.array(at))
+            row, truth = np.arange(len(at)), np.array([langs.index(x) for x in own.to_pylist()], int)
+            loss = np.empty((len(at), len(SHARPNESS)))
+            for k, s in enumerate(SHARPNESS):
+                p = np.exp(-s * (h - h.min(1, keepdims=True)))
+                loss[:, k] = -np.log(np.maximum(p[row, truth] / p.sum(1), 1e-12))
+            yield pa.RecordBatch.from_arrays([own, pa.array(h[row, truth]), pa.array(loss.tolist(), pa.list_(pa.float64()))], ["lang", "own", "loss"])
+
+    scored = written(rows.select("lang", "text").mapInArrow(score, "lang string, own double, loss array<double>"), "calibration")
+    limit = np.full(len(models.langs), np.inf)
+    sums = scored.agg(F.count(F.lit(1)), *(F.sum(F.col("loss")[k]) for k in range(len(SHARPNESS)))).first()
+    if not sums[0]:
+        return 1.0, limit
+    sizes = {r["lang"]: r["n"] for r in scored.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each language
+    places = {x: (n - 1) * WITHIN for x, n in sizes.items()}
+    wanted = rows.sparkSession.createDataFrame(sorted({(x, int(f(q))) for x, q in places.items() for f in (np.floor, np.ceil)}), "lang string, rank bigint")
+    ranked = numbered(scored.select("lang", "own"), "lang", ["own"], "ranked-entropies")
+    values = {(r["lang"], r["rank"]): r["own"] for r in ranked.join(F.broadcast(wanted), ["lang", "rank"]).collect()}  # two of each language
+    for x, q in places.items():
+        low, high = values[x, int(np.floor(q))], values[x, int(np.ceil(q))]
+        limit[models.langs.index(x)] = low + (high - low) * (q - np.floor(q))
+    return SHARPNESS[int(np.argmin([sums[k + 1] for k in range(len(SHARPNESS))]))], limit
 
 
 def identify(df: DataFrame, models: Models) -> DataFrame:
