@@ -58,3 +58,49 @@ def test_ranges_of_a_lattice(spark, monkeypatch):
     monkeypatch.setattr(FT, "DIRECT_REVIEWS", 0)
     got = {k: sorted((r.id, r.idx, round(r.value, 9)) for r in v[0].collect()) for k, v in FT.gram_lattice(docs, None, len(rows), configs).items()}
     assert got == plain
+
+
+def test_counts_of_a_lattice_are_those_of_each_alone(spark, monkeypatch):
+    """Counts by occurrences and by reviews come with the lattice, also where an id has two labels."""
+    rows, _ = _docs(spark)
+    rows += [(i, 1 - y, w + w[:1]) for i, y, w in rows[:5]] + rows[20:23]
+    docs = spark.createDataFrame(rows, "id long, label int, words array<string>").repartition(4, "id")
+    test, n, configs = docs.filter("id % 3 = 0").drop("label"), len(rows), {"a": (1, 3, 25), "b": (1, 2, 12)}
+
+    def plain(df):
+        return sorted(map(tuple, df.select("id", "idx", F.round("value", 9)).collect()))
+
+    alone = {k: [plain(x) for x in v[:2]] for k, v in FT.gram_lattice(docs, test, n, configs).items()}
+    for least in (2_000, 0):
+        monkeypatch.setattr(FT, "DIRECT_REVIEWS", least)
+        got = FT.gram_lattice(docs, test, n, configs, {"df": (1, 2, 30, "df"), "cf": (1, 2, 30, "cf")})
+        assert {k: [plain(x) for x in got[k][:2]] for k in configs} == alone
+        vocab, counts = FT.fit_counts(docs, n, 1, 2, 30, keep_cols=("label",))
+        for name, v, tf in (("cf", vocab, counts), ("df", FT.document_vocabulary(docs, n, 1, 2, 30), None)):
+            tf = tf or FT.known_counts(docs, v, 1, 2, 30, keep_cols=("label",))
+            key = ("id", "label", "idx", "tf")
+            assert sorted(map(tuple, got[name][0].collect())) == sorted(map(tuple, v.select("term", "idx").collect()))
+            assert sorted(map(tuple, got[name][1].select(*key).collect())) == sorted(map(tuple, tf.select(*key).collect()))
+            known = FT.known_counts(test, v, 1, 2, 30).select("id", "idx", "tf")
+            assert sorted(map(tuple, got[name][2].select("id", "idx", "tf").collect())) == sorted(map(tuple, known.collect()))
+
+
+def test_ensemble_of_groups_cuts_and_counts_a_cleaner_once(spark, monkeypatch, tmp_path):
+    """The ensemble's NB members read the lattice's counts: one counting for each of the three cleaners."""
+    from revlens.plans import q_learn as Q
+    made, init = [], FT.Counted.__init__
+    monkeypatch.setattr(FT.Counted, "__init__", lambda self, *a, **k: (made.append(a), init(self, *a, **k))[1])
+
+    class Enough(Exception):
+        pass
+
+    def stop(*_):
+        raise Enough
+    monkeypatch.setattr(Q.N, "packed", stop)
+    words = ["fine", "plot", "dull", "cast", "great", "story"]
+    rows = [(i, " ".join(words[(i * k) % 6] for k in range(1, 9))) for i in range(30)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    with pytest.raises(Enough):
+        Q._group_members(spark, str(tmp_path))
+    assert len(made) == 3
