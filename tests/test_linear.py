@@ -74,3 +74,11 @@ def test_scores_of_rows_held_out_and_rows_without_features(spark):
     assert sorted(r.id for r in got) == list(range(90)) and all(r.fold == folds[r.id] and r.label == y[r.id] for r in got)
     seven = next(r for r in got if r.id == 7)
     assert seven.score == pytest.approx(models[folds[7]].b)
+
+
+def test_a_pass_reads_only_the_tables_that_are_asked(spark):
+    feat, docs, *_ = data(spark, 6, 60)
+    blocks = N.packed([(feat, docs), (feat, docs)])
+    broken = blocks.withColumn("value", N.F.when(blocks.feats == 1, N.F.raise_error(N.F.lit("read"))).otherwise(blocks.value))
+    one, = N.fit_many(broken, [N.Spec("one", 1.0)], [12, 12], steps=3)
+    assert len(one.w) == 12
