@@ -70,4 +70,23 @@ def test_a_batch_is_cut_between_reviews(monkeypatch):
 
 def test_a_word_with_a_space_is_an_error():
     with pytest.raises(ValueError, match="space"):
-        GR._Words(pa.array([[["a b"]]], pa.list_(pa.list_(pa.string()))))
+        GR._Words(pa.array([[["a b"]]], pa.list_(pa.list_(pa.string())))).parted()
+
+
+def test_characters_of_words_are_counted_as_often_as_the_words(spark, monkeypatch):
+    """The same vocabulary and counts as of one row for each character n-gram of each word."""
+    rows = [(i, y, [x for x in w or [] if x is not None] + ["a", "aaaaaa", "I"] * ((i or 0) % 3)) for i, y, w in _rows()]
+    docs = _docs(spark, rows)
+    tf = FT.term_frequencies(docs, "id", "words", 3, 6, "char_wb", ("label",), partitioned=True)
+    for wanted, low, high in ((40, 2, 1.0), (40, 1, 1.0), (25, 3, 0.4), (5000, 2, 0.9)):
+        want = {(r.term, r.idx, r.df, r.cf) for r in FT.vocabulary(tf, len(rows), wanted, low, high).collect()}
+        vocab, counts = FT.fit_counts(docs, len(rows), 3, 6, wanted, low, high, "char_wb", ("label",))
+        assert {(r.term, r.idx, r.df, r.cf) for r in vocab.collect()} == want
+        number = {t: k for t, k, _, _ in want}
+        some = sorted((r.id or 0, r.label, number[r.term], r.tf) for r in tf.collect() if r.term in number)
+        assert sorted((r.id or 0, r.label, r.idx, r.tf) for r in counts.join(vocab, "idx").collect()) == some
+    plan = FT.known_counts(docs, vocab, 3, 6, 5000, "char_wb")._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+    for w in ("", "a", "ab", "abcdefgh"):
+        got = spark.range(1).select(GR.char_wb_ngrams(F.array(F.lit(w)), 3, 6)).first()[0]
+        assert got == GR.char_grams(w, 3, 6)
